@@ -23,6 +23,11 @@ def english_stop_words() -> list[str]:
     return [word for line in text.splitlines() if not line.startswith("#") for word in line.split()]
 
 
+def fingerprint(*values: Column) -> Column:
+    """128-bit key of a row of values; to_json keeps the values apart."""
+    return F.unhex(F.md5(F.to_json(F.struct(*values))))
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing Unicode whitespace."""
     return F.regexp_replace(text, rf"\A{WHITESPACE}+|{WHITESPACE}+\z", "")
@@ -52,10 +57,16 @@ def whitespace_tokens(text: Column) -> Column:
     return F.filter(F.split(text, rf"{WHITESPACE}+"), lambda token: token != "")
 
 
-def words(text: Column, stop_words: list[str]) -> Column:
-    """Lower-cased runs of two or more word characters without the stop words."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    return F.filter(found, lambda word: ~word.isin(stop_words)) if stop_words else found
+def with_words(df: DataFrame, text: Column, stop_words: list[str], name: str) -> DataFrame:
+    """Add ``name``: lower-cased runs of two or more word characters, no stop words."""
+    found = df.withColumn(name, F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
+    if not stop_words:
+        return found
+    quoted = ", ".join(
+        "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'" for word in stop_words
+    )
+    # one parsed list of literals; the optimizer turns it into a hash set
+    return found.withColumn(name, F.expr(f"filter({name}, word -> word not in ({quoted}))"))
 
 
 def with_term_bag(df: DataFrame, text: Column, stop_words: list[str], name: str = "bag") -> DataFrame:
@@ -65,7 +76,9 @@ def with_term_bag(df: DataFrame, text: Column, stop_words: list[str], name: str
     row, so no shuffle on (row, word) is needed.
     """
     keep = df.columns
-    ordered = df.withColumn("_words", F.sort_array(words(text, stop_words)))
+    ordered = with_words(df, text, stop_words, "_words").withColumn(
+        "_words", F.sort_array("_words")
+    )
     starts = ordered.withColumn(
         "_starts",
         F.filter(

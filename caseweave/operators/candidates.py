@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caseweave.functions.text import clean, joined, text_or_empty
+from caseweave.functions.text import clean, fingerprint, joined, text_or_empty
 
 WHOLE_KB = ""
 GRAM = 3
@@ -31,7 +31,7 @@ def facet_columns() -> list[Column]:
 
 def with_facet(kb: DataFrame) -> DataFrame:
     """Add ``facet_id``, equal for cases that no environment can tell apart."""
-    return kb.withColumn("facet_id", F.sha2(F.to_json(F.struct(*facet_columns())), 256))
+    return kb.withColumn("facet_id", fingerprint(*facet_columns()))
 
 
 def facets(kb: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.functions.text import english_stop_words, with_term_bag
+from caseweave.functions.text import english_stop_words, fingerprint, with_term_bag
 from caseweave.operators.candidates import (
     assign_groups,
     environment_matches,
@@ -41,7 +41,7 @@ def case_profiles(kb: DataFrame, stop_words: list[str]) -> DataFrame:
         "kb_id",
         "facet_id",
         "document",
-        F.sha2(F.concat("facet_id", "document"), 256).alias("digest"),
+        fingerprint(F.col("facet_id"), F.col("document")).alias("digest"),
     )
     return with_term_bag(documents, F.col("document"), stop_words).drop("document")
 
@@ -52,7 +52,7 @@ def report_queries(reports: DataFrame, matches: DataFrame) -> DataFrame:
     Reports with the same text and group share the key and are scored once.
     """
     return assign_groups(report_text(reports), matches).withColumn(
-        "query_key", F.sha2(F.to_json(F.struct("candidate_group", "report_text")), 256)
+        "query_key", fingerprint(F.col("candidate_group"), F.col("report_text"))
     )
 
 

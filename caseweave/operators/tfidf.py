@@ -2,14 +2,14 @@
 
 Sharing one common term is not enough to become a scored pair. For every report
 
-1. a few strong cases per term are scored exactly; the k-th best score is a floor that
-   every case of the final answer must reach;
-2. the most frequent terms are set aside as long as all of them together cannot reach
-   half of that floor;
-3. for the other terms only cases are looked up in which the term weighs enough for the
-   rest of the floor. Weights are bucketed in powers of two and the bucket is part of the
-   join key, so light entries of a frequent term are never touched;
-4. the cases found are scored exactly.
+1. a few strong cases per term give a floor: k cases are known to score at least that;
+2. the most frequent terms are set aside as long as all of them together reach only a
+   small part of the floor;
+3. for the other terms only cases are looked up in which the term weighs enough to matter.
+   Weights are bucketed in powers of two and the bucket is part of the join key, so light
+   entries of a frequent term are never touched;
+4. what was looked up adds up to a lower bound per case. Its k-th best raises the floor,
+   and only cases whose upper bound still reaches the floor are scored exactly.
 
 Every step only leaves out cases that provably score below the floor.
 """
@@ -41,9 +41,11 @@ from caseweave.operators.terms import (
 )
 from caseweave.workspace import written
 
-SALTS = 8
+FREQUENT_TERMS = 2000
 STRONG_CASES = 8
 LIGHTEST_LEVEL = 30
+ASIDE_PART = 0.3
+LIGHT_PART = 0.1
 TIE_MARGIN = 1e-8
 
 
@@ -60,170 +62,97 @@ def distinct_cases(profiles: DataFrame) -> DataFrame:
     )
 
 
-def case_vectors(
-    profiles: DataFrame,
+def join_weights(entries: DataFrame, weights: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Join entries with their term weights; frequent terms do not go through a shuffle.
+
+    ``frequent`` lists at most ``FREQUENT_TERMS`` terms, so it can always be broadcast. No
+    term of the other entries holds more than one part in ``FREQUENT_TERMS`` of them.
+    """
+    keys = ["candidate_group", "term"]
+    few = F.broadcast(weights.join(F.broadcast(frequent), keys, "left_semi"))
+    others = entries.join(F.broadcast(frequent), keys, "left_anti")
+    return entries.join(few, keys).unionByName(others.join(weights.hint("shuffle_hash"), keys))
+
+
+def case_entries(
+    classes: DataFrame,
     members: DataFrame,
     frequencies: DataFrame,
     sizes: DataFrame,
     vocabulary: DataFrame,
 ) -> DataFrame:
-    """(candidate_group, class_id, digest, norm2, terms) per distinct case and group.
+    """(candidate_group, class_id, term, tf, idf0, norm2) for the terms some report uses.
 
-    ``norm2`` covers all terms of the case; ``terms`` keeps those some report uses.
-    The join on (group, term) is salted, as a frequent term occurs in most cases.
+    ``norm2`` covers all terms of the case.
     """
-    salts = F.array(*[F.lit(s) for s in range(SALTS)])
-    weights = (
-        frequencies.join(
-            vocabulary.withColumn("used", F.lit(True)), ["candidate_group", "term"], "left"
-        )
-        .join(sizes, "candidate_group")
-        .select(
-            "candidate_group",
-            "term",
-            "used",
-            idf(F.col("candidates"), F.col("df")).alias("idf0"),
-            F.explode(salts).alias("salt"),
-        )
+    keys = ["candidate_group", "term"]
+    frequent = frequencies.orderBy(F.desc("df"), *keys).limit(FREQUENT_TERMS).select(*keys)
+    weights = frequencies.join(sizes, "candidate_group").select(
+        *keys, idf(F.col("candidates"), F.col("df")).alias("idf0")
     )
     entries = (
-        distinct_cases(profiles)
-        .join(members, "facet_id")
-        .select("candidate_group", "class_id", "digest", F.explode("bag").alias("entry"))
-        .select(
-            "candidate_group",
-            "class_id",
-            "digest",
-            "entry.term",
-            "entry.tf",
-            F.pmod(F.hash("class_id"), F.lit(SALTS)).alias("salt"),
-        )
+        classes.join(members, "facet_id")
+        .select("candidate_group", "class_id", F.explode("bag").alias("entry"))
+        .select("candidate_group", "class_id", "entry.term", "entry.tf")
     )
-    return (
-        entries.join(weights, ["candidate_group", "term", "salt"])
+    norms = (
+        join_weights(entries, weights, frequent)
         .groupBy("candidate_group", "class_id")
-        .agg(
-            F.min("digest").alias("digest"),
-            F.sum(F.pow(F.col("tf") * F.col("idf0"), 2)).alias("norm2"),
-            # nulls are skipped by collect_list
-            F.collect_list(F.when(F.col("used"), F.struct("term", "tf", "idf0"))).alias("terms"),
-        )
-        .filter(F.size("terms") > 0)
+        .agg(F.sum(F.pow(F.col("tf") * F.col("idf0"), 2)).alias("norm2"))
     )
-
-
-def query_vectors(weighted: DataFrame) -> DataFrame:
-    """(query_key, candidate_group, norm2, shrink, terms) per distinct query.
-
-    ``norm2`` covers all terms of the query, ``terms`` those that occur in the candidates.
-    ``shrink`` bounds how much the terms of the query can shorten the vector of a case.
-    """
-    known = F.col("df") > 0
+    used = weights.join(vocabulary, keys, "left_semi")
     return (
-        weighted.withColumn("idf1", idf(F.col("candidates"), F.col("df") + 1))
-        .withColumn("idf0", F.when(known, idf(F.col("candidates"), F.col("df"))))
-        .groupBy("query_key", "candidate_group")
-        .agg(
-            F.sum(F.pow(F.col("tf") * F.col("idf1"), 2)).alias("norm2"),
-            F.min(F.col("idf1") / F.col("idf0")).alias("shrink"),
-            F.collect_list(F.when(known, F.struct("term", "tf", "df", "idf1", "idf0"))).alias(
-                "terms"
-            ),
-        )
-        .filter(F.size("terms") > 0)
+        entries.join(used, keys)
+        .join(norms, ["candidate_group", "class_id"])
+        .select("candidate_group", "class_id", "term", "tf", "idf0", "norm2")
     )
 
 
-def _cosine(query_norm2: Column, case_norm2: Column) -> Column:
-    """Score from the columns ``q`` (query terms), ``d`` (case terms) and the two norms."""
+def query_entries(weighted: DataFrame) -> DataFrame:
+    """The terms of every distinct query that occur in its candidates.
 
-    def contribution(term):
-        q = F.get("q", F.array_position("q.term", term).cast("int") - 1)
-        d = F.get("d", F.array_position("d.term", term).cast("int") - 1)
-        dot = q["tf"] * d["tf"] * q["idf1"] * q["idf1"]
-        change = F.pow(d["tf"], F.lit(2)) * (
-            q["idf1"] * q["idf1"] - d["idf0"] * d["idf0"]
-        )
-        return F.struct(dot.alias("dot"), change.alias("change"))
-
-    sums = F.aggregate(
-        F.transform(F.array_intersect("q.term", "d.term"), contribution),
-        F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("change")),
-        lambda total, one: F.struct(
-            (total["dot"] + one["dot"]).alias("dot"),
-            (total["change"] + one["change"]).alias("change"),
-        ),
-        lambda total: total["dot"] / F.sqrt(query_norm2 * (case_norm2 + total["change"])),
-    )
-    return F.round(sums, SCORE_PLACES)
-
-
-def score_pairs(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact scores of (query_key, candidate_group, class_id) pairs."""
+    ``norm2`` covers all terms of the query. ``shrink`` bounds how much those terms can
+    shorten the vector of a case. ``share`` is the part of the unit query vector, ``gain``
+    the score per unit of impact before ``shrink``.
+    """
+    whole = Window.partitionBy("query_key")
+    share = F.col("tf") * F.col("idf1") / F.sqrt("norm2")
     return (
-        pairs.join(
-            vectors.select(
-                "candidate_group",
-                "class_id",
-                F.col("norm2").alias("case_norm2"),
-                F.col("terms").alias("d"),
-            ),
-            ["candidate_group", "class_id"],
-        )
-        .join(
-            queries.select(
-                "query_key", F.col("norm2").alias("query_norm2"), F.col("terms").alias("q")
-            ),
-            "query_key",
-        )
+        weighted.withColumn("idf1", idf(F.col("candidates"), F.col("df") + 1))
+        .withColumn("norm2", F.sum(F.pow(F.col("tf") * F.col("idf1"), 2)).over(whole))
+        .filter("df > 0")
+        .withColumn("idf0", idf(F.col("candidates"), F.col("df")))
+        .withColumn("shrink", F.min(F.col("idf1") / F.col("idf0")).over(whole))
         .select(
             "query_key",
             "candidate_group",
-            "class_id",
-            _cosine(F.col("query_norm2"), F.col("case_norm2")).alias("score"),
+            "term",
+            "tf",
+            "df",
+            "idf1",
+            "norm2",
+            "shrink",
+            share.alias("share"),
+            (share * F.col("idf1") / F.col("idf0")).alias("gain"),
         )
     )
 
 
-def case_entries(vectors: DataFrame) -> DataFrame:
-    """(candidate_group, term, class_id, impact): the share of a term in its case vector."""
-    return vectors.select(
-        "candidate_group", "class_id", "norm2", F.explode("terms").alias("entry")
-    ).select(
-        "candidate_group",
-        "entry.term",
-        "class_id",
-        (F.col("entry.tf") * F.col("entry.idf0") / F.sqrt("norm2")).alias("impact"),
-    )
-
-
-def query_entries(queries: DataFrame) -> DataFrame:
-    """Query terms with ``gain``: score per unit of impact, before ``shrink``."""
-    share = F.col("entry.tf") * F.col("entry.idf1") / F.sqrt("norm2")
-    return queries.select(
-        "query_key", "candidate_group", "norm2", "shrink", F.explode("terms").alias("entry")
-    ).select(
-        "query_key",
-        "candidate_group",
-        "shrink",
-        "entry.term",
-        "entry.df",
-        share.alias("share"),
-        (share * F.col("entry.idf1") / F.col("entry.idf0")).alias("gain"),
-    )
-
-
 def _level(relative: Column) -> Column:
-    return F.floor(-F.log2(relative)).cast("int")
+    return F.least(F.floor(-F.log2(relative)).cast("int"), F.lit(LIGHTEST_LEVEL))
 
 
 def probes(asked: DataFrame, heaviest: DataFrame, floors: DataFrame) -> DataFrame:
-    """(query_key, candidate_group, term, level): what must be looked up per query."""
+    """What must be looked up per query: (query_key, candidate_group, term, level).
+
+    ``unseen`` bounds the score that everything else can add to one case.
+    """
     frequent_first = Window.partitionBy("query_key").orderBy(F.desc("df"), "term")
     so_far = frequent_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("query_key")
     floor = F.greatest(F.coalesce("floor", F.lit(0.0)) - TIE_MARGIN, F.lit(0.0))
-    bounded = (
+    relative = F.col("floor") * LIGHT_PART / F.col("rest") * (1 - 1e-9)
+    return (
         asked.join(heaviest, ["candidate_group", "term"])
         .join(floors, "query_key", "left")
         .withColumn("floor", floor)
@@ -236,73 +165,97 @@ def probes(asked: DataFrame, heaviest: DataFrame, floors: DataFrame) -> DataFram
                 F.sqrt(F.sum(F.col("share") * F.col("share")).over(so_far)),
             ),
         )
-        .withColumn("aside", F.col("bound") < F.col("floor") / 2)
+        .withColumn("aside", F.col("bound") < F.col("floor") * ASIDE_PART)
         .withColumn("spent", F.max(F.when(F.col("aside"), F.col("bound"))).over(whole))
         .withColumn("rest", F.sum(F.when(~F.col("aside"), F.col("reach"))).over(whole))
         .filter(~F.col("aside"))
-    )
-    needed = (F.col("floor") - F.coalesce("spent", F.lit(0.0))) / F.col("rest")
-    lightest = F.when(needed > 0, F.least(_level(needed * (1 - 1e-9)), F.lit(LIGHTEST_LEVEL)))
-    return (
-        bounded.withColumn("lightest", F.coalesce(lightest, F.lit(LIGHTEST_LEVEL)))
+        .withColumn("unseen", F.coalesce("spent", F.lit(0.0)) + F.col("floor") * LIGHT_PART)
+        .withColumn(
+            "lightest", F.when(F.col("floor") > 0, _level(relative)).otherwise(LIGHTEST_LEVEL)
+        )
         .filter("lightest >= 0")
         .select(
             "query_key",
             "candidate_group",
             "term",
+            "gain",
+            "shrink",
+            "floor",
+            "unseen",
             F.explode(F.sequence(F.lit(0), F.col("lightest"))).alias("level"),
         )
     )
 
 
-def best_classes(queries: DataFrame, vectors: DataFrame, top_k: int) -> DataFrame:
-    """(query_key, candidate_group, class_id, score): the top k distinct cases per query."""
-    entries = case_entries(vectors)
-    asked = query_entries(queries)
-    strongest = Window.partitionBy("candidate_group", "term").orderBy(F.desc("impact"), "class_id")
-    strong = entries.withColumn("_n", F.row_number().over(strongest)).filter(
-        F.col("_n") <= max(STRONG_CASES, top_k)
+def promising_pairs(asked: DataFrame, entries: DataFrame, top_k: int) -> DataFrame:
+    """(query_key, candidate_group, class_id) pairs that can be among the top k."""
+    keys = ["candidate_group", "term"]
+    weighed = entries.select(
+        *keys, "class_id", (F.col("tf") * F.col("idf0") / F.sqrt("norm2")).alias("impact")
     )
-    seeds = best(
-        asked.join(strong, ["candidate_group", "term"])
-        .groupBy("query_key", "candidate_group", "class_id")
-        .agg(F.sum(F.col("gain") * F.col("impact")).alias("score")),
-        "query_key",
-        "class_id",
-        2 * top_k,
-    ).select("query_key", "candidate_group", "class_id")
-    seeds = written(score_pairs(seeds, queries, vectors), "seeds")
-    floors = (
-        best(seeds, "query_key", "class_id", top_k)
-        .filter(F.col("rank") == top_k)
-        .select("query_key", F.col("score").alias("floor"))
+    heavy_first = Window.partitionBy(*keys).orderBy(F.desc("impact"), "class_id")
+    strong = weighed.withColumn("place", F.row_number().over(heavy_first)).filter(
+        F.col("place") <= max(STRONG_CASES, top_k)
     )
+    lower_bound = F.sum(F.col("gain") * F.col("impact")).alias("score")
 
-    heaviest = strong.filter("_n = 1").select(
-        "candidate_group", "term", F.col("impact").alias("heaviest")
-    )
-    leveled = entries.join(heaviest, ["candidate_group", "term"]).select(
-        "candidate_group",
-        "term",
-        "class_id",
-        F.least(_level(F.col("impact") / F.col("heaviest")), F.lit(LIGHTEST_LEVEL)).alias("level"),
+    def kth(scored: DataFrame) -> DataFrame:
+        return (
+            best(scored, "query_key", "class_id", top_k)
+            .filter(F.col("rank") == top_k)
+            .select("query_key", F.col("score").alias("floor"))
+        )
+
+    floors = kth(asked.join(strong, keys).groupBy("query_key", "class_id").agg(lower_bound))
+    heaviest = strong.filter("place = 1").select(*keys, F.col("impact").alias("heaviest"))
+    leveled = weighed.join(heaviest, keys).select(
+        *keys, "class_id", "impact", _level(F.col("impact") / F.col("heaviest")).alias("level")
     )
-    found = (
+    found = written(
         probes(asked, heaviest, floors)
-        .join(leveled, ["candidate_group", "term", "level"])
+        .join(leveled, [*keys, "level"])
+        .groupBy("query_key", "candidate_group", "class_id", "shrink", "floor", "unseen")
+        .agg(lower_bound),
+        "found",
+    )
+    raised = kth(found.select("query_key", "class_id", "score")).withColumnRenamed(
+        "floor", "raised"
+    )
+    floor = F.greatest("floor", F.coalesce("raised", F.lit(0.0)) - TIE_MARGIN)
+    return (
+        found.join(raised, "query_key", "left")
+        .filter(F.col("score") / F.col("shrink") + F.col("unseen") >= floor)
         .select("query_key", "candidate_group", "class_id")
-        .distinct()
-        .join(seeds, ["query_key", "class_id"], "left_anti")
     )
-    return best(
-        score_pairs(found, queries, vectors).unionByName(seeds), "query_key", "class_id", top_k
-    ).drop("rank")
 
 
-def with_copies(classes: DataFrame, vectors: DataFrame, profiles: DataFrame, top_k: int):
+def score_pairs(pairs: DataFrame, asked: DataFrame, entries: DataFrame) -> DataFrame:
+    """(query_key, class_id, score) for the pairs, from all shared terms."""
+    mine = asked.select(
+        "query_key", "term", F.col("tf").alias("query_tf"), "idf1", F.col("norm2").alias("query_norm2")
+    )
+    square1 = F.col("idf1") * F.col("idf1")
+    square0 = F.col("idf0") * F.col("idf0")
+    case_norm2 = F.max("norm2") + F.sum(F.col("tf") * F.col("tf") * (square1 - square0))
+    return (
+        pairs.join(entries, ["candidate_group", "class_id"])
+        .join(mine, ["query_key", "term"])
+        .groupBy("query_key", "class_id")
+        .agg(
+            F.sum(F.col("query_tf") * F.col("tf") * square1).alias("dot"),
+            (case_norm2 * F.max("query_norm2")).alias("norms2"),
+        )
+        .select(
+            "query_key",
+            "class_id",
+            F.round(F.col("dot") / F.sqrt("norms2"), SCORE_PLACES).alias("score"),
+        )
+    )
+
+
+def with_copies(scored: DataFrame, classes: DataFrame, profiles: DataFrame, top_k: int):
     """Replace each distinct case by the first k of its copies."""
-    digests = vectors.select("candidate_group", "class_id", "digest")
-    winners = classes.join(digests, ["candidate_group", "class_id"])
+    winners = scored.join(classes.select("class_id", "digest"), "class_id")
     copies = first_members(
         profiles.select("digest", "kb_id").join(winners.select("digest"), "digest", "left_semi"),
         "digest",
@@ -318,6 +271,7 @@ def tfidf_topk(
     check_top_k(top_k)
     stop_words = english_stop_words() if stop_words is None else stop_words
     profiles = written(case_profiles(kb, stop_words), "profiles")
+    classes = written(distinct_cases(profiles), "classes")
     case_facets = facets(kb)
     matches = written(environment_matches(reports, case_facets), "matches")
     keyed = written(
@@ -329,11 +283,13 @@ def tfidf_topk(
     members = written(group_facets(matches, case_facets, keyed), "members")
     sizes = group_sizes(profiles, members)
     frequencies = written(group_document_frequencies(profiles, members), "frequencies")
-    weighted = query_terms(distinct_queries(keyed), frequencies, sizes, stop_words)
-    queries = written(query_vectors(weighted), "queries")
-    vocabulary = queries.select("candidate_group", F.explode("terms.term").alias("term")).distinct()
-    vectors = written(
-        case_vectors(profiles, members, frequencies, sizes, vocabulary), "vectors"
+    asked = written(
+        query_entries(query_terms(distinct_queries(keyed), frequencies, sizes, stop_words)),
+        "asked",
     )
-    scored = with_copies(best_classes(queries, vectors, top_k), vectors, profiles, top_k)
+    vocabulary = asked.select("candidate_group", "term").distinct()
+    entries = written(case_entries(classes, members, frequencies, sizes, vocabulary), "entries")
+    pairs = promising_pairs(asked, entries, top_k)
+    winners = best(score_pairs(pairs, asked, entries), "query_key", "class_id", top_k)
+    scored = with_copies(winners.drop("rank"), classes, profiles, top_k)
     return ranked_reports(keyed, scored, first_candidates(profiles, members, top_k), top_k)

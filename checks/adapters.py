@@ -9,7 +9,10 @@ from caseweave.functions.text import lines, whitespace_tokens
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """Scan of a table; one with fewer files than cores is spread over the cores."""
+    scan = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan
 
 
 def kb(spark: SparkSession, folder: str) -> DataFrame:
