@@ -45,6 +45,22 @@ def first_candidates(case_keys: DataFrame, members: DataFrame, top_k: int) -> Da
     )
 
 
+def with_copies(
+    scored: DataFrame, classes: DataFrame, profiles: DataFrame, top_k: int
+) -> DataFrame:
+    """Replace each distinct case by the first k of its copies.
+
+    ``classes`` maps class_id to the digest that ``profiles`` holds per kb_id.
+    """
+    winners = scored.join(classes.select("class_id", "digest"), "class_id")
+    copies = first_members(
+        profiles.select("digest", "kb_id").join(winners.select("digest"), "digest", "left_semi"),
+        "digest",
+        top_k,
+    )
+    return winners.join(copies, "digest").select("query_key", "kb_id", "score")
+
+
 def ranked_reports(
     keyed_reports: DataFrame, scored: DataFrame, fill: DataFrame | None, top_k: int
 ) -> DataFrame:

@@ -56,6 +56,19 @@ def report_queries(reports: DataFrame, matches: DataFrame) -> DataFrame:
     )
 
 
+def keyed_reports(reports: DataFrame, kb: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The reports with group, text and key, and the (candidate_group, facet_id) members."""
+    case_facets = facets(kb)
+    matches = written(environment_matches(reports, case_facets), "matches")
+    keyed = written(
+        report_queries(reports, matches).select(
+            "report_id", "query_key", "candidate_group", "report_text"
+        ),
+        "reports",
+    )
+    return keyed, written(group_facets(matches, case_facets, keyed), "members")
+
+
 def distinct_queries(keyed_reports: DataFrame) -> DataFrame:
     return keyed_reports.groupBy("query_key").agg(
         F.min("candidate_group").alias("candidate_group"),
@@ -108,10 +121,7 @@ def term_stats(
     ``df`` and ``documents`` include the report; ``weight`` has unit length per report.
     """
     stop_words = english_stop_words() if stop_words is None else stop_words
-    case_facets = facets(kb)
-    matches = written(environment_matches(reports, case_facets), "matches")
-    keyed = report_queries(reports, matches)
-    members = group_facets(matches, case_facets, keyed)
+    keyed, members = keyed_reports(reports, kb)
     profiles = written(case_profiles(kb, stop_words), "profiles")
     weighted = query_terms(
         distinct_queries(keyed),

@@ -21,14 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from caseweave.functions.text import english_stop_words
-from caseweave.operators.candidates import environment_matches, facets, group_facets
 from caseweave.operators.ranking import (
     SCORE_PLACES,
     best,
     check_top_k,
     first_candidates,
-    first_members,
     ranked_reports,
+    with_copies,
 )
 from caseweave.operators.terms import (
     case_profiles,
@@ -36,8 +35,8 @@ from caseweave.operators.terms import (
     group_document_frequencies,
     group_sizes,
     idf,
+    keyed_reports,
     query_terms,
-    report_queries,
 )
 from caseweave.workspace import written
 
@@ -253,17 +252,6 @@ def score_pairs(pairs: DataFrame, asked: DataFrame, entries: DataFrame) -> DataF
     )
 
 
-def with_copies(scored: DataFrame, classes: DataFrame, profiles: DataFrame, top_k: int):
-    """Replace each distinct case by the first k of its copies."""
-    winners = scored.join(classes.select("class_id", "digest"), "class_id")
-    copies = first_members(
-        profiles.select("digest", "kb_id").join(winners.select("digest"), "digest", "left_semi"),
-        "digest",
-        top_k,
-    )
-    return winners.join(copies, "digest").select("query_key", "kb_id", "score")
-
-
 def tfidf_topk(
     reports: DataFrame, kb: DataFrame, top_k: int = 3, stop_words: list[str] | None = None
 ) -> DataFrame:
@@ -272,15 +260,7 @@ def tfidf_topk(
     stop_words = english_stop_words() if stop_words is None else stop_words
     profiles = written(case_profiles(kb, stop_words), "profiles")
     classes = written(distinct_cases(profiles), "classes")
-    case_facets = facets(kb)
-    matches = written(environment_matches(reports, case_facets), "matches")
-    keyed = written(
-        report_queries(reports, matches).select(
-            "report_id", "query_key", "candidate_group", "report_text"
-        ),
-        "reports",
-    )
-    members = written(group_facets(matches, case_facets, keyed), "members")
+    keyed, members = keyed_reports(reports, kb)
     sizes = group_sizes(profiles, members)
     frequencies = written(group_document_frequencies(profiles, members), "frequencies")
     asked = written(
