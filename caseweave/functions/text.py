@@ -101,6 +101,19 @@ def with_term_bag(df: DataFrame, text: Column, stop_words: list[str], name: str
     )
 
 
+def bag_entries(df: DataFrame, *keys: str, bag: str = "bag") -> DataFrame:
+    """(keys, term, tf) from a bag column.
+
+    explode would infer a filter on the size of the bag, and pushing it down would copy the
+    whole bag expression into it; the outer form has no such filter.
+    """
+    return (
+        df.select(*keys, F.explode_outer(bag).alias("entry"))
+        .filter(F.col("entry").isNotNull())
+        .select(*keys, "entry.term", "entry.tf")
+    )
+
+
 def round_half_even(value: Column, places: int = 3) -> Column:
     """Round the exact binary value half to even.
 

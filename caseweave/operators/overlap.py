@@ -41,7 +41,8 @@ def case_token_sets(kb: DataFrame, vocabulary: DataFrame) -> DataFrame:
     salted = vocabulary.withColumn("salt", F.explode(F.array(*[F.lit(s) for s in range(SALTS)])))
     return (
         with_facet(kb_document(kb))
-        .select("kb_id", "facet_id", F.explode(_token_set("document")).alias("token"))
+        .select("kb_id", "facet_id", F.explode_outer(_token_set("document")).alias("token"))
+        .filter(F.col("token").isNotNull())
         .withColumn("salt", F.pmod(F.hash("kb_id"), F.lit(SALTS)))
         .join(salted, ["token", "salt"], "left_semi")
         .groupBy("kb_id", "facet_id")

@@ -47,9 +47,14 @@ def response_sections(responses: DataFrame) -> DataFrame:
         F.transform("_starts", section),
         lambda s: (s["lines"] > 0) & ((s["title"] != "") | (s["body"] != "")),
     )
-    return split.select("response_id", F.posexplode(kept).alias("place", "section")).select(
-        "response_id",
-        (F.col("place") + 1).alias("section_no"),
-        F.col("section.title").alias("title"),
-        F.col("section.body").alias("body"),
+    # the outer form infers no filter, which would copy the whole expression when pushed down
+    return (
+        split.select("response_id", F.posexplode_outer(kept).alias("place", "section"))
+        .filter(F.col("section").isNotNull())
+        .select(
+            "response_id",
+            (F.col("place") + 1).alias("section_no"),
+            F.col("section.title").alias("title"),
+            F.col("section.body").alias("body"),
+        )
     )

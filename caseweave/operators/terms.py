@@ -11,7 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.functions.text import english_stop_words, fingerprint, with_term_bag
+from caseweave.functions.text import (
+    bag_entries,
+    english_stop_words,
+    fingerprint,
+    with_term_bag,
+)
 from caseweave.operators.candidates import (
     assign_groups,
     environment_matches,
@@ -27,7 +32,7 @@ def terms(df: DataFrame, key: str, text: str, stop_words: list[str] | None = Non
     """(key, term, tf) for the words of a text column."""
     stop_words = english_stop_words() if stop_words is None else stop_words
     bags = with_term_bag(df.select(key, text), F.col(text), stop_words)
-    return bags.select(key, F.explode("bag").alias("entry")).select(key, "entry.term", "entry.tf")
+    return bag_entries(bags, key)
 
 
 def idf(candidates: Column, documents_with_term: Column) -> Column:
@@ -105,8 +110,7 @@ def query_terms(
     """(query_key, candidate_group, term, tf, df, candidates); df counts candidates only."""
     bags = with_term_bag(queries, F.col("report_text"), stop_words)
     return (
-        bags.select("query_key", "candidate_group", F.explode("bag").alias("entry"))
-        .select("query_key", "candidate_group", "entry.term", "entry.tf")
+        bag_entries(bags, "query_key", "candidate_group")
         .join(frequencies, ["candidate_group", "term"], "left")
         .withColumn("df", F.coalesce("df", F.lit(0)))
         .join(sizes, "candidate_group")

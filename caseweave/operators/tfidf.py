@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caseweave.functions.text import english_stop_words
+from caseweave.functions.text import bag_entries, english_stop_words
 from caseweave.operators.ranking import (
     SCORE_PLACES,
     best,
@@ -89,11 +89,7 @@ def case_entries(
     weights = frequencies.join(sizes, "candidate_group").select(
         *keys, idf(F.col("candidates"), F.col("df")).alias("idf0")
     )
-    entries = (
-        classes.join(members, "facet_id")
-        .select("candidate_group", "class_id", F.explode("bag").alias("entry"))
-        .select("candidate_group", "class_id", "entry.term", "entry.tf")
-    )
+    entries = bag_entries(classes.join(members, "facet_id"), "candidate_group", "class_id")
     norms = (
         join_weights(entries, weights, frequent)
         .groupBy("candidate_group", "class_id")

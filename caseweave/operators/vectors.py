@@ -110,23 +110,23 @@ def score_cells(visits: DataFrame, cases: DataFrame, top_k: int) -> DataFrame:
     """
     cell = ["candidate_group", "cell"]
     shape = visits.groupBy(*cell).agg(
-        F.ceil(F.count(F.lit(1)) / REPORTS_PER_BLOCK).cast("int").alias("ask_blocks"),
-        F.ceil(F.max("cases") / CASES_PER_BLOCK).cast("int").alias("case_blocks"),
+        F.ceil(F.count(F.lit(1)) / REPORTS_PER_BLOCK).cast("long").alias("ask_blocks"),
+        F.ceil(F.max("cases") / CASES_PER_BLOCK).cast("long").alias("case_blocks"),
     )
 
     def numbers(count: str):
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
     asks = (
         visits.join(shape, cell)
         .withColumn("ask_block", F.pmod(F.xxhash64("query_key"), "ask_blocks"))
-        .withColumn("case_block", numbers("case_blocks").cast("long"))
+        .withColumn("case_block", numbers("case_blocks"))
         .select("query_key", "embedding", *cell, "ask_block", "case_block")
     )
     blocks = (
         cases.join(shape, cell)
         .withColumn("case_block", F.pmod(F.xxhash64("kb_id"), "case_blocks"))
-        .withColumn("ask_block", numbers("ask_blocks").cast("long"))
+        .withColumn("ask_block", numbers("ask_blocks"))
         .select("kb_id", "embedding", *cell, "ask_block", "case_block")
     )
     keys = [*cell, "ask_block", "case_block"]
