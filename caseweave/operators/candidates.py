@@ -19,6 +19,7 @@ from caseweave.functions.text import clean, fingerprint, joined, text_or_empty
 
 WHOLE_KB = ""
 GRAM = 3
+PARTS = 64
 
 
 def facet_columns() -> list[Column]:
@@ -101,10 +102,14 @@ def assign_groups(reports: DataFrame, matches: DataFrame) -> DataFrame:
 
 def group_facets(matches: DataFrame, case_facets: DataFrame, groups: DataFrame) -> DataFrame:
     """(candidate_group, facet_id) for the groups that some report belongs to."""
-    whole = case_facets.select(F.lit(WHOLE_KB).alias("candidate_group"), "facet_id")
     matched = matches.select(F.col("environment").alias("candidate_group"), "facet_id")
     wanted = groups.select("candidate_group").distinct()
-    return matched.unionByName(whole).join(wanted, "candidate_group", "left_semi")
+    # the one row of the whole knowledge base, if wanted, meets every part of the facets
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
+    whole = case_facets.select(
+        "facet_id", F.pmod(F.hash("facet_id"), F.lit(PARTS)).alias("part")
+    ).join(wanted.filter(F.col("candidate_group") == WHOLE_KB).select("*", parts), "part")
+    return matched.join(wanted, "candidate_group", "left_semi").unionByName(whole.drop("part"))
 
 
 def candidate_filter(reports: DataFrame, kb: DataFrame) -> DataFrame:
