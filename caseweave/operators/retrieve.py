@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.operators.overlap import overlap_topk
-from caseweave.operators.tfidf import tfidf_topk
+from caseweave.operators.tfidf import CaseIndex, tfidf_topk
 from caseweave.operators.vectors import embedding_topk
 
-LEXICAL = {"tfidf": tfidf_topk, "overlap": overlap_topk}
+LEXICAL = ("tfidf", "overlap")
 
 
 def retrieve(
@@ -19,13 +19,20 @@ def retrieve(
     report_vectors: DataFrame | None = None,
     kb_vectors: DataFrame | None = None,
     lexical: str = "tfidf",
+    index: CaseIndex | None = None,
 ) -> DataFrame:
     """``embeddings`` in any case selects the vectors, any other method the ``lexical`` one.
 
     Without vector tables, a report that asks for embeddings fails the job.
     """
     if lexical not in LEXICAL:
-        raise ValueError(f"lexical must be one of {sorted(LEXICAL)}")
+        raise ValueError(f"lexical must be one of {LEXICAL}")
+
+    def by_text(some: DataFrame) -> DataFrame:
+        if lexical == "overlap":
+            return overlap_topk(some, kb, top_k)
+        return tfidf_topk(some, kb, top_k, index=index)
+
     by_vector = F.lower(F.coalesce("retrieval_method", F.lit("tfidf"))) == "embeddings"
     if report_vectors is None or kb_vectors is None:
         checked = reports.filter(
@@ -33,7 +40,7 @@ def retrieve(
                 by_vector, F.raise_error(F.lit("embedding retrieval needs vector tables"))
             ).isNull()
         )
-        return LEXICAL[lexical](checked, kb, top_k)
-    return LEXICAL[lexical](reports.filter(~by_vector), kb, top_k).unionByName(
+        return by_text(checked)
+    return by_text(reports.filter(~by_vector)).unionByName(
         embedding_topk(reports.filter(by_vector), kb, report_vectors, kb_vectors, top_k)
     )

@@ -16,6 +16,8 @@ Every step only leaves out cases that provably score below the floor.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,6 +43,7 @@ from caseweave.operators.terms import (
 from caseweave.workspace import written
 
 FREQUENT_TERMS = 2000
+SALTS = 8
 STRONG_CASES = 8
 LIGHTEST_LEVEL = 30
 ASIDE_PART = 0.3
@@ -70,7 +73,7 @@ def join_weights(entries: DataFrame, weights: DataFrame, frequent: DataFrame) ->
     keys = ["candidate_group", "term"]
     few = F.broadcast(weights.join(F.broadcast(frequent), keys, "left_semi"))
     others = entries.join(F.broadcast(frequent), keys, "left_anti")
-    return entries.join(few, keys).unionByName(others.join(weights.hint("shuffle_hash"), keys))
+    return entries.join(few, keys).unionByName(others.join(weights, keys))
 
 
 def case_entries(
@@ -206,9 +209,13 @@ def promising_pairs(asked: DataFrame, entries: DataFrame, top_k: int) -> DataFra
     leveled = weighed.join(heaviest, keys).select(
         *keys, "class_id", "impact", _level(F.col("impact") / F.col("heaviest")).alias("level")
     )
+    # salted: many cases may hold a frequent term with the same weight
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = leveled.withColumn("salt", F.pmod(F.hash("class_id"), F.lit(SALTS)))
     found = written(
         probes(asked, heaviest, floors)
-        .join(leveled, [*keys, "level"])
+        .select("*", salts)
+        .join(salted, [*keys, "level", "salt"])
         .groupBy("query_key", "candidate_group", "class_id", "shrink", "floor", "unseen")
         .agg(lower_bound),
         "found",
@@ -248,14 +255,34 @@ def score_pairs(pairs: DataFrame, asked: DataFrame, entries: DataFrame) -> DataF
     )
 
 
+class CaseIndex(NamedTuple):
+    """The part of the work that depends on the knowledge base alone."""
+
+    profiles: DataFrame
+    classes: DataFrame
+
+
+def case_index(kb: DataFrame, stop_words: list[str] | None = None) -> CaseIndex:
+    """Count the words of every case once, for use with many batches of reports."""
+    stop_words = english_stop_words() if stop_words is None else stop_words
+    profiles = written(case_profiles(kb, stop_words), "profiles")
+    return CaseIndex(profiles, written(distinct_cases(profiles), "classes"))
+
+
 def tfidf_topk(
-    reports: DataFrame, kb: DataFrame, top_k: int = 3, stop_words: list[str] | None = None
+    reports: DataFrame,
+    kb: DataFrame,
+    top_k: int = 3,
+    stop_words: list[str] | None = None,
+    index: CaseIndex | None = None,
 ) -> DataFrame:
-    """(report_id, rank, kb_id, score): the best ``top_k`` cases per report."""
+    """(report_id, rank, kb_id, score): the best ``top_k`` cases per report.
+
+    ``index`` must come from the same ``kb`` and ``stop_words``.
+    """
     check_top_k(top_k)
     stop_words = english_stop_words() if stop_words is None else stop_words
-    profiles = written(case_profiles(kb, stop_words), "profiles")
-    classes = written(distinct_cases(profiles), "classes")
+    profiles, classes = index or case_index(kb, stop_words)
     keyed, members = keyed_reports(reports, kb)
     sizes = group_sizes(profiles, members)
     frequencies = written(group_document_frequencies(profiles, members), "frequencies")

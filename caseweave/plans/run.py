@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from caseweave.operators.evaluation import evaluate_cases, retrieval_hit
 from caseweave.operators.prompts import NO_RESPONSE, run_results
 from caseweave.operators.retrieve import retrieve
+from caseweave.operators.tfidf import CaseIndex
 from caseweave.workspace import written
 
 EVALUATION_TOP_K = 3
@@ -22,10 +23,11 @@ def debug_run(
     lexical: str = "tfidf",
     placeholder: str = NO_RESPONSE,
     include_baseline: bool = True,
+    index: CaseIndex | None = None,
 ) -> DataFrame:
     """Retrieve, label, assemble the evidence and attach the responses of every report."""
     retrieved = written(
-        retrieve(reports, kb, top_k, report_vectors, kb_vectors, lexical), "retrieved"
+        retrieve(reports, kb, top_k, report_vectors, kb_vectors, lexical, index), "retrieved"
     )
     return run_results(reports, retrieved, kb, responses, placeholder, include_baseline)
 

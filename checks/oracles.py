@@ -109,7 +109,7 @@ candidates as (
 def words(source: str, key: str, column: str) -> str:
     stop = ", ".join(text(word) for word in english_stop_words())
     return f"""
-  select {key}, term, count(*) as tf from (
+  select {key}, term, cast(count(*) as integer) as tf from (
     select {key}, unnest(regexp_extract_all(lower({column}), '[\\p{{L}}\\p{{N}}_]{{2,}}')) as term
     from {source})
   where term not in ({stop}) group by all"""
