@@ -55,8 +55,11 @@ def promising_pairs(asked: DataFrame, postings: DataFrame, top_k: int) -> DataFr
     """(query_key, class_id) pairs that can be among the top k."""
     keys = ["candidate_group", "token"]
     long_first = Window.partitionBy(*keys).orderBy(F.desc("length"), "class_id")
-    strong = postings.withColumn("place", F.row_number().over(long_first)).filter(
-        F.col("place") <= max(STRONG_CASES, top_k)
+    strong = written(
+        postings.withColumn("place", F.row_number().over(long_first)).filter(
+            F.col("place") <= max(STRONG_CASES, top_k)
+        ),
+        "strong",
     )
     frequencies = postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("df"))
     shared = F.count(F.lit(1)).alias("score")

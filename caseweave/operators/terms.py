@@ -83,12 +83,13 @@ def distinct_queries(keyed_reports: DataFrame) -> DataFrame:
 
 def group_sizes(profiles: DataFrame, members: DataFrame) -> DataFrame:
     """(candidate_group, candidates)."""
-    return (
+    return written(
         profiles.groupBy("facet_id")
         .agg(F.count(F.lit(1)).alias("cases"))
         .join(members, "facet_id")
         .groupBy("candidate_group")
-        .agg(F.sum("cases").alias("candidates"))
+        .agg(F.sum("cases").alias("candidates")),
+        "sizes",
     )
 
 

@@ -192,8 +192,11 @@ def promising_pairs(asked: DataFrame, entries: DataFrame, top_k: int) -> DataFra
         *keys, "class_id", (F.col("tf") * F.col("idf0") / F.sqrt("norm2")).alias("impact")
     )
     heavy_first = Window.partitionBy(*keys).orderBy(F.desc("impact"), "class_id")
-    strong = weighed.withColumn("place", F.row_number().over(heavy_first)).filter(
-        F.col("place") <= max(STRONG_CASES, top_k)
+    strong = written(
+        weighed.withColumn("place", F.row_number().over(heavy_first)).filter(
+            F.col("place") <= max(STRONG_CASES, top_k)
+        ),
+        "strong",
     )
     lower_bound = F.sum(F.col("gain") * F.col("impact")).alias("score")
 

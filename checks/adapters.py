@@ -72,11 +72,10 @@ def cases(spark: SparkSession, folder: str) -> DataFrame:
 
 def _vector_of(spark: SparkSession, folder: str, keys: DataFrame, key: str, place) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
-    count = vectors.agg(F.count(F.lit(1)).alias("n"))
+    count = vectors.count()
     return (
         keys.select(key)
-        .join(count)
-        .withColumn("vec_id", F.expr(f"({place}) % n"))
+        .withColumn("vec_id", F.expr(f"({place}) % {count}"))
         .join(vectors, "vec_id")
         .select(key, "embedding")
     )

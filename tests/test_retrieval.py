@@ -11,6 +11,7 @@ from caseweave.operators.terms import term_stats
 from caseweave.operators.tfidf import tfidf_topk
 from caseweave.operators.vectors import embedding_topk
 from caseweave.schemas import KB_SCHEMA, REPORT_SCHEMA
+from caseweave.workspace import written
 from tests.corpus import corpus
 from tests.direct import (
     by_report,
@@ -146,15 +147,35 @@ def test_term_stats_count_the_report(spark):
     assert abs(sum(r.weight**2 for r in rows) - 1) < 1e-6
 
 
-def test_plans_have_no_nested_loops(spark):
-    kb, reports = corpus(9, 30)
+def test_plans_have_no_nested_loops(spark, monkeypatch):
+    kb, reports, kb_vectors, asked = vector_fixture(9, 30)
     report_df, kb_df = frame(spark, reports, REPORT_SCHEMA), frame(spark, kb, KB_SCHEMA)
-    for df in [
-        candidate_filter(report_df, kb_df),
-        tfidf_topk(report_df, kb_df),
-        overlap_topk(report_df, kb_df),
-    ]:
-        plan = df._jdf.queryExecution().executedPlan().toString()
+    plans = []
+
+    def record(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    def recorded(df, name):
+        record(df)
+        return written(df, name)
+
+    for module in ["terms", "tfidf", "overlap", "vectors"]:
+        monkeypatch.setattr(f"caseweave.operators.{module}.written", recorded)
+    record(candidate_filter(report_df, kb_df))
+    record(tfidf_topk(report_df, kb_df))
+    record(overlap_topk(report_df, kb_df))
+    record(embedding_topk(report_df, kb_df, *vector_frames(spark, kb_vectors, asked)))
+    assert len(plans) > 20
+    for plan in plans:
         assert "CartesianProduct" not in plan
         assert "NestedLoop" not in plan
-    assert "WindowGroupLimit" in plan
+    assert "WindowGroupLimit" in plans[-1]
+
+
+def test_unused_columns_are_not_read(spark, tmp_path):
+    kb, reports = corpus(10, 20)
+    frame(spark, kb, KB_SCHEMA).write.parquet(str(tmp_path / "kb"))
+    stored = spark.read.parquet(str(tmp_path / "kb"))
+    df = candidate_filter(frame(spark, reports, REPORT_SCHEMA), stored)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema" in plan and "root_cause" not in plan
