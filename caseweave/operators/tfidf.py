@@ -51,17 +51,29 @@ LIGHT_PART = 0.1
 TIE_MARGIN = 1e-8
 
 
-def distinct_cases(profiles: DataFrame) -> DataFrame:
+def later_copies(profiles: DataFrame) -> DataFrame:
+    """(kb_id) of every case that repeats one with a smaller kb_id."""
+    repeated = (
+        profiles.groupBy("digest")
+        .agg(F.min("kb_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+        .filter("copies > 1")
+    )
+    return (
+        profiles.select("digest", "kb_id")
+        .join(repeated, "digest")
+        .filter(F.col("kb_id") != F.col("first_id"))
+        .select("kb_id")
+    )
+
+
+def distinct_cases(profiles: DataFrame, copies: DataFrame) -> DataFrame:
     """One row per group of copies: (class_id, digest, facet_id, bag).
 
     Copies have equal scores, so they are weighted once; ``class_id`` is the smallest
-    kb_id of the group.
+    kb_id of the group. Only ids are grouped and joined, the bags stay where they are
+    unless a large part of the cases are copies.
     """
-    return profiles.groupBy("digest").agg(
-        F.min("kb_id").alias("class_id"),
-        F.any_value("facet_id").alias("facet_id"),
-        F.any_value("bag").alias("bag"),
-    )
+    return profiles.join(copies, "kb_id", "left_anti").withColumnRenamed("kb_id", "class_id")
 
 
 def join_weights(entries: DataFrame, weights: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -262,14 +274,14 @@ class CaseIndex(NamedTuple):
     """The part of the work that depends on the knowledge base alone."""
 
     profiles: DataFrame
-    classes: DataFrame
+    copies: DataFrame
 
 
 def case_index(kb: DataFrame, stop_words: list[str] | None = None) -> CaseIndex:
     """Count the words of every case once, for use with many batches of reports."""
     stop_words = english_stop_words() if stop_words is None else stop_words
     profiles = written(case_profiles(kb, stop_words), "profiles")
-    return CaseIndex(profiles, written(distinct_cases(profiles), "classes"))
+    return CaseIndex(profiles, written(later_copies(profiles), "copies"))
 
 
 def tfidf_topk(
@@ -285,7 +297,8 @@ def tfidf_topk(
     """
     check_top_k(top_k)
     stop_words = english_stop_words() if stop_words is None else stop_words
-    profiles, classes = index or case_index(kb, stop_words)
+    profiles, copies = index or case_index(kb, stop_words)
+    classes = distinct_cases(profiles, copies)
     keyed, members = keyed_reports(reports, kb)
     sizes = group_sizes(profiles, members)
     frequencies = written(group_document_frequencies(profiles, members), "frequencies")

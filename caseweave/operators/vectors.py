@@ -34,8 +34,10 @@ from caseweave.operators.ranking import (
 from caseweave.workspace import written
 
 PIVOTS = 32
-CASES_PER_BLOCK = 4096
-REPORTS_PER_BLOCK = 1024
+# a side is copied once per block of the other side, so blocks are as large as tasks allow
+CASES_PER_BLOCK = 8192
+REPORTS_PER_BLOCK = 16384
+REPORTS_PER_PRODUCT = 1024
 TIE_MARGIN = 1e-8
 
 
@@ -80,23 +82,39 @@ def angle_udf(pivots: np.ndarray) -> Callable:
     return angles
 
 
+def _top_columns(scores: np.ndarray, top_k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the ``top_k`` entries per row; equal scores go to lower columns."""
+    k = min(top_k, scores.shape[1])
+    smallest = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+    rows, columns = np.nonzero(scores >= smallest[:, None])
+    order = np.lexsort((columns, -scores[rows, columns], rows))
+    rows, columns = rows[order], columns[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return rows[place < k], columns[place < k]
+
+
 def _block_scorer(top_k: int) -> Callable:
     def score(asks: pd.DataFrame, cases: pd.DataFrame) -> pd.DataFrame:
         if asks.empty or cases.empty:
             return pd.DataFrame({"query_key": [], "kb_id": [], "score": []})
-        cases = cases.sort_values("kb_id", kind="stable")
-        ids = cases["kb_id"].to_numpy()
-        products = _unit_rows(asks["embedding"])[0] @ _unit_rows(cases["embedding"])[0].T
-        scores = np.round(products, SCORE_PLACES) + 0.0
-        # stable sort on rows in kb_id order: equal scores stay in kb_id order
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :top_k]
-        return pd.DataFrame(
-            {
-                "query_key": np.repeat(asks["query_key"].to_numpy(), order.shape[1]),
-                "kb_id": ids[order.ravel()],
-                "score": np.take_along_axis(scores, order, axis=1).ravel(),
-            }
-        )
+        cases = cases.sort_values("kb_id")
+        case_ids, case_rows = cases["kb_id"].to_numpy(), _unit_rows(cases["embedding"])[0]
+        parts = []
+        for start in range(0, len(asks), REPORTS_PER_PRODUCT):
+            some = asks.iloc[start : start + REPORTS_PER_PRODUCT]
+            products = _unit_rows(some["embedding"])[0] @ case_rows.T
+            scores = np.round(products, SCORE_PLACES) + 0.0
+            rows, columns = _top_columns(scores, top_k)
+            parts.append(
+                pd.DataFrame(
+                    {
+                        "query_key": some["query_key"].to_numpy()[rows],
+                        "kb_id": case_ids[columns],
+                        "score": scores[rows, columns],
+                    }
+                )
+            )
+        return pd.concat(parts)
 
     return score
 
