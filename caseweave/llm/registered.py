@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from caseweave.llm import simhash
+from caseweave.llm import decontaminate, simhash
 
 
 def queries() -> dict:
     return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
         "op8_simhash": simhash.op8_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_decontaminate": decontaminate.OP1_SQL,
+    }
