@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, simhash
+from caseweave.llm import decontaminate, simhash, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
+        "op2_token_counts": token_counts.op2_token_counts,
         "op8_simhash": simhash.op8_simhash,
     }
 
