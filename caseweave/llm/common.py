@@ -15,14 +15,17 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def id_and_bytes(docs: DataFrame, id_name: str = "doc_id", text: str = "text") -> DataFrame:
+def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the two columns an operator reads; a null text counts as empty."""
     return docs.select(
-        F.col(id_name).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
 
 
+def id_and_bytes(docs: DataFrame) -> DataFrame:
+    return id_and_text(docs).withColumn("text", F.col("text").cast("binary"))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` is called so."""
     while name.lower() in {c.lower() for c in df.columns}:

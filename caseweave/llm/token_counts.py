@@ -21,16 +21,16 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import id_and_bytes, table
-from caseweave.llm.units import careful_units, encoder, is_plain, tokenizer_path, units
+from caseweave.llm.common import id_and_text, table
+from caseweave.llm.units import cut, encoder, tokenizer_path
 
 LIMIT = 1024
 SALTS = 16
@@ -47,27 +47,14 @@ _ROWS = pa.schema(
 _SQL_ROWS = "bucket long, block long, names binary, sizes binary, docs binary, times binary"
 
 
-def pre_tokens(text: str) -> list[str]:
-    parts = units(text)
-    if len(parts) > 2 and all(map(is_plain, set(parts[1:-1]))):
-        if parts[0][-1:].strip() and parts[-1][1:2].strip():
-            return parts
-    return careful_units(text)
-
-
-def entries_of_block(block: int, ids: list, texts: list[bytes], buckets: int) -> list[list]:
+def entries_of_block(block: int, ids: list, texts: pa.StringArray, buckets: int) -> list[list]:
     """Rows: the documents of the block once, then its entries by bucket."""
-    number: dict[str, int] = {}
-    cut = [pre_tokens(x.decode()) for x in texts]
-    flat = np.fromiter(
-        (number.setdefault(x, len(number)) for x in chain.from_iterable(cut)), np.int64
-    )
+    units, flat, parts = cut(texts)
     n = len(ids)
-    of_doc = np.repeat(np.arange(n), np.fromiter(map(len, cut), np.int64, n))
-    pairs, times = np.unique(flat * n + of_doc, return_counts=True)
+    pairs, times = np.unique(flat * n + np.repeat(np.arange(n), parts), return_counts=True)
     word, doc = pairs // n, pairs % n
-    held = np.bincount(word, minlength=len(number))
-    names = [x.encode() for x in number]
+    held = np.bincount(word, minlength=len(units))
+    names = [x.encode() for x in units]
     salt = np.where(held * 2 > n, block % SALTS, 0)
     place = np.fromiter(map(zlib.crc32, names), np.int64, len(names))
     place = (place + salt * 7919) % buckets
@@ -79,11 +66,12 @@ def entries_of_block(block: int, ids: list, texts: list[bytes], buckets: int) ->
             block,
             None,
             np.where(known, np.array([x or 0 for x in ids], np.int64), 0).tobytes() + known.tobytes(),
-            np.fromiter(map(len, texts), np.int64, n).tobytes(),
+            pc.binary_length(texts).to_numpy().astype(np.int64).tobytes(),
             None,
         ]
     ]
-    order = np.argsort(place, kind="stable")
+    order = np.argsort(np.where(held > 0, place, -1), kind="stable")
+    order = order[np.count_nonzero(held == 0) :]  # pieces that are no unit
     cuts = np.flatnonzero(np.diff(place[order], prepend=-1, append=-1))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         chosen = order[a:b]
@@ -113,7 +101,7 @@ def _blocks(buckets: int):
             if batch.num_rows:
                 block = (part << 24) + k
                 rows = entries_of_block(
-                    block, batch.column(0).to_pylist(), batch.column(1).to_pylist(), buckets
+                    block, batch.column(0).to_pylist(), batch.column(1), buckets
                 )
                 yield pa.record_batch([pa.array(x, t.type) for x, t in zip(zip(*rows), _ROWS)], schema=_ROWS)
 
@@ -140,7 +128,7 @@ def _products(path: str):
             wide = _unpacked(row["docs"], items, (np.uint16, np.uint32))
             times = _unpacked(row["times"], items, (np.uint8, np.uint32))
             parts.append((row["block"], np.repeat(at, held), wide, times))
-        pieces = pieces_of([x.decode() for x in number], path)
+        pieces = encoder(path).encode([x.decode() for x in number])[1]
         for block, at, doc, times in parts:
             sums = np.bincount(doc, pieces[at] * times.astype(np.int64)).astype(np.int64)
             touched = np.flatnonzero(sums)
@@ -150,17 +138,6 @@ def _products(path: str):
     return run
 
 
-def pieces_of(names: list[str], path: str) -> np.ndarray:
-    """How many tokens the library makes of each pre-token."""
-    tool = encoder(path)
-    pieces = np.zeros(len(names), np.int64)
-    plain = np.fromiter(map(is_plain, names), bool, len(names))
-    pieces[plain] = tool.encode([x for x, y in zip(names, plain.tolist()) if y])[1]
-    for i in np.flatnonzero(~plain).tolist():
-        pieces[i] = len(tool.whole(names[i]))
-    return pieces
-
-
 def _totals(group: pa.Table) -> pa.Table:
     rows = group.to_pylist()
     head = next(x for x in rows if x["names"] is None)
@@ -178,7 +155,7 @@ def _totals(group: pa.Table) -> pa.Table:
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of every row."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = id_and_bytes(docs).mapInArrow(_blocks(buckets), _SQL_ROWS)
+    entries = id_and_text(docs).mapInArrow(_blocks(buckets), _SQL_ROWS)
     products = entries.groupBy("bucket").applyInArrow(_products(path or tokenizer_path()), _SQL_ROWS)
     return products.groupBy("block").applyInArrow(_totals, "doc_id long, n_bytes long, n_tokens long")
 

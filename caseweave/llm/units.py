@@ -3,8 +3,9 @@
 The tokenizer never lets a token reach over a single space between two characters that are not
 white space: the space opens the next pre-token. A text cut before each such space (a *unit*
 is what lies between two cuts) therefore has the ids of its units one after the other. Units
-repeat, so each distinct one is encoded once per task; the library gets many of them in one
-text, cut by the same rule, and the byte lengths of the tokens tell where each unit ends.
+repeat, so each distinct one of a batch is looked up once and encoded only if the task does
+not know it; the library gets many new ones in one text, cut by the same rule, and the byte
+lengths of the tokens tell where each unit ends.
 """
 
 from __future__ import annotations
@@ -15,12 +16,16 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
 
 FILE = "byte_bpe_50k.json"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_MARK = "\0"
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+#: Pieces between two spaces that are no unit by themselves.
+_ODD = f"^$|^{_SPACE}|{_SPACE}$"
 
 
 def tokenizer_path() -> str:
@@ -29,27 +34,58 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(FILE)
 
 
-def careful_units(text: str) -> list[str]:
+def units(text: str) -> list[str]:
     return _CUT.split(text) if text else []
 
 
-def is_plain(unit: str) -> bool:
-    """Whether a unit can stand inside a longer text: cut before it and after it."""
-    return len(unit) > 1 and unit[0] == " " and not unit[1].isspace() and not unit[-1].isspace()
+def cut(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct units, their places in the texts one after the other, and units a text.
+
+    All spaces are taken as cuts first. Texts where one of them is none are cut again.
+    """
+    pieces = pc.split_pattern(texts, " ")
+    ends = pieces.offsets.to_numpy().astype(np.int64)
+    coded = pieces.flatten().dictionary_encode()
+    at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    distinct = coded.dictionary
+    odd = pc.match_substring_regex(distinct, _ODD).to_numpy(zero_copy_only=False)
+    ends -= ends[0]
+    first, last, n = ends[:-1], ends[1:] - 1, len(texts)
+    strange = np.add.reduceat(odd[at], first) > 0 if n else np.zeros(0, bool)
+    names = [" " + x for x in distinct.to_pylist()]
+    number: dict[str, int] = {}
+    heads = distinct.take(pa.array(at[first])).to_pylist() if n else []
+    head = np.fromiter((number.setdefault(x, len(number)) for x in heads), np.int64, n)
+    at[first] = len(names) + head
+    names += number
+    counts = np.diff(ends)
+    if strange.any():
+        parts, number = [], {}
+        bounds = np.flatnonzero(strange)
+        done = 0
+        for i in bounds.tolist():
+            parts.append(at[done : first[i]])
+            own = units(texts[i].as_py())
+            parts.append(
+                np.fromiter((len(names) + number.setdefault(x, len(number)) for x in own), np.int64, len(own))
+            )
+            counts[i] = len(own)
+            done = ends[i + 1]
+        parts.append(at[done:])
+        at = np.concatenate(parts)
+        names += number
+    return names, at, counts
 
 
-def units(text: str) -> list[str]:
-    """All single spaces are taken as cuts first; the regular expression only if one is none."""
-    if _MARK in text:
-        return careful_units(text)
-    found = text.replace(" ", _MARK + " ").split(_MARK)
-    return found
+def is_plain(unit: str) -> bool:
+    """Whether units can be put before and after it without another cut."""
+    return len(unit) > 1 and unit[0] == " " and not unit[1].isspace() and not unit[-1].isspace()
 
 
 class Encoder:
     """Ids of units by the library, remembered for ``most`` distinct units at a time."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -61,58 +97,62 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.length[i] = len(added[i].content.encode()) if i in added else len(token)
         self.most = most
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {}
 
     def encode(self, wanted: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the plain units one after the other, and how many each has."""
-        texts = ["".join(wanted[i : i + 2048]) for i in range(0, len(wanted), 2048)]
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = np.fromiter(chain.from_iterable(x.ids for x in done), np.uint32)
-        stops = np.cumsum(np.fromiter((len(x.encode()) for x in wanted), np.int64, len(wanted)))
+        """Ids of units one after the other, and how many each has."""
+        plain = np.fromiter(map(is_plain, wanted), bool, len(wanted))
+        some = [x for x, y in zip(wanted, plain.tolist()) if y]
+        texts = ["".join(some[i : i + 128]) for i in range(0, len(some), 128)]
+        ids = self._ids(texts)
+        stops = np.cumsum(np.fromiter((len(x.encode()) for x in some), np.int64, len(some)))
         ends = np.cumsum(self.length[ids])
         last = np.searchsorted(ends, stops)
         if len(stops) and not np.array_equal(ends[last], stops):
             raise ValueError("the tokenizer joined two units")
-        return ids, np.diff(last + 1, prepend=0)
-
-    def whole(self, text: str) -> np.ndarray:
-        done = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(done[0].ids, np.uint32)
-
-    def learn(self, wanted: set[str]) -> dict[str, bytes | None]:
-        """Ids of new units; None for those that can't stand inside a text."""
-        plain = [x for x in wanted if is_plain(x)]
-        ids, counts = self.encode(plain)
-        flat = ids.astype("<u4").tobytes()
-        stops = (np.cumsum(counts) * 4).tolist()
-        new = dict.fromkeys(wanted.difference(plain)) if len(plain) < len(wanted) else {}
-        new.update(zip(plain, (flat[a:b] for a, b in zip([0, *stops], stops))))
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-        self.known.update(new)
-        return new
-
-    def ids_of(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        cut = [units(x) for x in texts]
-        get, absent = self.known.get, b""
-        found = [[get(x, absent) for x in parts[1:-1]] for parts in cut]
-        missing = {x for a, b in zip(cut, found) if absent in b for x, y in zip(a[1:-1], b) if y == absent}
-        learnt = self.learn(missing) if missing else {}
-        out = []
-        for text, parts, inner in zip(texts, cut, found):
-            if absent in inner:
-                inner = [y if y != absent else learnt[x] for x, y in zip(parts[1:-1], inner)]
-            # The first and the last unit are at an end of the text, which allows more of them.
-            if len(parts) < 3 or None in inner or parts[0][-1:].strip() == "" or parts[-1][1:2].strip() == "":
-                out.append(b"".join(map(self._alone, careful_units(text))))
-            else:
-                out.append(b"".join([self._alone(parts[0]), *inner, self._alone(parts[-1])]))
-        return out
-
-    def _alone(self, unit: str) -> bytes:
-        found = self.known.get(unit)
-        return self.whole(unit).astype("<u4").tobytes() if found is None else found
+        counts = np.zeros(len(wanted), np.int64)
+        counts[plain] = np.diff(last + 1, prepend=0)
+        if not plain.all():
+            alone = [self._ids([wanted[i]]) for i in np.flatnonzero(~plain).tolist()]
+            counts[~plain] = [len(x) for x in alone]
+            flat = np.empty(counts.sum(), np.uint32)
+            of_plain = np.repeat(plain, counts)
+            flat[of_plain], flat[~of_plain] = ids, np.concatenate(alone)
+            ids = flat
+        return ids, counts
+
+    def _ids(self, texts: list[str]) -> np.ndarray:
+        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return np.fromiter(chain.from_iterable(x.ids for x in done), np.uint32)
+
+    def ids(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, of distinct units; those not known yet are learnt."""
+        found = list(map(self.known.get, names))
+        new = [x for x, y in zip(names, found) if y is None]
+        if new:
+            ids, counts = self.encode(new)
+            flat, stops = ids.tobytes(), (np.cumsum(counts) * 4).tolist()
+            values = [flat[a:b] for a, b in zip([0, *stops], stops)]
+            if len(self.known) + len(new) > self.most:
+                self.known.clear()
+            self.known.update(zip(new, values))
+            values = iter(values)
+            found = [next(values) if x is None else x for x in found]
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.uint32), counts
+
+    def texts(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts one after the other, and how many each has."""
+        names, at, units_of = cut(texts)
+        flat, counts = self.ids(names)
+        start = np.cumsum(counts) - counts
+        n = counts[at]
+        total = np.cumsum(n)
+        source = np.repeat((start[at] - (total - n)).astype(np.int64), n)
+        source += np.arange(len(source))
+        edges = np.concatenate([[0], np.cumsum(units_of)])
+        summed = np.concatenate([[0], total])[edges]
+        return flat[source], np.diff(summed)
 
 
 @cache
