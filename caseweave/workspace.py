@@ -7,27 +7,30 @@ between broadcast and shuffle.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only in local mode."""
+    """The checkpoint folder of the session; in local mode without one, a folder below the
+    warehouse."""
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="caseweave-"))
-    return context.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/caseweave-work"
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A place in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark).rstrip('/')}/caseweave/{uuid.uuid4().hex}/{name}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return a scan of it."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/caseweave/{uuid.uuid4().hex}/{name}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
