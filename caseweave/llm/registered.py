@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, simhash, token_counts
+from caseweave.llm import decontaminate, simhash, token_counts, token_files
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_token_counts": token_counts.op2_token_counts,
         "op8_simhash": simhash.op8_simhash,
+        "op9_token_files": token_files.op9_token_files,
     }
 
 
