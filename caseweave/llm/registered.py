@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, simhash, token_counts, token_files
+from caseweave.llm import decontaminate, simhash, token_counts, token_files, warc
 
 
 def queries() -> dict:
@@ -11,10 +11,12 @@ def queries() -> dict:
         "op2_token_counts": token_counts.op2_token_counts,
         "op8_simhash": simhash.op8_simhash,
         "op9_token_files": token_files.op9_token_files,
+        "op10_warc": warc.op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.OP1_SQL,
+        "op10_warc": warc.OP10_SQL,
     }
