@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, simhash, token_counts, token_files, warc
+from caseweave.llm import decontaminate, lines, simhash, token_counts, token_files, warc
 
 
 def queries() -> dict:
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_token_counts": token_counts.op2_token_counts,
+        "op6_lines": lines.op6_lines,
         "op8_simhash": simhash.op8_simhash,
         "op9_token_files": token_files.op9_token_files,
         "op10_warc": warc.op10_warc,
@@ -18,5 +19,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.OP1_SQL,
+        "op6_lines": lines.OP6_SQL,
         "op10_warc": warc.OP10_SQL,
     }
