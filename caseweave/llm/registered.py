@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, lines, simhash, token_counts, token_files, warc
+from caseweave.llm import decontaminate, lines, quality, simhash, token_counts, token_files, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_token_counts": token_counts.op2_token_counts,
+        "op3_quality": quality.op3_quality,
         "op6_lines": lines.op6_lines,
+        "op7_toxicity": toxicity.op7_toxicity,
         "op8_simhash": simhash.op8_simhash,
         "op9_token_files": token_files.op9_token_files,
         "op10_warc": warc.op10_warc,
@@ -19,6 +21,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.OP1_SQL,
+        "op3_quality": quality.op3_quality,
         "op6_lines": lines.OP6_SQL,
         "op10_warc": warc.OP10_SQL,
     }
