@@ -39,6 +39,16 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose doc_id and text are those of ``gone`` (doc_id, text_hash)."""
+    key = free_name(docs, "text_hash")
+    names = [free_name(docs, "gone_id"), free_name(docs, "gone_hash")]
+    gone = gone.select(F.col("doc_id").alias(names[0]), F.col("text_hash").alias(names[1])).distinct()
+    marked = docs.withColumn(key, F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(gone[names[0]]) & (marked[key] == gone[names[1]])
+    return marked.join(gone, same, "left_anti").select(*docs.columns)
+
+
 def smaller_neighbours(edges: DataFrame) -> DataFrame:
     """One round of large-star and small-star over edges (a > b), without repeats.
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import ascii_lower, free_name, table
+from caseweave.llm.common import ascii_lower, free_name, table, without_rows
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 WORDS = 10
@@ -123,27 +123,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.select("doc_id", "text_hash", "n_words", covered.alias("n_hit"), "items", "hits")
 
 
-def _of_rows(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with the rows of ``found`` that have hits, by id and text."""
-    key, at = free_name(docs, "text_hash"), free_name(docs, "hits")
-    names = [free_name(docs, "found_id"), free_name(docs, "found_hash")]
-    found = found.where("n_hit > 0").select(
-        F.col("doc_id").alias(names[0]), F.col("text_hash").alias(names[1]), F.col("hits").alias(at)
-    ).dropDuplicates(names)
-    docs = docs.withColumn(key, F.xxhash64("text"))
-    same = docs["doc_id"].eqNullSafe(found[names[0]]) & (docs[key] == found[names[1]])
-    return docs.join(found, same, how), at
-
-
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a window of the benchmark."""
-    clean, _ = _of_rows(docs, contamination(docs, benchmark), "left_anti")
-    return clean.select(*docs.columns)
+    return without_rows(docs, contamination(docs, benchmark).where("n_hit > 0"))
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with the hit words, and the separators after them, cut out of the texts."""
-    joined, at = _of_rows(docs, contamination(docs, benchmark), "left")
+    key, at = free_name(docs, "text_hash"), free_name(docs, "hits")
+    names = [free_name(docs, "found_id"), free_name(docs, "found_hash")]
+    found = contamination(docs, benchmark).where("n_hit > 0").select(
+        F.col("doc_id").alias(names[0]), F.col("text_hash").alias(names[1]), F.col("hits").alias(at)
+    )
+    marked = docs.withColumn(key, F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(found[names[0]]) & (marked[key] == found[names[1]])
+    joined = marked.join(found.dropDuplicates(names), same, "left")
     pieces = F.regexp_extract_all("text", F.lit(f"(^{SEPARATORS}+|[^{SEPARATORS[1:]}+{SEPARATORS}*)"), F.lit(1))
     lead = F.regexp_extract(F.col("text"), f"^{SEPARATORS}+", 0)
     skip = F.when(lead == "", 0).otherwise(1)  # words are counted from one

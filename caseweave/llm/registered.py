@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, lines, quality, simhash, substrings, token_counts, token_files, toxicity, warc
+from caseweave.llm import decontaminate, lines, mixing, quality, simhash, substrings, token_counts, token_files, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_token_counts": token_counts.op2_token_counts,
         "op3_quality": quality.op3_quality,
+        "op4_mixing": mixing.op4_mixing,
         "op5_substrings": substrings.op5_substrings,
         "op6_lines": lines.op6_lines,
         "op7_toxicity": toxicity.op7_toxicity,
@@ -23,6 +24,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.OP1_SQL,
         "op3_quality": quality.op3_quality,
+        "op4_mixing": mixing.op4_mixing,
         "op5_substrings": substrings.op5_substrings,
         "op6_lines": lines.OP6_SQL,
         "op10_warc": warc.OP10_SQL,
