@@ -134,13 +134,12 @@ def near_copies(docs: DataFrame) -> DataFrame:
     return prints.join(named, "fp").select("doc_id", "fp", "component_id", "component_size")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without near copies: the row with the smallest doc_id of each component stays.
+def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` without the copies ``found`` (doc_id, component_id): the row with the smallest doc_id of each component stays.
 
     Of rows that repeat that doc_id the first by text stays. Rows without a doc_id all stay, as
     nothing could name the one to keep.
     """
-    found = near_copies(docs)
     stay = found.where("doc_id = component_id").select("doc_id").distinct()
     rank = free_name(docs, "rank")
     first = Window.partitionBy("doc_id").orderBy("text")
