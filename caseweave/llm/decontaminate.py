@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from caseweave.llm.common import ascii_lower, free_name, table, without_rows
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+#: Separators in a text that is not lower-cased.
+GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WORDS = 10
 MOST_BITS = 1 << 23
 BROADCAST_WINDOWS = 100_000
@@ -138,8 +140,8 @@ def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     marked = docs.withColumn(key, F.xxhash64("text"))
     same = marked["doc_id"].eqNullSafe(found[names[0]]) & (marked[key] == found[names[1]])
     joined = marked.join(found.dropDuplicates(names), same, "left")
-    pieces = F.regexp_extract_all("text", F.lit(f"(^{SEPARATORS}+|[^{SEPARATORS[1:]}+{SEPARATORS}*)"), F.lit(1))
-    lead = F.regexp_extract(F.col("text"), f"^{SEPARATORS}+", 0)
+    pieces = F.regexp_extract_all("text", F.lit(f"(^{GAPS}+|[^{GAPS[1:]}+{GAPS}*)"), F.lit(1))
+    lead = F.regexp_extract("text", f"^{GAPS}+", 0)
     skip = F.when(lead == "", 0).otherwise(1)  # words are counted from one
     kept = F.filter(
         pieces,

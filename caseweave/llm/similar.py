@@ -74,18 +74,23 @@ def lowered(texts: pa.StringArray) -> pa.StringArray:
     )
 
 
+def smallest(code: np.ndarray, counts: np.ndarray, places: int) -> np.ndarray:
+    """For each text and place the smallest of its shingles' hashes under the place's mixing."""
+    out = np.zeros((len(counts), places), np.uint64)
+    some = np.flatnonzero(counts)
+    heads = (np.cumsum(counts) - counts)[some]
+    for k in range(places if len(some) else 0):
+        mixed = (code ^ np.uint64((2 * k + 1) * _B % 2**64)) * np.uint64(((k + 3) * _A | 1) % 2**64)
+        mixed ^= mixed >> np.uint64(32)
+        out[some, k] = np.minimum.reduceat(mixed, heads)
+    return out
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, 1):
             code, counts, digests = shingle_hashes(batch.column(1))
-            n = len(counts)
-            places = np.zeros((n, PLACES), np.uint16)
-            some = np.flatnonzero(counts)
-            heads = (np.cumsum(counts) - counts)[some]
-            for k in range(PLACES if len(some) else 0):
-                mixed = (code ^ np.uint64((2 * k + 1) * _B % 2**64)) * np.uint64(((k + 3) * _A | 1) % 2**64)
-                mixed ^= mixed >> np.uint64(32)
-                places[some, k] = np.minimum.reduceat(mixed, heads).astype(np.uint16)
+            places = smallest(code, counts, PLACES).astype(np.uint16)
             columns = [batch.column(0), pa.array(digests, pa.binary())]
             columns += [pa.array([x.tobytes() for x in places], pa.binary())]
             yield pa.record_batch(columns, names=["doc_id", "node", "places"])

@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.llm.common import free_name, id_and_text, table
-from caseweave.llm.words import Words, slices, words_of
+from caseweave.llm.similar import shingle_hashes, smallest
+from caseweave.llm.words import slices, words_of
 
 SAMPLE = 20_000
 FEATURES = 512
@@ -112,24 +113,10 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarr
     return weights, np.cumsum(np.concatenate([steps[:1], np.exp(steps[1:])]))
 
 
-def sketches(words: Words) -> np.ndarray:
-    """For each text the smallest of its shingles' hashes under ``SKETCHES`` mixings; equal for
-    copies, and for near copies most of the time. Texts under five words have one shingle."""
-    n, h = len(words.counts), words.hashes()[words.at]
-    code = np.zeros(len(h) + 5, np.uint64)
-    for k in range(5):
-        shifted = np.concatenate([h[k:], np.zeros(k, np.uint64)])
-        code[: len(h)] = (code[: len(h)] ^ shifted) * np.uint64(0x9E3779B97F4A7C15)
-        code ^= code >> np.uint64(31)
-    out = np.full((n, SKETCHES), np.uint64(2**64 - 1))
-    some = np.flatnonzero(words.counts)
-    shingles = np.maximum(words.counts[some] - 4, 1)
-    at = np.repeat(words.first[some] - np.cumsum(shingles) + shingles, shingles) + np.arange(shingles.sum())
-    for k in range(SKETCHES if len(some) else 0):
-        mixed = (code[at] ^ np.uint64((2 * k + 1) * 0xC2B2AE3D27D4EB4F % 2**64)) * np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-        out[some, k] = np.minimum.reduceat(mixed, np.cumsum(shingles) - shingles)
-    return out
+def sketches(texts: pa.StringArray) -> np.ndarray:
+    """``SKETCHES`` numbers of each text, equal for copies and some of them for near copies."""
+    code, counts, _ = shingle_hashes(texts)
+    return smallest(code, counts, SKETCHES)
 
 
 def first_of_copies(prints: np.ndarray) -> np.ndarray:
@@ -149,7 +136,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, word = marked_words(batch.column(1))
             edges = np.searchsorted(text, np.arange(batch.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(word.view(np.int64)))
-            prints = pa.array(sketches(words_of(batch.column(1))).view(np.int64).tolist(), pa.list_(pa.int64()))
+            prints = pa.array(sketches(batch.column(1)).view(np.int64).tolist(), pa.list_(pa.int64()))
             yield pa.record_batch(
                 [batch.column(0), batch.column(2), lists, prints], names=["doc_id", "toxic", "words", "prints"]
             )
