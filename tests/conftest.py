@@ -3,7 +3,8 @@ from pyspark.sql import SparkSession
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    work = tmp_path_factory.mktemp("spark")
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
@@ -11,6 +12,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.warehouse.dir", f"{work}/warehouse")
+        .config("spark.checkpoint.dir", f"{work}/shared")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
