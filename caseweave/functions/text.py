@@ -131,5 +131,7 @@ def round_half_even(value: Column, places: int = 3) -> Column:
 
 
 def fixed_point(value: Column, places: int = 3) -> Column:
-    """Text with a fixed number of decimals, rounded half to even."""
-    return F.format_string(f"%.{places}f", round_half_even(value, places))
+    """Text with a fixed number of decimals, rounded half to even; the sign always shows."""
+    rounded = round_half_even(value, places)
+    small = (value < 0) & (rounded == 0)
+    return F.when(small, f"{-0.0:.{places}f}").otherwise(F.format_string(f"%.{places}f", rounded))

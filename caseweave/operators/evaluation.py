@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.functions.text import joined, round_half_even, text_or_empty
-from caseweave.operators.shaping import in_rank_order, matched_cases
+from caseweave.operators.shaping import in_rank_order, listed_examples, matched_cases
 
 
 def keyword_share(text: Column, focus: Column) -> Column:
     """Share of the keywords that occur in the text, ignoring case; none expected gives 0."""
     lowered = F.lower(text_or_empty(text))
+    focus = F.coalesce(focus, F.array().cast("array<string>"))
     hits = F.size(F.filter(focus, lambda keyword: F.contains(lowered, F.lower(keyword))))
-    return F.coalesce(hits, F.lit(0)) / F.greatest(F.coalesce(F.size(focus), F.lit(0)), F.lit(1))
+    return hits / F.greatest(F.size(focus), F.lit(1))
 
 
 def keyword_coverage(
@@ -68,7 +69,11 @@ def evaluate_cases(cases: DataFrame, results: DataFrame, hits: DataFrame) -> Dat
         )
         .join(
             results.select(
-                "report_id", "retrieval_confidence", "rag_response", "baseline_response"
+                "report_id",
+                "retrieval_confidence",
+                "rag_response",
+                "baseline_response",
+                listed_examples(F.col("retrieved_examples")).alias("top_retrievals"),
             ),
             "report_id",
         )
@@ -83,7 +88,8 @@ def eval_summary(case_results: DataFrame) -> DataFrame:
     """One row of counts and averages; averages of no cases are null."""
 
     def mean(name: str) -> Column:
-        return round_half_even(F.avg(name)).alias(f"average_{name}")
+        # twelve places first, so that the order of addition can't turn a tie
+        return round_half_even(F.round(F.avg(name), 12)).alias(f"average_{name}")
 
     delta = F.col("score_delta")
     return case_results.agg(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseweave.operators.inputs import normalize_input
-from caseweave.operators.shaping import confidence, evidence_context
+from caseweave.operators.shaping import NO_EVIDENCE, examples_of, metric_columns
 
 # Labels and instructions of the request texts.
 NOT_PROVIDED = "Not provided"
@@ -38,12 +38,20 @@ def complete_templates(templates: DataFrame | None, fallback: DataFrame) -> Data
     """(mode, system_prompt) with the fallback text for modes that have no template."""
     if templates is None:
         return fallback
-    given = templates.select("mode", F.col("system_prompt").alias("given"))
+    # one row for each mode of the fallback, which bounds what is broadcast
+    known = templates.join(fallback.select("mode"), "mode", "left_semi")
+    given = known.groupBy("mode").agg(_only(F.col("system_prompt"), "template", F.col("mode")).alias("given"))
     return fallback.join(F.broadcast(given), "mode", "left").select(
         "mode", F.coalesce("given", "system_prompt").alias("system_prompt")
     )
 
 
+def _only(value: Column, what: str, key: Column) -> Column:
+    """The one value of a group; more than one end the job."""
+    several = F.raise_error(F.concat(F.lit(f"more than one {what} for "), key.cast("string")))
+    return F.when(F.count(F.lit(1)) > 1, several.cast("string")).otherwise(F.max(value))
+
+
 def _field(label: str, name: str, separator: str = " ") -> Column:
     value = F.when(F.col(name) == "", NOT_PROVIDED).otherwise(F.col(name))
     return F.concat(F.lit(f"{label}:{separator}"), value)
@@ -84,7 +92,9 @@ def prompt_requests(
         F.lit(RAG_INSTRUCTION),
     )
     baseline = F.concat_ws("\n\n", "baseline_input", F.lit(BASELINE_INSTRUCTION))
-    user_prompts = prompt_inputs(reports).join(evidence, "report_id").select(
+    shown = F.coalesce("evidence", F.lit(NO_EVIDENCE)).alias("evidence")
+    inputs = prompt_inputs(reports).join(evidence, "report_id", "left")
+    user_prompts = inputs.select("report_id", "rag_input", "baseline_input", shown).select(
         "report_id",
         F.explode(
             F.array(
@@ -108,19 +118,27 @@ def response_join(
 ) -> DataFrame:
     """(report_id, rag_response, baseline_response); missing texts get the placeholder."""
     modes = ["rag", "baseline"] if include_baseline else ["rag"]
-    by_mode = responses.groupBy("report_id").agg(
-        *[F.max(F.when(F.col("mode") == mode, F.col("text"))).alias(mode) for mode in modes]
-    )
     return (
         reports.select("report_id")
-        .join(by_mode, "report_id", "left")
-        .select(
-            "report_id",
-            *[F.coalesce(mode, F.lit(placeholder)).alias(f"{mode}_response") for mode in modes],
-        )
+        .join(responses_by_mode(responses, modes), "report_id", "left")
+        .select("report_id", *_shown_responses(modes, placeholder))
+    )
+
+
+def responses_by_mode(responses: DataFrame, modes: list[str]) -> DataFrame:
+    """(report_id, a column for each mode); two responses to one request end the job."""
+    one = responses.groupBy("report_id", "mode").agg(
+        _only(F.col("text"), "response", F.concat_ws(" ", F.col("report_id").cast("string"), "mode")).alias("text")
+    )
+    return one.groupBy("report_id").agg(
+        *[F.max(F.when(F.col("mode") == mode, F.col("text"))).alias(mode) for mode in modes]
     )
 
 
+def _shown_responses(modes: list[str], placeholder: str) -> list[Column]:
+    return [F.coalesce(mode, F.lit(placeholder)).alias(f"{mode}_response") for mode in modes]
+
+
 def run_results(
     reports: DataFrame,
     retrieved: DataFrame,
@@ -129,13 +147,21 @@ def run_results(
     placeholder: str = NO_RESPONSE,
     include_baseline: bool = True,
 ) -> DataFrame:
-    """One row per report: cleaned input, confidence, evidence and responses."""
+    """One row per report: cleaned input, metrics, examples, evidence and responses.
+
+    ``retrieved_examples`` is an array of structs in rank order, empty without matches.
+    """
+    modes = ["rag", "baseline"] if include_baseline else ["rag"]
     if responses is None:
         responses = reports.select(
             "report_id", F.lit("rag").alias("mode"), F.lit(None).cast("string").alias("text")
         )
+    examples = examples_of(retrieved, kb)
+    none = F.array().cast(examples.schema["retrieved_examples"].dataType)
     return (
         normalize_input(reports)
+        .join(examples, "report_id", "left")
+        .join(responses_by_mode(responses, modes), "report_id", "left")
         .select(
             "report_id",
             "error_message",
@@ -143,8 +169,9 @@ def run_results(
             "environment",
             "assignment_context",
             "retrieval_method",
+            *metric_columns(),
+            F.coalesce("retrieved_examples", none).alias("retrieved_examples"),
+            F.coalesce("evidence", F.lit(NO_EVIDENCE)).alias("evidence"),
+            *_shown_responses(modes, placeholder),
         )
-        .join(confidence(reports, retrieved), "report_id")
-        .join(evidence_context(reports, retrieved, kb), "report_id")
-        .join(response_join(reports, responses, placeholder, include_baseline), "report_id")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseweave.functions.text import fixed_point, joined, round_half_even, text_or_empty
 from caseweave.operators.inputs import shown_platform
+from caseweave.schemas import CASE_FIELDS
 
 # Labels and texts that are part of the results.
 HIGH_SCORE = 0.45
@@ -54,20 +55,19 @@ def run_metrics(reports: DataFrame, retrieved: DataFrame) -> DataFrame:
     counts = retrieved.groupBy("report_id").agg(
         F.count(F.lit(1)).alias("evidence_count"), F.max("score").alias("top_score")
     )
-    label = F.col("retrieval_confidence")
-    return (
-        reports.select("report_id", "retrieval_method")
-        .join(counts, "report_id", "left")
-        .withColumn("retrieval_confidence", confidence_label(F.col("top_score")))
-        .select(
-            "report_id",
-            "retrieval_method",
-            "retrieval_confidence",
-            F.coalesce("evidence_count", F.lit(0)).alias("evidence_count"),
-            F.coalesce("top_score", F.lit(0.0)).alias("top_score"),
-            F.when(label == "low", LOW_NOTICE).when(label == "medium", MEDIUM_NOTICE).alias("notice"),
-        )
-    )
+    joined_counts = reports.select("report_id", "retrieval_method").join(counts, "report_id", "left")
+    return joined_counts.select("report_id", "retrieval_method", *metric_columns())
+
+
+def metric_columns() -> list[Column]:
+    """Confidence, number of matches, top score and notice, from the counts of a report."""
+    label = confidence_label(F.col("top_score"))
+    return [
+        label.alias("retrieval_confidence"),
+        F.coalesce("evidence_count", F.lit(0)).alias("evidence_count"),
+        F.coalesce("top_score", F.lit(0.0)).alias("top_score"),
+        F.when(label == "low", LOW_NOTICE).when(label == "medium", MEDIUM_NOTICE).alias("notice"),
+    ]
 
 
 def _example_text() -> Column:
@@ -96,32 +96,48 @@ def in_rank_order(value: str) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct("rank", value))), lambda e: e[value])
 
 
-def evidence_context(reports: DataFrame, retrieved: DataFrame, kb: DataFrame) -> DataFrame:
-    """(report_id, evidence): the matches of a report as one text block."""
-    examples = (
-        matched_cases(
-            retrieved,
-            kb,
-            "error",
-            "platform",
-            "context",
-            "root_cause",
-            "explanation",
-            "fix_steps",
-            "common_mistakes",
-            "source_type",
-            "source_url",
-        )
-        .select("report_id", "rank", "score", _example_text().alias("example"))
+def examples_of(retrieved: DataFrame, kb: DataFrame) -> DataFrame:
+    """(report_id, retrieved_examples, evidence_count, top_score, evidence): the matches of a
+    report with the fields of their cases, in rank order, and the same as one text."""
+    fields = [field.name for field in CASE_FIELDS]
+    example = F.struct("rank", "kb_id", "score", *fields)
+    found = (
+        matched_cases(retrieved, kb, *fields)
+        .select("report_id", "rank", "score", example.alias("case"), _example_text().alias("example"))
         .groupBy("report_id")
-        .agg(in_rank_order("example").alias("examples"), F.max("score").alias("top_score"))
+        .agg(
+            in_rank_order("case").alias("retrieved_examples"),
+            in_rank_order("example").alias("examples"),
+            F.count(F.lit(1)).alias("evidence_count"),
+            F.max("score").alias("top_score"),
+        )
     )
     heading = F.concat(F.lit("Retrieval confidence: "), confidence_label(F.col("top_score")))
     text = F.array_join(F.concat(F.array(heading), "examples"), "\n\n")
+    return found.withColumn("evidence", text).drop("examples")
+
+
+def listed_examples(examples: Column) -> Column:
+    """Examples as an evaluation lists them: scores of three places, no case positions."""
+    return F.transform(
+        examples,
+        lambda e: F.struct(
+            text_or_empty(e["error"]).alias("error"),
+            text_or_empty(e["platform"]).alias("platform"),
+            round_half_even(e["score"]).alias("score"),
+            text_or_empty(e["root_cause"]).alias("root_cause"),
+            F.coalesce(e["fix_steps"], F.array().cast("array<string>")).alias("fix_steps"),
+            F.coalesce(e["source_url"], F.lit("N/A")).alias("source_url"),
+        ),
+    )
+
+
+def evidence_context(reports: DataFrame, retrieved: DataFrame, kb: DataFrame) -> DataFrame:
+    """(report_id, evidence): the matches of a report as one text block."""
     return (
         reports.select("report_id")
-        .join(examples, "report_id", "left")
-        .select("report_id", F.coalesce(text, F.lit(NO_EVIDENCE)).alias("evidence"))
+        .join(examples_of(retrieved, kb).select("report_id", "evidence"), "report_id", "left")
+        .select("report_id", F.coalesce("evidence", F.lit(NO_EVIDENCE)).alias("evidence"))
     )
 
 

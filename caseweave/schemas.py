@@ -54,3 +54,19 @@ RETRIEVED_SCHEMA = T.StructType(
         T.StructField("score", T.DoubleType()),
     ]
 )
+
+CASE_LINE_SCHEMA = T.StructType([T.StructField("report_id", T.LongType()), *EVALUATION_FIELDS.fields])
+
+SUMMARY_SCHEMA = T.StructType(
+    [
+        T.StructField("num_cases", T.LongType()),
+        *[
+            T.StructField(f"average_{name}", T.DoubleType())
+            for name in ("retrieval_score", "rag_score", "baseline_score", "score_delta")
+        ],
+        T.StructField("rag_better_cases", T.LongType()),
+        T.StructField("tied_cases", T.LongType()),
+        T.StructField("baseline_better_cases", T.LongType()),
+        T.StructField("run", T.StringType()),
+    ]
+)

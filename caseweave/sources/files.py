@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseweave.functions.text import strip
-from caseweave.schemas import CASE_FIELDS, EVALUATION_FIELDS, KB_SCHEMA
+from caseweave.schemas import CASE_FIELDS, CASE_LINE_SCHEMA, EVALUATION_FIELDS, KB_SCHEMA, SUMMARY_SCHEMA
+
+
+#: Malformed input ends the job instead of turning into nulls or nothing.
+STRICT = {"mode": "FAILFAST"}
 
 
 def _json_array(spark: SparkSession, path: str, fields: T.StructType, position: str) -> DataFrame:
     whole = spark.read.text(path, wholetext=True)
-    items = F.from_json("value", T.ArrayType(fields))
+    if len(whole.inputFiles()) != 1:
+        raise ValueError(f"positions need one file with one array: {path}")
+    items = F.from_json("value", T.ArrayType(fields), STRICT)
     return whole.select(F.posexplode(items).alias("place", "item")).select(
         F.col("place").cast("long").alias(position), "item.*"
     )
@@ -30,12 +38,12 @@ def read_kb(spark: SparkSession, path: str) -> DataFrame:
 
 def read_kb_lines(spark: SparkSession, path: str) -> DataFrame:
     """Knowledge base from JSON lines with a ``kb_id`` per item."""
-    return spark.read.schema(KB_SCHEMA).json(path)
+    return spark.read.schema(KB_SCHEMA).options(**STRICT).json(path)
 
 
 def parse_kb(lines: DataFrame, column: str = "value") -> DataFrame:
     """Knowledge base from a column of JSON objects with a ``kb_id`` each."""
-    return lines.select(F.from_json(column, KB_SCHEMA).alias("item")).select("item.*")
+    return lines.select(F.from_json(column, KB_SCHEMA, STRICT).alias("item")).select("item.*")
 
 
 def with_case_defaults(cases: DataFrame) -> DataFrame:
@@ -63,10 +71,13 @@ def read_cases(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_cases(lines: DataFrame, column: str = "value") -> DataFrame:
     """Evaluation cases from a column of JSON objects with a ``report_id`` each."""
-    fields = T.StructType([T.StructField("report_id", T.LongType()), *EVALUATION_FIELDS.fields])
-    return with_case_defaults(
-        lines.select(F.from_json(column, fields).alias("item")).select("item.*")
-    )
+    items = F.from_json(column, CASE_LINE_SCHEMA, STRICT)
+    return with_case_defaults(lines.select(items.alias("item")).select("item.*"))
+
+
+def read_case_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Evaluation cases from JSON lines with a ``report_id`` each."""
+    return with_case_defaults(spark.read.schema(CASE_LINE_SCHEMA).options(**STRICT).json(path))
 
 
 def read_templates(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,15 +91,34 @@ def read_templates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_evaluation(summary: DataFrame, case_results: DataFrame, folder: str) -> None:
-    """Persist an evaluation as JSON lines below ``folder``."""
-    case_results.write.mode("overwrite").json(f"{folder}/cases")
-    summary.write.mode("overwrite").json(f"{folder}/summary")
+    """Persist an evaluation as JSON lines below ``folder``.
+
+    The cases go to a folder of their own; the summary, written last, names it. A reader
+    therefore never sees the cases of one evaluation with the summary of another.
+    """
+    run = uuid.uuid4().hex
+    case_results.write.option("ignoreNullFields", "false").json(f"{folder}/cases-{run}")
+    named = summary.withColumn("run", F.lit(run)).coalesce(1)
+    named.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/summary")
 
 
 def read_summary(spark: SparkSession, folder: str) -> DataFrame | None:
     """The stored summary, or None where there is none."""
+    stored = _stored_summary(spark, folder)
+    return None if stored is None else stored.drop("run")
+
+
+def read_case_results(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame | None:
+    """The cases that belong to the stored summary."""
+    stored = _stored_summary(spark, folder)
+    run = None if stored is None else stored.first()
+    return None if run is None else spark.read.schema(schema).options(**STRICT).json(f"{folder}/cases-{run['run']}")
+
+
+def _stored_summary(spark: SparkSession, folder: str) -> DataFrame | None:
     try:
-        summary = spark.read.json(f"{folder}/summary")
-    except AnalysisException:
-        return None
-    return summary if summary.columns else None
+        return spark.read.schema(SUMMARY_SCHEMA).options(**STRICT).json(f"{folder}/summary")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseweave.functions.text import lines, whitespace_tokens
+from caseweave.functions.text import whitespace_tokens
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Scan of a table; one with fewer files than cores is spread over the cores."""
-    scan = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def kb(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,7 +25,7 @@ def kb(spark: SparkSession, folder: str) -> DataFrame:
         F.col("text").alias("root_cause"),
         F.slice(parts, F.lit(2), F.size(parts)).alias("fix_steps"),
         none.alias("common_mistakes"),
-        F.lit("").alias("solution"),
+        F.concat(F.lit("see "), F.col("source")).alias("solution"),
         F.col("source").alias("source_type"),
         F.concat(F.lit("doc://"), F.col("doc_id").cast("string")).alias("source_url"),
     )
@@ -121,30 +118,42 @@ def report_vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def responses(spark: SparkSession, folder: str) -> DataFrame:
-    """(report_id, mode, text): the first and the last assistant turn of a conversation."""
-    turns = table(spark, folder, "conversations").filter("role = 'assistant'")
-    ends = turns.groupBy(F.col("conv_id").alias("report_id")).agg(
-        F.min_by("text", "turn").alias("rag"), F.max_by("text", "turn").alias("baseline")
+def _in_turn_order(value) -> Column:
+    """All texts of a group, joined by line ends in the order of their turns."""
+    ordered = F.array_sort(F.collect_list(F.struct("conv_id", "turn", value.alias("text"))))
+    return F.array_join(F.transform(ordered, lambda t: t["text"]), "\n")
+
+
+def _by_mode(turns: DataFrame, key: Column) -> DataFrame:
+    """(report_id, mode, text) from all assistant turns: the modes take them by turns."""
+    mode = F.when(F.floor(F.col("turn") / 2) % 2 == 0, "rag").otherwise("baseline")
+    turns = turns.filter("role = 'assistant'")
+    return turns.groupBy(key.alias("report_id"), mode.alias("mode")).agg(
+        _in_turn_order(F.col("text")).alias("text")
     )
-    return ends.select(
-        "report_id",
-        F.explode(
-            F.array(
-                F.struct(F.lit("rag").alias("mode"), F.col("rag").alias("text")),
-                F.struct(F.lit("baseline").alias("mode"), F.col("baseline").alias("text")),
-            )
-        ).alias("r"),
-    ).select("report_id", "r.mode", "r.text")
+
+
+def responses(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses to conversations, which are the reports here."""
+    return _by_mode(table(spark, folder, "conversations"), F.col("conv_id"))
+
+
+def report_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses to the reports: conversations are dealt to them by id, so all take part."""
+    count = table(spark, folder, "benchmark").agg(F.count("*").alias("reports"))
+    turns = table(spark, folder, "conversations").crossJoin(F.broadcast(count))  # one row
+    return _by_mode(turns, F.col("conv_id") % F.col("reports"))
+
+
+def conversation_reports(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "conversations").select(F.col("conv_id").alias("report_id")).distinct()
 
 
 def conversation_focus(spark: SparkSession, folder: str) -> DataFrame:
-    """(report_id, expected_focus): all words of the first user turn."""
+    """(report_id, expected_focus): the words of all user turns."""
     turns = table(spark, folder, "conversations").filter("role = 'user'")
-    first = turns.groupBy(F.col("conv_id").alias("report_id")).agg(
-        F.min_by("text", "turn").alias("text")
-    )
-    return first.select("report_id", whitespace_tokens(F.col("text")).alias("expected_focus"))
+    texts = turns.groupBy(F.col("conv_id").alias("report_id")).agg(_in_turn_order(F.col("text")).alias("text"))
+    return texts.select("report_id", whitespace_tokens(F.col("text")).alias("expected_focus"))
 
 
 def conversation_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,9 +166,8 @@ def conversation_texts(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("\n"),
         F.col("text"),
     )
-    ordered = F.array_sort(F.collect_list(F.struct("turn", turn.alias("part"))))
     return (
         table(spark, folder, "conversations")
         .groupBy(F.col("conv_id").alias("response_id"))
-        .agg(F.array_join(F.transform(ordered, lambda t: t["part"]), "\n").alias("text"))
+        .agg(_in_turn_order(turn).alias("text"))
     )

@@ -55,7 +55,7 @@ NL = "chr(10)"
 KB = f"""
 kb as (
   select doc_id as kb_id, string_split(text, {NL})[1] as error, lang as platform,
-    source as context, [lang, source] as tags, '' as explanation, text as root_cause,
+    source as context, [lang, source] as tags, '' as explanation, 'see ' || source as solution, text as root_cause,
     string_split(text, {NL})[2:] as fix_steps, cast([] as varchar[]) as common_mistakes,
     source as source_type, 'doc://' || doc_id as source_url
   from documents),
@@ -221,14 +221,36 @@ prompt_inputs as (
     concat_ws({NL}, error_line, code_line) as baseline_input
   from inputs)"""
 
-RESPONSES = f"""
+def responses(key: str) -> str:
+    return f"""
 responses as (
-  select conv_id as report_id, arg_min(text, turn) as rag, arg_max(text, turn) as baseline
-  from conversations where role = 'assistant' group by conv_id),
+  select {key} as report_id, case when (turn // 2) % 2 = 0 then 'rag' else 'baseline' end as mode,
+    string_agg(text, {NL} order by conv_id, turn, text) as text
+  from conversations where role = 'assistant' group by all)"""
+
+
+def answers(key: str) -> str:
+    return f"""{responses(key)},
 answers as (
-  select r.report_id, coalesce(rag, {text(NO_RESPONSE)}) as rag_response,
-    coalesce(baseline, {text(NO_RESPONSE)}) as baseline_response
-  from reports r left join responses using (report_id))"""
+  select r.report_id, coalesce(a.text, {text(NO_RESPONSE)}) as rag_response,
+    coalesce(b.text, {text(NO_RESPONSE)}) as baseline_response
+  from reports r left join responses a on a.report_id = r.report_id and a.mode = 'rag'
+  left join responses b on b.report_id = r.report_id and b.mode = 'baseline')"""
+
+
+ANSWERS = answers("conv_id % (select count(*) from benchmark)")
+
+EXAMPLES = f"""
+listed as (
+  select report_id,
+    string_agg(concat_ws('|', rank, kb_id, printf('%.3f', score), error, platform, context,
+      {joined('tags', "','")}, explanation, root_cause, {joined('fix_steps', "';'")},
+      {joined('common_mistakes', "';'")}, solution, source_type, source_url),
+      {NL} || {NL} order by rank) as retrieved_examples,
+    string_agg(concat_ws('|', error, platform, printf('%.3f', score), root_cause,
+      {joined('fix_steps', "';'")}, source_url), {NL} || {NL} order by rank) as top_retrievals,
+    count(*) as evidence_count, max(score) as top_score
+  from retrieved join kb using (kb_id) group by report_id)"""
 
 HITS = f"""
 focus as (
@@ -246,12 +268,15 @@ CASE_RESULTS = f"""
 case_results as (
   select 'case' || report_id as id, w.error_message, coalesce(w.environment, '') as environment,
     w.retrieval_method, retrieval_confidence, retrieval_score,
+    {joined('expected_focus', "'|'")} as expected_focus,
+    coalesce(top_retrievals, '') as top_retrievals,
     {share('rag_response', 'expected_focus')} as rag_score,
     {share('baseline_response', 'expected_focus')} as baseline_score,
     {share('rag_response', 'expected_focus')} - {share('baseline_response', 'expected_focus')}
       as score_delta, rag_response, baseline_response
   from raw_reports w join focus using (report_id) join labels_of using (report_id)
-  join hits using (report_id) join answers using (report_id))"""
+  join hits using (report_id) join answers using (report_id)
+  left join listed using (report_id))"""
 
 
 def with_(parts: str, select: str) -> str:
@@ -266,7 +291,7 @@ def statements() -> dict[str, str]:
     baseline_prompt = f"baseline_input || {NL} || {NL} || {text(BASELINE_INSTRUCTION)}"
     kb_columns = f"""kb_id, error, platform, context, {joined('tags', "'|'")} as tags, explanation,
       root_cause, {joined('fix_steps', "'|'")} as fix_steps,
-      {joined('common_mistakes', "'|'")} as common_mistakes, source_type, source_url"""
+      {joined('common_mistakes', "'|'")} as common_mistakes, solution, source_type, source_url"""
     return {
         "kb_scan": with_(KB, f"select {kb_columns} from kb"),
         "cases_scan": with_(
@@ -348,17 +373,25 @@ def statements() -> dict[str, str]:
             select report_id, 'baseline', {text(FALLBACK_TEMPLATES['baseline'])}, {baseline_prompt}
             from prompt_inputs""",
         ),
-        "response_join": with_(f"{PLAIN_REPORTS}, {RESPONSES}", "select * from answers"),
+        "response_join": with_(
+            f"reports as (select distinct conv_id as report_id from conversations), {answers('conv_id')}",
+            "select * from answers",
+        ),
         "debug_run": with_(
-            f"{MIXED_RETRIEVED}, {LABELS}, {EVIDENCE}, {RESPONSES}",
-            """select report_id, error_message, code_snippet, environment, assignment_context,
-            retrieval_method, retrieval_confidence, evidence, rag_response, baseline_response
+            f"{MIXED_RETRIEVED}, {LABELS}, {EVIDENCE}, {ANSWERS}, {EXAMPLES}",
+            f"""select report_id, error_message, code_snippet, environment, assignment_context,
+            retrieval_method, retrieval_confidence, coalesce(evidence_count, 0) as evidence_count,
+            coalesce(top_score, 0.0) as top_score,
+            case retrieval_confidence when 'low' then {text(LOW_NOTICE)}
+              when 'medium' then {text(MEDIUM_NOTICE)} end as notice,
+            coalesce(retrieved_examples, '') as retrieved_examples,
+            evidence, rag_response, baseline_response
             from reports join labels_of using (report_id) join evidence_of using (report_id)
-            join answers using (report_id)""",
+            join answers using (report_id) left join listed using (report_id)""",
         ),
         "response_sections": f"""with whole as (
               select conv_id as response_id, string_agg(
-                '## ' || (turn + 1) || '. ' || role || {NL} || text, {NL} order by turn) as text
+                '## ' || (turn + 1) || '. ' || role || {NL} || text, {NL} order by turn, text) as text
               from conversations group by conv_id),
             split as (
               select response_id, string_split_regex(
@@ -380,23 +413,22 @@ def statements() -> dict[str, str]:
               cast(row_number() over (partition by response_id order by part) as integer)
                 as section_no, title, body
             from parts where title <> '' or body <> ''""",
-        "keyword_coverage": f"""with answers as (
-              select conv_id as report_id, arg_min(text, turn) as rag, arg_max(text, turn) as baseline
-              from conversations where role = 'assistant' group by conv_id),
-            texts as (select report_id, 'rag' as mode, rag as text from answers
-              union all select report_id, 'baseline', baseline from answers),
+        "keyword_coverage": with_(
+            f"""{responses('conv_id')},
             focus as (
-              select conv_id as report_id, {tokens('arg_min(text, turn)')} as expected_focus
-              from conversations where role = 'user' group by conv_id)
-            select report_id, mode, {share('text', 'expected_focus')} as coverage
-            from texts join focus using (report_id)""",
+              select conv_id as report_id,
+                {tokens(f'string_agg(text, {NL} order by turn, text)')} as expected_focus
+              from conversations where role = 'user' group by conv_id)""",
+            f"""select report_id, mode, {share('text', 'expected_focus')} as coverage
+            from responses join focus using (report_id)""",
+        ),
         "retrieval_hit": with_(f"{RETRIEVED}, {HITS}", "select * from hits"),
         "evaluate_cases": with_(
-            f"{RETRIEVED}, {LABELS}, {HITS}, {RESPONSES}, {CASE_RESULTS}",
+            f"{RETRIEVED}, {LABELS}, {HITS}, {ANSWERS}, {EXAMPLES}, {CASE_RESULTS}",
             "select * from case_results",
         ),
         "eval_summary": with_(
-            f"{RETRIEVED}, {LABELS}, {HITS}, {RESPONSES}, {CASE_RESULTS}",
+            f"{RETRIEVED}, {LABELS}, {HITS}, {ANSWERS}, {EXAMPLES}, {CASE_RESULTS}",
             f"""select count(*) as num_cases, {three('avg(retrieval_score)')} as average_retrieval_score,
             {three('avg(rag_score)')} as average_rag_score,
             {three('avg(baseline_score)')} as average_baseline_score,

@@ -8,7 +8,6 @@ from checks.compare import compare
 
 FOLDER = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
-WHOLE_RUNS = {"tfidf_topk", "tfidf_top5", "overlap_topk", "embedding_topk", "evaluate_cases", "retrieve"}
 
 
 def own(names):
@@ -21,7 +20,7 @@ def test_every_query_has_sql():
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(own(registered.queries()) - WHOLE_RUNS))
+@pytest.mark.parametrize("name", sorted(own(registered.queries())))
 def test_query_equals_sql(spark, name):
     same, detail = compare(spark, FOLDER, name)
     assert same, detail

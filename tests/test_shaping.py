@@ -166,3 +166,63 @@ def test_evaluation(spark, tables):
     assert (summary.rag_better_cases, summary.tied_cases, summary.baseline_better_cases) == (1, 1, 1)
     none = evaluation.eval_summary(scored.limit(0)).first()
     assert (none.num_cases, none.average_rag_score) == (0, None)
+
+
+def test_negative_scores_keep_their_sign(spark, tables):
+    reports, _, kb = tables
+    rows = [dict(report_id=1, rank=1, kb_id=1, score=-0.0004), dict(report_id=2, rank=1, kb_id=2, score=-0.25)]
+    texts = {k: r.evidence for k, r in by_id(shaping.evidence_context(reports, frame(spark, rows, RETRIEVED_SCHEMA), kb)).items()}
+    assert "Score: -0.000\n" in texts[1] and "Score: -0.250\n" in texts[2]
+
+
+def test_null_keywords_score_zero(spark):
+    rows = spark.createDataFrame([("a text", None), ("a text", ["A", None])], "text string, expected_focus array<string>")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            assert [r.coverage for r in evaluation.keyword_coverage(rows).collect()] == [0.0, 0.5]
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_requests_of_reports_without_evidence(spark, tables):
+    reports, _, _ = tables
+    evidence = spark.createDataFrame([(1, "E")], "report_id long, evidence string")
+    rows = prompts.prompt_requests(reports, evidence).collect()
+    assert sorted((r.report_id, r.mode) for r in rows) == [(i, m) for i in (1, 2, 3) for m in ("baseline", "rag")]
+    text = next(r.user_prompt for r in rows if (r.report_id, r.mode) == (2, "rag"))
+    assert shaping.NO_EVIDENCE in text
+
+
+def test_two_templates_or_responses_fail(spark, tables):
+    reports, _, _ = tables
+    evidence = spark.createDataFrame([(1, "E")], "report_id long, evidence string")
+    templates = spark.createDataFrame([("rag", "one"), ("rag", "two")], "mode string, system_prompt string")
+    with pytest.raises(Exception, match="more than one template"):
+        prompts.prompt_requests(reports, evidence, templates).collect()
+    answers = spark.createDataFrame([(1, "rag", "x"), (1, "rag", "y")], "report_id long, mode string, text string")
+    with pytest.raises(Exception, match="more than one response"):
+        prompts.response_join(reports, answers).collect()
+
+
+def test_results_hold_examples_and_metrics(spark, tables):
+    reports, retrieved, kb = tables
+    rows = by_id(prompts.run_results(reports, retrieved, kb))
+    assert [(e.rank, e.kb_id, e.score, e.error) for e in rows[1].retrieved_examples] == [
+        (1, 1, 0.45, "E one"),
+        (2, 2, 0.0625, "E two"),
+    ]
+    assert rows[1].retrieved_examples[0].fix_steps == ["step A", "step B"]
+    assert (rows[1].evidence_count, rows[1].top_score, rows[1].retrieval_confidence) == (2, 0.45, "high")
+    assert rows[3].retrieved_examples == [] and rows[3].evidence == shaping.NO_EVIDENCE
+    assert (rows[3].evidence_count, rows[3].top_score, rows[3].notice) == (0, 0.0, shaping.LOW_NOTICE)
+
+
+def test_average_of_a_tie_does_not_depend_on_the_order(spark):
+    schema = "retrieval_score double, rag_score double, baseline_score double, score_delta double"
+    values = [0.1, 0.2, 0.3, 0.002] * 50
+    found = set()
+    for rows in (values, values[::-1], sorted(values)):
+        df = spark.createDataFrame([(v, v, v, 0.0) for v in rows], schema).repartition(3)
+        found.add(evaluation.eval_summary(df).first().average_rag_score)
+    assert len(found) == 1

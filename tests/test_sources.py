@@ -3,6 +3,7 @@ import json
 import pytest
 
 from caseweave import workspace
+from caseweave.operators.evaluation import eval_summary
 from caseweave.sources import files
 from tests.direct import case
 
@@ -40,14 +41,63 @@ def test_templates(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("rag", "one\ntwo")]
 
 
+def summary_of(spark, cases):
+    schema = "retrieval_score double, rag_score double, baseline_score double, score_delta double"
+    return eval_summary(spark.createDataFrame(cases, schema))
+
+
 def test_summary_round_trip(spark, tmp_path):
     folder = str(tmp_path / "evaluation")
     assert files.read_summary(spark, folder) is None
-    summary = spark.createDataFrame([(3, 0.5)], "num_cases long, average_rag_score double")
-    files.write_evaluation(summary, spark.range(3), folder)
-    assert files.read_summary(spark, folder).first().num_cases == 3
-    files.write_evaluation(summary, spark.range(3), folder)
-    assert files.read_summary(spark, folder).count() == 1
+    assert files.read_case_results(spark, folder, spark.range(1).schema) is None
+    files.write_evaluation(summary_of(spark, [(0.5, 0.5, 0.25, 0.25)]), spark.range(3), folder)
+    assert files.read_summary(spark, folder).first().average_rag_score == 0.5
+    files.write_evaluation(summary_of(spark, []), spark.range(2), folder)
+    row = files.read_summary(spark, folder).first()
+    assert (row.num_cases, row.average_rag_score, len(row)) == (0, None, 8)
+    # the cases that are read are those of the summary
+    assert files.read_case_results(spark, folder, spark.range(1).schema).count() == 2
+
+
+def test_unreadable_summary_is_no_missing_summary(spark, tmp_path):
+    (tmp_path / "summary").mkdir()
+    (tmp_path / "summary" / "part.json").write_text("{broken", encoding="utf-8")
+    with pytest.raises(Exception):
+        files.read_summary(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("content", ['[{"error": "x"}, {"err', "not json", '{"error": 1'])
+def test_malformed_array_fails(spark, tmp_path, content):
+    path = tmp_path / "kb.json"
+    path.write_text(content, encoding="utf-8")
+    with pytest.raises(Exception):
+        files.read_kb(spark, str(path)).collect()
+
+
+def test_malformed_line_fails(spark, tmp_path):
+    path = tmp_path / "kb.jsonl"
+    path.write_text('{"kb_id": 1, "error": "x"}\n{"kb_id": 2, "err\n', encoding="utf-8")
+    with pytest.raises(Exception):
+        files.read_kb_lines(spark, str(path)).collect()
+    lines = spark.createDataFrame([('{"kb_id": 1',)], "value string")
+    with pytest.raises(Exception):
+        files.parse_kb(lines).collect()
+    with pytest.raises(Exception):
+        files.parse_cases(lines).collect()
+
+
+def test_two_arrays_have_no_positions(spark, tmp_path):
+    for name in ("a.json", "b.json"):
+        (tmp_path / name).write_text('[{"error": "x"}]', encoding="utf-8")
+    with pytest.raises(ValueError, match="one file"):
+        files.read_kb(spark, str(tmp_path))
+
+
+def test_case_lines(spark, tmp_path):
+    path = tmp_path / "cases.jsonl"
+    path.write_text('{"report_id": 7, "id": "a", "error_message": "x"}\n', encoding="utf-8")
+    row = files.read_case_lines(spark, str(path)).first()
+    assert (row.report_id, row.environment, row.expected_focus, row.retrieval_method) == (7, "", [], "tfidf")
 
 
 def test_shared_folder_prefers_the_session_setting(spark, tmp_path):
