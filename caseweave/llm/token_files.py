@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 from caseweave.llm import simple8b
 from caseweave.llm.common import id_and_text, table
 from caseweave.llm.units import encoder, tokenizer_path
+from caseweave.llm.words import release
 from caseweave.workspace import new_folder
 
 END = 2
 FRAME = 1 << 18
 #: Bytes of text encoded at a time.
-_STEP = 8 << 20
+_STEP = 4 << 20
 _SCHEMA = (
     "file long, before long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
     "block_words binary, words binary"
@@ -98,6 +99,7 @@ def _frames(path: str):
                     at = stop
         if ids:
             yield _frame(file, before, ids, np.concatenate(lengths), np.concatenate(waiting))
+        release()
 
     return run
 

@@ -85,7 +85,7 @@ def is_plain(unit: str) -> bool:
 class Encoder:
     """Ids of units by the library, remembered for ``most`` distinct units at a time."""
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
