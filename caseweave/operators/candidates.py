@@ -19,7 +19,6 @@ from caseweave.functions.text import clean, fingerprint, joined, text_or_empty
 
 WHOLE_KB = ""
 GRAM = 3
-PARTS = 64
 
 
 def facet_columns() -> list[Column]:
@@ -104,12 +103,10 @@ def group_facets(matches: DataFrame, case_facets: DataFrame, groups: DataFrame)
     """(candidate_group, facet_id) for the groups that some report belongs to."""
     matched = matches.select(F.col("environment").alias("candidate_group"), "facet_id")
     wanted = groups.select("candidate_group").distinct()
-    # the one row of the whole knowledge base, if wanted, meets every part of the facets
-    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
-    whole = case_facets.select(
-        "facet_id", F.pmod(F.hash("facet_id"), F.lit(PARTS)).alias("part")
-    ).join(wanted.filter(F.col("candidate_group") == WHOLE_KB).select("*", parts), "part")
-    return matched.join(wanted, "candidate_group", "left_semi").unionByName(whole.drop("part"))
+    # every facet, if the group of the whole knowledge base is wanted: a product with one row
+    one = F.broadcast(wanted.filter(F.col("candidate_group") == WHOLE_KB))
+    whole = case_facets.select("facet_id").crossJoin(one)
+    return matched.join(wanted, "candidate_group", "left_semi").unionByName(whole)
 
 
 def candidate_filter(reports: DataFrame, kb: DataFrame) -> DataFrame:

@@ -104,17 +104,22 @@ def case_entries(
     weights = frequencies.join(sizes, "candidate_group").select(
         *keys, idf(F.col("candidates"), F.col("df")).alias("idf0")
     )
+    used = vocabulary.select(*keys, F.lit(True).alias("used"))
+    weights = weights.join(used, keys, "left")
     entries = bag_entries(classes.join(members, "facet_id"), "candidate_group", "class_id")
-    norms = (
+    # one pass: the norm and the used terms of a case come from the same rows
+    asked_for = F.when(F.col("used"), F.struct("term", "tf", "idf0"))
+    cases = (
         join_weights(entries, weights, frequent)
         .groupBy("candidate_group", "class_id")
-        .agg(F.sum(F.pow(F.col("tf") * F.col("idf0"), 2)).alias("norm2"))
+        .agg(
+            F.sum(F.pow(F.col("tf") * F.col("idf0"), 2)).alias("norm2"),
+            F.collect_list(asked_for).alias("entries"),
+        )
     )
-    used = weights.join(vocabulary, keys, "left_semi")
-    return (
-        entries.join(used, keys)
-        .join(norms, ["candidate_group", "class_id"])
-        .select("candidate_group", "class_id", "term", "tf", "idf0", "norm2")
+    listed = cases.select("candidate_group", "class_id", "norm2", F.explode("entries").alias("entry"))
+    return listed.select(
+        "candidate_group", "class_id", "entry.term", "entry.tf", "entry.idf0", "norm2"
     )
 
 

@@ -9,7 +9,9 @@ from caseweave.functions.text import whitespace_tokens
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table dealt by its id, as a file may be one row group and so one task."""
+    scan = spark.read.parquet(f"{folder}/{name}.parquet")
+    return scan.repartition(scan.columns[0])
 
 
 def kb(spark: SparkSession, folder: str) -> DataFrame:
