@@ -37,6 +37,9 @@ from caseweave.workspace import written
 BUCKETS = 1 << 15
 SAMPLE = 20_000
 SMOOTHING = 0.5
+#: Part of a bucket's probability that all domains share, so that words which none of them has
+#: speak for none.
+POOLED = 0.5
 EVIDENCE = 40
 DIGITS = 3
 ROUNDS = 40
@@ -71,13 +74,14 @@ def classifier(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame, list[st
     priors = [math.log(r["docs"] / total) for r in rows]
     spark = docs.sparkSession
     table = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    of_domain = [
-        F.log(
-            (F.coalesce(F.sum(F.when(F.col("domain") == r["domain"], F.col("count"))), F.lit(0)) + SMOOTHING)
-            / F.lit(r["words"] + SMOOTHING * BUCKETS)
-        )
-        for r in rows
-    ]
+    in_all = sum(r["words"] for r in rows)
+    pooled = (F.coalesce(F.sum("count"), F.lit(0)) + SMOOTHING) / F.lit(in_all + SMOOTHING * BUCKETS)
+
+    def likelihood(domain: str, size: int) -> Column:
+        own = F.coalesce(F.sum(F.when(F.col("domain") == domain, F.col("count"))), F.lit(0))
+        return F.log(own / F.lit(max(size, 1.0)) * (1 - POOLED) + pooled * POOLED)
+
+    of_domain = [likelihood(r["domain"], float(r["words"])) for r in rows]
     weights = table.join(counts, "bucket", "left").groupBy("bucket").agg(F.array(*of_domain).alias("w"))
     return weights, names, priors
 

@@ -178,13 +178,19 @@ def test_posteriors_by_plain_loops(spark):
             if i is not None and domain is not None and i == j:
                 counts[domain].update(bucket[v] for v in w)
                 prior[domain] += 1
-    total = {k: sum(c.values()) + mixing.SMOOTHING * mixing.BUCKETS for k, c in counts.items()}
+    pooled = sum(counts.values(), Counter())
+    in_all = sum(pooled.values()) + mixing.SMOOTHING * mixing.BUCKETS
+
+    def likelihood(k, b):
+        own = counts[k][b] / sum(counts[k].values())
+        return math.log(own * (1 - mixing.POOLED) + mixing.POOLED * (pooled[b] + mixing.SMOOTHING) / in_all)
+
     expected = []
     for i, w in texts:
         weight = min(len(w), mixing.EVIDENCE) / max(len(w), 1)
         logs = [
             math.log(prior[k] / sum(prior.values()))
-            + weight * sum(math.log((counts[k][bucket[v]] + mixing.SMOOTHING) / total[k]) for v in w)
+            + weight * sum(likelihood(k, bucket[v]) for v in w)
             for k in names
         ]
         e = [math.exp(x - max(logs)) for x in logs]
