@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.llm.common import ascii_lower, id_and_text, table
+from caseweave.workspace import written
 
 BLANKS = " \t\n\x0b\f\r"
 MIN_CHARS = 10
@@ -55,7 +56,8 @@ def without_shared_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
     lines = keyed_lines(docs)
     shared = lines.select("h1", "h2", "doc").distinct().groupBy("h1", "h2")
     shared = shared.agg(F.count("*").alias("docs"), F.min("doc").alias("keeper"))
-    shared = shared.where(F.col("docs") >= min_docs).drop("docs")
+    # written, so that the planner can split a hash that many lines have
+    shared = written(shared.where(F.col("docs") >= min_docs).drop("docs"), "shared_lines")
     dropped = lines.join(shared, ["h1", "h2"]).where("doc <> keeper")
     dropped = dropped.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("dropped"))
     found = docs.join(dropped, ["doc", "text_hash"], "left").select(
