@@ -23,9 +23,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.OP1_SQL,
-        "op3_quality": quality.op3_quality,
-        "op4_mixing": mixing.op4_mixing,
-        "op5_substrings": substrings.op5_substrings,
         "op6_lines": lines.OP6_SQL,
         "op10_warc": warc.OP10_SQL,
     }
