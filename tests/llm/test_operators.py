@@ -171,6 +171,30 @@ def test_similar_copies(documents, docs):
     same(similar.similar_copies(docs), [(d, ids.get(k)) for k, (d, _) in zip(name, documents)])
 
 
+def test_similar_copies_within_a_family(spark):
+    """Texts around a passage, in long lists, similar to one of them and to no other."""
+    random.seed(21)
+    draw = lambda n: [f"v{random.randrange(10**6)}" for _ in range(n)]
+    passage = draw(79)
+    texts = []
+    for i in range(200):
+        own = draw(random.randint(15, 25))
+        texts.append(passage + own)
+        texts.append(passage + own[: 9 + i % 8] + draw(len(own) - 9 - i % 8))
+    texts += [passage + draw(6) for _ in range(60)]  # copies of each other, around the centre
+    shingles = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    name = list(range(len(texts)))
+    for i, x in enumerate(shingles):
+        for j, y in enumerate(shingles[:i]):
+            if name[i] != name[j] and len(x & y) >= 0.8 * len(x | y):
+                old, new = max(name[i], name[j]), min(name[i], name[j])
+                name = [new if k == old else k for k in name]
+    assert 60 < len(set(name)) < 400
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    same(similar.similar_copies(docs), list(enumerate(name)))
+
+
 def test_token_files(spark, documents, docs, tokenizer):
     encode = lambda x: tokenizer.encode(x, add_special_tokens=False).ids
     files = token_files.write_tokens(docs, new_folder(spark, "tokens"))
