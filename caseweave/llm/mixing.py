@@ -8,7 +8,8 @@
    r x words x posterior, match the targets. It is accelerated projected gradient descent on
    the squared relative misses, weighted by the domains' words. In the metric of the documents'
    words the step matrix has no eigenvalue over one, so steps of length one converge:
-   r' = max(0, y - sum_k p_k miss_k / words_k) at y = r + momentum x (r - r before).
+   r' = max(0, y - sum_k p_k miss_k / words_k) at y = r + momentum x (r - r before). Where no
+   document may be repeated, r' is also cut to one in every step.
 
 Posteriors have ``DIGITS`` decimals. All rates begin at one and change by the posterior alone,
 so documents with the same posterior share a rate, and the rounds run over distinct posteriors
@@ -111,7 +112,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame, list[st
     return scored.select("doc_id", "text_hash", "words", p.alias("p")), names
 
 
-def rate_after(steps: list[list[float]]) -> Column:
+def rate_after(steps: list[list[float]], most: float | None = None) -> Column:
     """The rate of posterior ``p``; a step has its momentum, then a change for each domain."""
     if not steps:
         return F.lit(1.0)
@@ -122,21 +123,26 @@ def rate_after(steps: list[list[float]]) -> Column:
         y = state["r"] + step[0] * (state["r"] - state["before"])
         for k in range(1, len(steps[0])):
             y = y - F.col("p")[k - 1] * step[k]
-        return F.struct(F.greatest(F.lit(0.0), y).alias("r"), state["r"].alias("before"))
+        y = F.greatest(F.lit(0.0), y)
+        y = y if most is None else F.least(F.lit(most), y)
+        return F.struct(y.alias("r"), state["r"].alias("before"))
 
     return F.round(F.aggregate(listed, start, move, lambda state: state["r"]), 6)
 
 
-def fitted_steps(members: DataFrame, names: list[str], targets: dict[str, float], budget: float | None, headroom: float) -> list[list[float]]:
+def fitted_steps(
+    members: DataFrame, names: list[str], targets: dict[str, float], budget: float | None, headroom: float, most: float | None = None, whole: str | None = None
+) -> list[list[float]]:
     """Steps that bring the domains' words to their targets.
 
     The targets are weights of ``budget`` words in all; without one, of ``headroom`` times as
-    many as no domain has to be repeated for.
+    many as no domain has to be repeated for, or as domain ``whole`` has at its weight. No rate
+    gets over ``most``; a target out of reach then leaves the rates that miss least.
     """
     groups = written(members.groupBy("p").agg(F.sum("words").alias("words")), "posteriors")
 
     def totals(steps: list[list[float]]) -> list[float]:
-        rated = groups.withColumn("rate", rate_after(steps))
+        rated = groups.withColumn("rate", rate_after(steps, most))
         sums = [F.sum(F.col("words") * F.col("p")[k] * F.col("rate")).alias(f"t{k}") for k in range(len(names))]
         return [float(x or 0) for x in rated.agg(*sums).first()]
 
@@ -149,7 +155,8 @@ def fitted_steps(members: DataFrame, names: list[str], targets: dict[str, float]
         return []
     weights = [w / sum(weights) for w in weights]
     if budget is None:
-        budget = headroom * min(t / w for t, w in zip(have, weights) if w > 0)
+        full = {name: t / w for name, t, w in zip(names, have, weights) if w > 0}
+        budget = headroom * full.get(whole, min(full.values()))
     wanted = [w * budget for w in weights]
     steps: list[list[float]] = []
     now, before, momentum = have, have, 1.0
@@ -162,15 +169,19 @@ def fitted_steps(members: DataFrame, names: list[str], targets: dict[str, float]
         misses = [(t - g) / h if f else 0.0 for t, g, h, f in zip(ahead, wanted, have, fixed)]
         steps.append([round(push, 9), *(round(x, 9) for x in misses)])
         now, before = totals(steps), now
+        if now == before:  # all rates are held by their bounds
+            break
     return steps
 
 
-def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | None = None, headroom: float = 1.0) -> tuple[DataFrame, list[str]]:
+def rates(
+    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | None = None, headroom: float = 1.0, most: float | None = None, whole: str | None = None
+) -> tuple[DataFrame, list[str]]:
     """(doc_id, text_hash, words, p, rate) of every row, and the domains that p refers to."""
     members, names = posteriors(docs, labelled)
     members = written(members, "members")
-    steps = fitted_steps(members, names, targets, budget, headroom)
-    return members.withColumn("rate", rate_after(steps)), names
+    steps = fitted_steps(members, names, targets, budget, headroom, most, whole)
+    return members.withColumn("rate", rate_after(steps, most)), names
 
 
 def even(doc_id: Column) -> Column:
@@ -183,9 +194,13 @@ def copies(rate: Column, doc_id: Column) -> Column:
     return F.floor(rate + even(doc_id)).cast("long")
 
 
-def thinned(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], headroom: float) -> DataFrame:
-    """``docs`` without those that their rate leaves out; none is repeated."""
-    found, _ = rates(docs, labelled, targets, headroom=headroom)
+def thinned(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], headroom: float, whole: str | None = None) -> DataFrame:
+    """``docs`` without those that their rate leaves out; none is repeated.
+
+    Rates are fitted within [0, 1], so the fitted words are those of the result. With ``whole``,
+    the words of that domain alone set the budget, however scarce the others are.
+    """
+    found, _ = rates(docs, labelled, targets, headroom=headroom, most=1.0, whole=whole)
     return without_rows(docs, found.where(even(F.col("doc_id")) >= F.col("rate")))
 
 

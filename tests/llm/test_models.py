@@ -217,3 +217,26 @@ def test_mixing_of_nothing(spark):
     found, names = mixing.rates(empty, nothing, MIX)
     assert found.count() == 0
     assert mixing.thinned(docs, nothing, MIX, 1.02).count() == 2
+
+
+@pytest.mark.parametrize("percent", [0, 1, 3, 30])
+def test_scarce_poor_text_thins_no_good_document(spark, percent):
+    """300 documents of equal length, so the poor ones' share of the words is ``percent``."""
+    random.seed(11)
+    poor = {i for i in range(300) if i % 100 < percent}
+    pool = {True: [f"bad{k}" for k in range(40)], False: [f"fine{k}" for k in range(40)]}
+    rows = [(i, " ".join(random.choices(pool[i in poor], k=30))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "poor" if i in poor else "good") for i in range(300)], "doc_id long, domain string")
+    targets = {"good": 0.92, "poor": 0.08}
+    kept = {r.doc_id for r in mixing.thinned(docs, labelled, targets, 1.08, whole="good").collect()}
+    assert kept >= set(range(300)) - poor
+    if percent < 7:
+        assert len(kept) == 300
+        return
+    # the poor words are those of their weight beside 1.08 times the good ones
+    found, names = mixing.rates(docs, labelled, targets, headroom=1.08, most=1.0, whole="good")
+    found = found.collect()
+    assert all(0 <= r.rate <= 1 for r in found)
+    words = sum(r.words * r.rate * r.p[names.index("poor")] for r in found)
+    assert words == pytest.approx(1.08 * 210 * 30 * 0.08 / 0.92, rel=0.02)
