@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, lines, mixing, quality, simhash, substrings, token_counts, token_files, toxicity, warc
+from caseweave.llm import alignment, decontaminate, divergence, language, lines, mixing, quality, simhash, substrings, token_counts, token_files, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_simhash": simhash.op8_simhash,
         "op9_token_files": token_files.op9_token_files,
         "op10_warc": warc.op10_warc,
+        "op11_divergence": divergence.op11_divergence,
+        "op12_language": language.op12_language,
+        "op13_alignment": alignment.op13_alignment,
     }
 
 
@@ -25,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_decontaminate": decontaminate.OP1_SQL,
         "op6_lines": lines.OP6_SQL,
         "op10_warc": warc.OP10_SQL,
+        "op11_divergence": divergence.OP11_SQL,
     }
