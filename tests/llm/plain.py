@@ -130,3 +130,28 @@ def records(pages):
         revisit = len(data) >= 100 and of is not None and of != page
         out.append((page, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", of if revisit else None))
     return out
+
+
+def divergences(docs):
+    """Rows of (doc_id, lang, source, text)."""
+    texts = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lower(text or ""))) for _, lang, source, text in docs]
+    out = []
+    f = lambda p, q: (p - q) ** 2 // (p + q)
+    for lang in {x for x, *_ in texts}:
+        mine = [(s, w) for x, s, w in texts if x == lang]
+        held = Counter(t for _, w in mine for t in set(w))
+        kept = sorted(t for t, n in held.items() if n >= 10)
+
+        def shares(words):
+            counts = Counter(words)
+            total = sum(counts[t] for t in kept)
+            return counts, {t: 1 + 10**9 * (counts[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        whole = shares([t for _, w in mine for t in w])[1]
+        groups = {s: shares([t for x, w in mine if x == s for t in w]) for s in {s for s, _ in mine}}
+        for source, (counts, p) in groups.items():
+            pairs = [(-sum(f(p[t], q[t]) for t in kept), other.encode(), other) for other, (_, q) in groups.items() if other != source]
+            terms = [(-f(p[t], whole[t]), t.encode(), t) for t in kept if counts[t] and p[t] > whole[t]]
+            for part, rows in (("pair", sorted(pairs)), ("term", sorted(terms)[:10])):
+                out += [(lang, source, part, item, -value, i + 1) for i, (value, _, item) in enumerate(rows)]
+    return out
