@@ -6,15 +6,24 @@ are defined with, so the character classes are spelled out here.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from importlib import resources
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Whitespace, line ends and word characters that define the results.
 WHITESPACE = r"[\t-\r\x1c-\x1f \x85\p{Z}]"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
-WORD = r"[\p{L}\p{N}_]{2,}"
+NO_WORD = r"[^\p{L}\p{N}_]+"
+SHORTEST = 2
+
+#: Bytes of text that a task cuts into words at a time.
+STEP = 8 << 20
 
 
 def english_stop_words() -> list[str]:
@@ -57,48 +66,54 @@ def whitespace_tokens(text: Column) -> Column:
     return F.filter(F.split(text, rf"{WHITESPACE}+"), lambda token: token != "")
 
 
-def with_words(df: DataFrame, text: Column, stop_words: list[str], name: str) -> DataFrame:
-    """Add ``name``: lower-cased runs of two or more word characters, no stop words."""
-    found = df.withColumn(name, F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
-    if not stop_words:
-        return found
-    quoted = ", ".join(
-        "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'" for word in stop_words
-    )
-    # one parsed list of literals; the optimizer turns it into a hash set
-    return found.withColumn(name, F.expr(f"filter({name}, word -> word not in ({quoted}))"))
+def _bags(stop_words: list[str], names: list[str]):
+    """Turns batches whose last column is lower-cased text into such with the bag instead."""
+    stop = pa.array(sorted(stop_words), pa.string())
+
+    def bags(texts: pa.StringArray) -> pa.ListArray:
+        runs = pc.split_pattern_regex(texts, NO_WORD)
+        ends = runs.offsets.to_numpy().astype(np.int64)
+        coded = runs.flatten().dictionary_encode()
+        of = np.repeat(np.arange(len(texts)), np.diff(ends))
+        word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        long = pc.greater_equal(pc.utf8_length(coded.dictionary), SHORTEST)
+        kept = pc.and_not(long, pc.is_in(coded.dictionary, value_set=stop)).to_numpy(zero_copy_only=False)
+        size = max(len(kept), 1)
+        entry, tf = np.unique((of * size + word)[kept[word]], return_counts=True)
+        edges = np.searchsorted(entry // size, np.arange(len(texts) + 1))
+        entries = pa.StructArray.from_arrays(
+            [coded.dictionary.take(pa.array(entry % size)), pa.array(tf.astype(np.int32))], ["term", "tf"]
+        )
+        return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), entries)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = np.cumsum(pc.binary_length(batch.columns[-1]).to_numpy())
+            at = 0
+            while at < batch.num_rows:
+                used = size[at - 1] if at else 0
+                stop_at = max(at + 1, int(np.searchsorted(size, used + STEP)))
+                part = batch.slice(at, stop_at - at)
+                # a copy, so that offsets begin at zero
+                texts = pa.concat_arrays([part.columns[-1], pa.array([], pa.string())])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], bags(texts)], names=names)
+                at = stop_at
+
+    return run
 
 
 def with_term_bag(df: DataFrame, text: Column, stop_words: list[str], name: str = "bag") -> DataFrame:
-    """Add ``name``: the distinct words of ``text`` with their counts.
+    """Add ``name``: the distinct words of ``text``, lower-cased, with their counts.
 
-    Sorting the words of one row and measuring the runs keeps the counting inside the
-    row, so no shuffle on (row, word) is needed.
+    Words are runs of two or more word characters that are no stop words. The built-in
+    functions cut and count words element by element outside of generated code, which takes
+    ten times as long as doing it on whole batches of texts, so this is an Arrow function.
+    Rows stay where they are; nothing is shuffled.
     """
-    keep = df.columns
-    ordered = with_words(df, text, stop_words, "_words").withColumn(
-        "_words", F.sort_array("_words")
-    )
-    starts = ordered.withColumn(
-        "_starts",
-        F.filter(
-            F.transform(
-                "_words",
-                lambda word, i: F.when((i == 0) | (word != F.get("_words", i - 1)), i),
-            ),
-            lambda i: i.isNotNull(),
-        ),
-    )
-    return starts.select(
-        *keep,
-        F.transform(
-            "_starts",
-            lambda start, i: F.struct(
-                F.get("_words", start).alias("term"),
-                (F.coalesce(F.get("_starts", i + 1), F.size("_words")) - start).alias("tf"),
-            ),
-        ).alias(name),
-    )
+    lowered = df.select("*", F.lower(F.coalesce(text, F.lit(""))).alias("lowered"))
+    entries = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())]))
+    schema = T.StructType([*df.schema.fields, T.StructField(name, entries)])
+    return lowered.mapInArrow(_bags(stop_words, schema.names), schema)
 
 
 def bag_entries(df: DataFrame, *keys: str, bag: str = "bag") -> DataFrame:

@@ -6,7 +6,7 @@ on character grams followed by ``contains``, so no nested-loop join is planned.
 
 A report whose environment matches no facet, or is blank, is compared with the whole
 knowledge base. That candidate group is named by the empty string; every other group is
-named by its lower-cased environment.
+named by its lower-cased environment or, where environments share it, by its facets.
 """
 
 from __future__ import annotations
@@ -88,20 +88,53 @@ def environment_matches(reports: DataFrame, case_facets: DataFrame) -> DataFrame
     )
 
 
-def assign_groups(reports: DataFrame, matches: DataFrame) -> DataFrame:
-    """Add ``candidate_group`` to the reports."""
-    known = matches.select(F.col("environment").alias("candidate_group")).distinct()
+def shared_groups(matches: DataFrame, case_facets: DataFrame) -> DataFrame:
+    """(environment, candidate_group, first): environments that match the same facets share a group.
+
+    Sets of facets are told apart by their size and two digests that don't depend on an order,
+    so they are never gathered; these name the group, whatever the batch. ``first`` marks one
+    environment of each. One that matches every facet has the group of the whole knowledge base.
+    """
+    facet_id = F.col("facet_id")
+    same = [
+        F.count(F.lit(1)).alias("facets"),
+        F.bit_xor(F.xxhash64(facet_id)).alias("digest_1"),
+        F.bit_xor(F.xxhash64(F.lit(1), facet_id)).alias("digest_2"),
+    ]
+    keys = ["facets", "digest_1", "digest_2"]
+    whole = case_facets.agg(*same).select(*keys, F.lit(True).alias("whole"))
+    sets = matches.groupBy("environment").agg(*same)
+    firsts = sets.groupBy(*keys).agg(F.min("environment").alias("first")).join(whole, keys, "left")
+    name = F.when(F.col("whole"), WHOLE_KB).otherwise(F.hex(F.xxhash64(*keys)))
+    return sets.join(firsts, keys).select(
+        "environment", name.alias("candidate_group"), (F.col("environment") == F.col("first")).alias("first")
+    )
+
+
+def first_matches(matches: DataFrame, named: DataFrame) -> DataFrame:
+    """(candidate_group, facet_id) of the groups but that of the whole knowledge base."""
+    firsts = named.filter(F.col("first") & (F.col("candidate_group") != WHOLE_KB))
+    return matches.join(firsts, "environment").select("candidate_group", "facet_id")
+
+
+def assign_groups(reports: DataFrame, named: DataFrame) -> DataFrame:
+    """Add ``candidate_group`` to the reports; ``named`` holds (environment, candidate_group)."""
+    named = named.select(F.col("environment").alias("_known"), "candidate_group")
     return (
         reports.withColumn("_environment", F.lower(clean(F.col("environment"))))
-        .join(known, F.col("_environment") == F.col("candidate_group"), "left")
+        .join(named, F.col("_environment") == F.col("_known"), "left")
         .withColumn("candidate_group", F.coalesce("candidate_group", F.lit(WHOLE_KB)))
-        .drop("_environment")
+        .drop("_environment", "_known")
     )
 
 
-def group_facets(matches: DataFrame, case_facets: DataFrame, groups: DataFrame) -> DataFrame:
+def own_groups(matches: DataFrame) -> DataFrame:
+    """(candidate_group, facet_id): every environment that matches has its own group."""
+    return matches.select(F.col("environment").alias("candidate_group"), "facet_id")
+
+
+def group_facets(matched: DataFrame, case_facets: DataFrame, groups: DataFrame) -> DataFrame:
     """(candidate_group, facet_id) for the groups that some report belongs to."""
-    matched = matches.select(F.col("environment").alias("candidate_group"), "facet_id")
     wanted = groups.select("candidate_group").distinct()
     # every facet, if the group of the whole knowledge base is wanted: a product with one row
     one = F.broadcast(wanted.filter(F.col("candidate_group") == WHOLE_KB))
@@ -112,8 +145,9 @@ def group_facets(matches: DataFrame, case_facets: DataFrame, groups: DataFrame)
 def candidate_filter(reports: DataFrame, kb: DataFrame) -> DataFrame:
     """(candidate_group, kb_id): the candidates of every group that has reports."""
     case_facets = facets(kb)
-    matches = environment_matches(reports, case_facets)
-    members = group_facets(matches, case_facets, assign_groups(reports, matches))
+    matched = own_groups(environment_matches(reports, case_facets))
+    named = matched.select(F.col("candidate_group").alias("environment"), "candidate_group").distinct()
+    members = group_facets(matched, case_facets, assign_groups(reports, named))
     return with_facet(kb).select("kb_id", "facet_id").join(members, "facet_id").select(
         "candidate_group", "kb_id"
     )

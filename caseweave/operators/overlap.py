@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from caseweave.functions.text import fingerprint, whitespace_tokens
-from caseweave.operators.candidates import with_facet
+from caseweave.operators.candidates import facets, with_facet
 from caseweave.operators.inputs import kb_document
 from caseweave.operators.ranking import (
     SCORE_PLACES,
@@ -22,7 +22,7 @@ from caseweave.operators.ranking import (
     ranked_reports,
     with_copies,
 )
-from caseweave.operators.terms import distinct_queries, keyed_reports
+from caseweave.operators.terms import asked_groups, distinct_queries
 from caseweave.workspace import written
 
 SALTS = 8
@@ -99,7 +99,7 @@ def promising_pairs(asked: DataFrame, postings: DataFrame, top_k: int) -> DataFr
 def overlap_topk(reports: DataFrame, kb: DataFrame, top_k: int = 3) -> DataFrame:
     """(report_id, rank, kb_id, score) by token overlap."""
     check_top_k(top_k)
-    keyed, members = keyed_reports(reports, kb)
+    keyed, members = asked_groups(reports, facets(kb))
     queries = written(
         distinct_queries(keyed)
         .withColumn("query_tokens", _token_set("report_text"))

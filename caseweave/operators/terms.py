@@ -8,6 +8,8 @@ these are computed once per candidate group and shared by all its reports.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,11 @@ from caseweave.functions.text import (
 from caseweave.operators.candidates import (
     assign_groups,
     environment_matches,
+    facet_columns,
     facets,
+    first_matches,
     group_facets,
+    shared_groups,
     with_facet,
 )
 from caseweave.operators.inputs import kb_document, report_text
@@ -41,37 +46,52 @@ def idf(candidates: Column, documents_with_term: Column) -> Column:
 
 
 def case_profiles(kb: DataFrame, stop_words: list[str]) -> DataFrame:
-    """(kb_id, facet_id, digest, bag); copies of a case share their digest."""
+    """(kb_id, facet_id, the facet's texts, digest, bag); copies of a case share their digest."""
     documents = with_facet(kb_document(kb)).select(
         "kb_id",
         "facet_id",
-        "document",
+        *facet_columns(),
         fingerprint(F.col("facet_id"), F.col("document")).alias("digest"),
+        "document",
     )
     return with_term_bag(documents, F.col("document"), stop_words).drop("document")
 
 
-def report_queries(reports: DataFrame, matches: DataFrame) -> DataFrame:
+def report_queries(reports: DataFrame, named: DataFrame) -> DataFrame:
     """Reports with their group, scored text and ``query_key``.
 
     Reports with the same text and group share the key and are scored once.
     """
-    return assign_groups(report_text(reports), matches).withColumn(
+    return assign_groups(report_text(reports), named).withColumn(
         "query_key", fingerprint(F.col("candidate_group"), F.col("report_text"))
     )
 
 
-def keyed_reports(reports: DataFrame, kb: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The reports with group, text and key, and the (candidate_group, facet_id) members."""
-    case_facets = facets(kb)
+class Asked(NamedTuple):
+    """The reports of a batch by candidate group, for every retrieval method.
+
+    ``reports``: (report_id, query_key, candidate_group, report_text and, where the reports have
+    it, retrieval_method); ``members``: (candidate_group, facet_id) of every group with reports.
+    """
+
+    reports: DataFrame
+    members: DataFrame
+
+    def only(self, condition: Column) -> Asked:
+        """The part with the reports that fulfil a condition."""
+        some = self.reports.filter(condition)
+        groups = some.select("candidate_group").distinct()
+        return Asked(some, self.members.join(groups, "candidate_group", "left_semi"))
+
+
+def asked_groups(reports: DataFrame, case_facets: DataFrame) -> Asked:
+    """Find the groups of the reports once; ``case_facets`` as ``candidates.facets`` gives it."""
     matches = written(environment_matches(reports, case_facets), "matches")
-    keyed = written(
-        report_queries(reports, matches).select(
-            "report_id", "query_key", "candidate_group", "report_text"
-        ),
-        "reports",
-    )
-    return keyed, written(group_facets(matches, case_facets, keyed), "members")
+    named = written(shared_groups(matches, case_facets), "groups")
+    columns = ["report_id", "query_key", "candidate_group", "report_text"]
+    columns += [x for x in reports.columns if x == "retrieval_method"]
+    keyed = written(report_queries(reports, named).select(*columns), "reports")
+    return Asked(keyed, written(group_facets(first_matches(matches, named), case_facets, keyed), "members"))
 
 
 def distinct_queries(keyed_reports: DataFrame) -> DataFrame:
@@ -81,28 +101,27 @@ def distinct_queries(keyed_reports: DataFrame) -> DataFrame:
     )
 
 
-def group_sizes(profiles: DataFrame, members: DataFrame) -> DataFrame:
-    """(candidate_group, candidates)."""
-    return written(
-        profiles.groupBy("facet_id")
-        .agg(F.count(F.lit(1)).alias("cases"))
-        .join(members, "facet_id")
-        .groupBy("candidate_group")
-        .agg(F.sum("cases").alias("candidates")),
-        "sizes",
-    )
+def facet_sizes(cases: DataFrame) -> DataFrame:
+    """(facet_id, cases)."""
+    return cases.groupBy("facet_id").agg(F.count(F.lit(1)).alias("cases"))
 
 
-def group_document_frequencies(profiles: DataFrame, members: DataFrame) -> DataFrame:
-    """(candidate_group, term, df), counted per facet first and then summed up."""
-    return (
-        profiles.select("facet_id", F.explode("bag.term").alias("term"))
-        .groupBy("facet_id", "term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .join(members, "facet_id")
-        .groupBy("candidate_group", "term")
-        .agg(F.sum("df").alias("df"))
-    )
+def facet_frequencies(profiles: DataFrame) -> DataFrame:
+    """(facet_id, term, df): how many cases of a facet hold a term."""
+    held = profiles.select("facet_id", F.explode("bag.term").alias("term"))
+    return held.groupBy("facet_id", "term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def group_sizes(sizes: DataFrame, members: DataFrame) -> DataFrame:
+    """(candidate_group, candidates) from the sizes of facets."""
+    whole = sizes.join(members, "facet_id").groupBy("candidate_group")
+    return whole.agg(F.sum("cases").alias("candidates"))
+
+
+def group_document_frequencies(frequencies: DataFrame, members: DataFrame) -> DataFrame:
+    """(candidate_group, term, df), summed up from the counts of facets."""
+    whole = frequencies.join(members, "facet_id").groupBy("candidate_group", "term")
+    return whole.agg(F.sum("df").alias("df"))
 
 
 def query_terms(
@@ -126,12 +145,12 @@ def term_stats(
     ``df`` and ``documents`` include the report; ``weight`` has unit length per report.
     """
     stop_words = english_stop_words() if stop_words is None else stop_words
-    keyed, members = keyed_reports(reports, kb)
+    keyed, members = asked_groups(reports, facets(kb))
     profiles = written(case_profiles(kb, stop_words), "profiles")
     weighted = query_terms(
         distinct_queries(keyed),
-        group_document_frequencies(profiles, members),
-        group_sizes(profiles, members),
+        group_document_frequencies(facet_frequencies(profiles), members),
+        written(group_sizes(facet_sizes(profiles), members), "sizes"),
         stop_words,
     ).withColumn("idf", idf(F.col("candidates"), F.col("df") + 1))
     norms = weighted.groupBy("query_key").agg(

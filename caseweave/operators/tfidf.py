@@ -1,24 +1,31 @@
-"""Exact TF-IDF cosine top-k without forming all report-case pairs.
+"""Exact TF-IDF cosine top-k over shards of the cases.
 
-Sharing one common term is not enough to become a scored pair. For every report
+The model that would be fitted per report follows from the statistics of its candidate group,
+so document frequencies and the norms of cases are computed once per group. The postings of the
+terms that reports use are then dealt to shards by case, and every query of the group visits
+each shard, which returns its k best cases only: pairs of a report and a case are never rows of
+a table. Queries are cut into blocks as well, so a task is bounded on both sides.
 
-1. a few strong cases per term give a floor: k cases are known to score at least that;
-2. the most frequent terms are set aside as long as all of them together reach only a
-   small part of the floor;
-3. for the other terms only cases are looked up in which the term weighs enough to matter.
-   Weights are bucketed in powers of two and the bucket is part of the join key, so light
-   entries of a frequent term are never touched;
-4. what was looked up adds up to a lower bound per case. Its k-th best raises the floor,
-   and only cases whose upper bound still reaches the floor are scored exactly.
+Within a shard the postings of a term are a list sorted by impact, the case's share of a score,
+in blocks of ``BLOCK``; the first of a block bounds all of it. For every query
 
-Every step only leaves out cases that provably score below the floor.
+1. the first blocks of its terms give cases whose scores set a floor, the k-th best of them;
+2. each term is allowed the same part of a score, as much as all terms together can have while
+   they stay below the floor. Blocks whose bound is not above that are skipped, and so a case
+   that is only in skipped blocks is below the floor;
+3. all cases of the other blocks are scored exactly.
+
+Nothing is capped or sampled; skipped cases provably score below the k-th.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,24 +39,53 @@ from caseweave.operators.ranking import (
     with_copies,
 )
 from caseweave.operators.terms import (
+    Asked,
+    asked_groups,
     case_profiles,
     distinct_queries,
+    facet_frequencies,
+    facet_sizes,
     group_document_frequencies,
     group_sizes,
     idf,
-    keyed_reports,
     query_terms,
 )
 from caseweave.workspace import written
 
-FREQUENT_TERMS = 2000
-SALTS = 8
-STRONG_CASES = 8
-LIGHTEST_LEVEL = 30
-ASIDE_PART = 0.3
-LIGHT_PART = 0.1
+POSTINGS_PER_SHARD = 1 << 18
+QUERIES_PER_BLOCK = 1 << 12
+BLOCK = 128
 TIE_MARGIN = 1e-8
 
+FACET_TEXTS = ["facet_platform", "facet_context", "facet_tags"]
+
+
+class CaseIndex(NamedTuple):
+    """The part of the work that depends on the knowledge base alone.
+
+    ``profiles``: (kb_id, facet_id, the facet's texts, digest, bag) of every case; ``copies``:
+    the kb_id of every case that repeats one before it; ``facets``: (facet_id, its texts);
+    ``sizes``: (facet_id, cases); ``frequencies``: (facet_id, term, df).
+    """
+
+    profiles: DataFrame
+    copies: DataFrame
+    facets: DataFrame
+    sizes: DataFrame
+    frequencies: DataFrame
+
+
+class GroupStatistics(NamedTuple):
+    """What the cases of a candidate group have in common with no report in sight.
+
+    ``sizes``: (candidate_group, candidates); ``frequencies``: (candidate_group, term, df);
+    ``norms``: (candidate_group, class_id, norm2), over all terms of a case.
+    """
+
+    sizes: DataFrame
+    frequencies: DataFrame
+    norms: DataFrame
+
 
 def later_copies(profiles: DataFrame) -> DataFrame:
     """(kb_id) of every case that repeats one with a smaller kb_id."""
@@ -66,254 +102,250 @@ def later_copies(profiles: DataFrame) -> DataFrame:
     )
 
 
-def distinct_cases(profiles: DataFrame, copies: DataFrame) -> DataFrame:
+def distinct_cases(index: CaseIndex) -> DataFrame:
     """One row per group of copies: (class_id, digest, facet_id, bag).
 
     Copies have equal scores, so they are weighted once; ``class_id`` is the smallest
     kb_id of the group. Only ids are grouped and joined, the bags stay where they are
     unless a large part of the cases are copies.
     """
-    return profiles.join(copies, "kb_id", "left_anti").withColumnRenamed("kb_id", "class_id")
+    first = index.profiles.join(index.copies, "kb_id", "left_anti")
+    return first.select(F.col("kb_id").alias("class_id"), "digest", "facet_id", "bag")
 
 
-def join_weights(entries: DataFrame, weights: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Join entries with their term weights; frequent terms do not go through a shuffle.
+def _indexed(profiles: DataFrame, sizes: DataFrame, frequencies: DataFrame) -> CaseIndex:
+    return CaseIndex(
+        profiles,
+        written(later_copies(profiles), "copies"),
+        written(profiles.select("facet_id", *FACET_TEXTS).distinct(), "facets"),
+        written(sizes, "facet_sizes"),
+        written(frequencies, "facet_frequencies"),
+    )
+
 
-    ``frequent`` lists at most ``FREQUENT_TERMS`` terms, so it can always be broadcast. No
-    term of the other entries holds more than one part in ``FREQUENT_TERMS`` of them.
+def case_index(kb: DataFrame, stop_words: list[str] | None = None) -> CaseIndex:
+    """Count the words of every case once, for use with many batches of reports."""
+    stop_words = english_stop_words() if stop_words is None else stop_words
+    profiles = written(case_profiles(kb, stop_words), "profiles")
+    return _indexed(profiles, facet_sizes(profiles), facet_frequencies(profiles))
+
+
+def updated_index(
+    index: CaseIndex, added: DataFrame, removed: DataFrame, stop_words: list[str] | None = None
+) -> CaseIndex:
+    """The index after the cases ``removed`` (kb_id) went and the cases ``added`` came.
+
+    An added case replaces the one with its kb_id. Only the words of added cases are counted;
+    sizes and frequencies are the old ones plus the differences. Statistics of groups belong
+    to the index they were computed from.
     """
-    keys = ["candidate_group", "term"]
-    few = F.broadcast(weights.join(F.broadcast(frequent), keys, "left_semi"))
-    others = entries.join(F.broadcast(frequent), keys, "left_anti")
-    return entries.join(few, keys).unionByName(others.join(weights, keys))
-
-
-def case_entries(
-    classes: DataFrame,
-    members: DataFrame,
-    frequencies: DataFrame,
-    sizes: DataFrame,
-    vocabulary: DataFrame,
-) -> DataFrame:
-    """(candidate_group, class_id, term, tf, idf0, norm2) for the terms some report uses.
+    stop_words = english_stop_words() if stop_words is None else stop_words
+    new = written(case_profiles(added, stop_words), "added")
+    ids = removed.select("kb_id").unionByName(new.select("kb_id")).distinct()
+    gone = written(index.profiles.join(ids, "kb_id", "left_semi"), "gone")
+    stay = index.profiles.join(gone.select("kb_id"), "kb_id", "left_anti")
+    profiles = written(stay.unionByName(new), "profiles")
+
+    def changed(old: DataFrame, count, key: list[str], name: str) -> DataFrame:
+        less = count(gone).withColumn(name, -F.col(name))
+        rows = old.unionByName(count(new)).unionByName(less)
+        return rows.groupBy(*key).agg(F.sum(name).alias(name)).filter(F.col(name) > 0)
+
+    return _indexed(
+        profiles,
+        changed(index.sizes, facet_sizes, ["facet_id"], "cases"),
+        changed(index.frequencies, facet_frequencies, ["facet_id", "term"], "df"),
+    )
+
+
+def group_statistics(
+    index: CaseIndex, members: DataFrame, known: GroupStatistics | None = None
+) -> GroupStatistics:
+    """Statistics of the groups of ``members``; those that ``known`` has are not computed again.
 
-    ``norm2`` covers all terms of the case.
+    ``known`` must come from the same index. Groups are named by their facets, so their names
+    mean the same in every batch.
     """
-    keys = ["candidate_group", "term"]
-    frequent = frequencies.orderBy(F.desc("df"), *keys).limit(FREQUENT_TERMS).select(*keys)
+    if known:
+        members = written(members.join(known.sizes, "candidate_group", "left_anti"), "new_members")
+    sizes = written(group_sizes(index.sizes, members), "sizes")
+    frequencies = written(group_document_frequencies(index.frequencies, members), "frequencies")
     weights = frequencies.join(sizes, "candidate_group").select(
-        *keys, idf(F.col("candidates"), F.col("df")).alias("idf0")
+        "candidate_group", "term", idf(F.col("candidates"), F.col("df")).alias("idf0")
     )
-    used = vocabulary.select(*keys, F.lit(True).alias("used"))
-    weights = weights.join(used, keys, "left")
-    entries = bag_entries(classes.join(members, "facet_id"), "candidate_group", "class_id")
-    # one pass: the norm and the used terms of a case come from the same rows
-    asked_for = F.when(F.col("used"), F.struct("term", "tf", "idf0"))
-    cases = (
-        join_weights(entries, weights, frequent)
+    # weights have one row for a key, so their hash tables are of even size
+    norms = (
+        bag_entries(distinct_cases(index), "facet_id", "class_id")
+        .join(members, "facet_id")
+        .join(weights.hint("shuffle_hash"), ["term", "candidate_group"])
         .groupBy("candidate_group", "class_id")
-        .agg(
-            F.sum(F.pow(F.col("tf") * F.col("idf0"), 2)).alias("norm2"),
-            F.collect_list(asked_for).alias("entries"),
-        )
-    )
-    listed = cases.select("candidate_group", "class_id", "norm2", F.explode("entries").alias("entry"))
-    return listed.select(
-        "candidate_group", "class_id", "entry.term", "entry.tf", "entry.idf0", "norm2"
+        .agg(F.sum(F.pow(F.col("tf") * F.col("idf0"), 2)).alias("norm2"))
     )
+    fresh = GroupStatistics(sizes, frequencies, written(norms, "norms"))
+    if not known:
+        return fresh
+    return GroupStatistics(*[a.unionByName(b) for a, b in zip(known, fresh)])
 
 
 def query_entries(weighted: DataFrame) -> DataFrame:
     """The terms of every distinct query that occur in its candidates.
 
-    ``norm2`` covers all terms of the query. ``shrink`` bounds how much those terms can
-    shorten the vector of a case. ``share`` is the part of the unit query vector, ``gain``
-    the score per unit of impact before ``shrink``.
+    ``norm2`` covers all terms of the query; ``idf0`` leaves the query out, ``idf1`` counts it.
     """
     whole = Window.partitionBy("query_key")
-    share = F.col("tf") * F.col("idf1") / F.sqrt("norm2")
     return (
         weighted.withColumn("idf1", idf(F.col("candidates"), F.col("df") + 1))
         .withColumn("norm2", F.sum(F.pow(F.col("tf") * F.col("idf1"), 2)).over(whole))
         .filter("df > 0")
         .withColumn("idf0", idf(F.col("candidates"), F.col("df")))
-        .withColumn("shrink", F.min(F.col("idf1") / F.col("idf0")).over(whole))
-        .select(
-            "query_key",
-            "candidate_group",
-            "term",
-            "tf",
-            "df",
-            "idf1",
-            "norm2",
-            "shrink",
-            share.alias("share"),
-            (share * F.col("idf1") / F.col("idf0")).alias("gain"),
-        )
+        .select("query_key", "candidate_group", "term", "tf", "idf0", "idf1", "norm2")
     )
 
 
-def _level(relative: Column) -> Column:
-    return F.least(F.floor(-F.log2(relative)).cast("int"), F.lit(LIGHTEST_LEVEL))
-
-
-def probes(asked: DataFrame, heaviest: DataFrame, floors: DataFrame) -> DataFrame:
-    """What must be looked up per query: (query_key, candidate_group, term, level).
-
-    ``unseen`` bounds the score that everything else can add to one case.
-    """
-    frequent_first = Window.partitionBy("query_key").orderBy(F.desc("df"), "term")
-    so_far = frequent_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("query_key")
-    floor = F.greatest(F.coalesce("floor", F.lit(0.0)) - TIE_MARGIN, F.lit(0.0))
-    relative = F.col("floor") * LIGHT_PART / F.col("rest") * (1 - 1e-9)
+def case_postings(index: CaseIndex, asked: DataFrame, members: DataFrame, norms: DataFrame) -> DataFrame:
+    """(candidate_group, class_id, term, tf, idf0, norm2) of the terms that a query of the group has."""
+    used = asked.select("candidate_group", "term", "idf0").distinct()
+    entries = bag_entries(distinct_cases(index), "facet_id", "class_id")
     return (
-        asked.join(heaviest, ["candidate_group", "term"])
-        .join(floors, "query_key", "left")
-        .withColumn("floor", floor)
-        .withColumn("reach", F.col("gain") * F.col("heaviest") / F.col("shrink"))
-        # the terms so far add at most their reach, and at most their share of the query
-        .withColumn(
-            "bound",
-            F.least(
-                F.sum("reach").over(so_far),
-                F.sqrt(F.sum(F.col("share") * F.col("share")).over(so_far)),
-            ),
-        )
-        .withColumn("aside", F.col("bound") < F.col("floor") * ASIDE_PART)
-        .withColumn("spent", F.max(F.when(F.col("aside"), F.col("bound"))).over(whole))
-        .withColumn("rest", F.sum(F.when(~F.col("aside"), F.col("reach"))).over(whole))
-        .filter(~F.col("aside"))
-        .withColumn("unseen", F.coalesce("spent", F.lit(0.0)) + F.col("floor") * LIGHT_PART)
-        .withColumn(
-            "lightest", F.when(F.col("floor") > 0, _level(relative)).otherwise(LIGHTEST_LEVEL)
-        )
-        .filter("lightest >= 0")
-        .select(
-            "query_key",
-            "candidate_group",
-            "term",
-            "gain",
-            "shrink",
-            "floor",
-            "unseen",
-            F.explode(F.sequence(F.lit(0), F.col("lightest"))).alias("level"),
-        )
+        entries.join(used.select("term").distinct(), "term", "left_semi")
+        .join(members, "facet_id")
+        .join(used, ["term", "candidate_group"])
+        .join(norms, ["candidate_group", "class_id"])
+        .select("candidate_group", "class_id", "term", "tf", "idf0", "norm2")
     )
 
 
-def promising_pairs(asked: DataFrame, entries: DataFrame, top_k: int) -> DataFrame:
-    """(query_key, candidate_group, class_id) pairs that can be among the top k."""
-    keys = ["candidate_group", "term"]
-    weighed = entries.select(
-        *keys, "class_id", (F.col("tf") * F.col("idf0") / F.sqrt("norm2")).alias("impact")
-    )
-    heavy_first = Window.partitionBy(*keys).orderBy(F.desc("impact"), "class_id")
-    strong = written(
-        weighed.withColumn("place", F.row_number().over(heavy_first)).filter(
-            F.col("place") <= max(STRONG_CASES, top_k)
-        ),
-        "strong",
-    )
-    lower_bound = F.sum(F.col("gain") * F.col("impact")).alias("score")
+class _Postings:
+    """The postings of a shard: by impact in blocks, and by case."""
 
-    def kth(scored: DataFrame) -> DataFrame:
-        return (
-            best(scored, "query_key", "class_id", top_k)
-            .filter(F.col("rank") == top_k)
-            .select("query_key", F.col("score").alias("floor"))
+    def __init__(self, table: pa.Table):
+        coded = pc.dictionary_encode(table["term"].combine_chunks())
+        self.terms = {term: i for i, term in enumerate(coded.dictionary.to_pylist())}
+        term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.classes, first, case = np.unique(
+            table["class_id"].to_numpy(), return_index=True, return_inverse=True
         )
-
-    floors = kth(asked.join(strong, keys).groupBy("query_key", "class_id").agg(lower_bound))
-    heaviest = strong.filter("place = 1").select(*keys, F.col("impact").alias("heaviest"))
-    leveled = weighed.join(heaviest, keys).select(
-        *keys, "class_id", "impact", _level(F.col("impact") / F.col("heaviest")).alias("level")
-    )
-    # salted: many cases may hold a frequent term with the same weight
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    salted = leveled.withColumn("salt", F.pmod(F.hash("class_id"), F.lit(SALTS)))
-    found = written(
-        probes(asked, heaviest, floors)
-        .select("*", salts)
-        .join(salted, [*keys, "level", "salt"])
-        .groupBy("query_key", "candidate_group", "class_id", "shrink", "floor", "unseen")
-        .agg(lower_bound),
-        "found",
-    )
-    raised = kth(found.select("query_key", "class_id", "score")).withColumnRenamed(
-        "floor", "raised"
-    )
-    floor = F.greatest("floor", F.coalesce("raised", F.lit(0.0)) - TIE_MARGIN)
-    return (
-        found.join(raised, "query_key", "left")
-        .filter(F.col("score") / F.col("shrink") + F.col("unseen") >= floor)
-        .select("query_key", "candidate_group", "class_id")
-    )
-
-
-def score_pairs(pairs: DataFrame, asked: DataFrame, entries: DataFrame) -> DataFrame:
-    """(query_key, class_id, score) for the pairs, from all shared terms."""
-    mine = asked.select(
-        "query_key", "term", F.col("tf").alias("query_tf"), "idf1", F.col("norm2").alias("query_norm2")
+        self.norm2 = table["norm2"].to_numpy()[first]
+        tf = table["tf"].to_numpy().astype(np.float64)
+        impact = tf * table["idf0"].to_numpy() / np.sqrt(self.norm2[case])
+        self.edges = np.searchsorted(np.sort(term), np.arange(len(self.terms) + 1))
+        order = np.lexsort((case, -impact, term))
+        self.impact, self.heavy = impact[order], case[order]
+        order = np.lexsort((case, term))
+        self.case, self.tf = case[order], tf[order]
+
+    def best(self, names: list, tf, idf0, idf1, norm2: float, top_k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``classes``, score) of the k best cases of a query."""
+        known = [(self.terms[x], *y) for x, *y in zip(names, tf, idf0, idf1) if x in self.terms]
+        if not known:
+            return np.zeros(0, np.int64), np.zeros(0)
+        spans = [(self.edges[x[0]], self.edges[x[0] + 1]) for x in known]
+        tf, idf0, idf1 = (np.array(x, float) for x in list(zip(*known))[1:])
+        # a case's part of a score is its impact times ``gain`` at most
+        gain = tf * idf1 * idf1 / idf0 / np.sqrt(norm2) / (idf1 / idf0).min()
+        weights = list(zip(spans, tf * idf1 * idf1, idf1 * idf1 - idf0 * idf0))
+
+        def scores(cases: np.ndarray) -> np.ndarray:
+            dot, grown = np.zeros(len(cases)), self.norm2[cases]
+            for (a, b), weight, growth in weights:
+                at = np.minimum(a + np.searchsorted(self.case[a:b], cases), b - 1)
+                held = self.tf[at] * (self.case[at] == cases)
+                dot += weight * held
+                grown += growth * held * held
+            return np.round(dot / np.sqrt(grown * norm2), SCORE_PLACES)
+
+        cases = np.unique(np.concatenate([self.heavy[a : min(a + BLOCK, b)] for a, b in spans]))
+        found = scores(cases)
+        if sum(b - a for a, b in spans) > len(spans) * BLOCK:
+            floor = np.partition(found, -top_k)[-top_k] - TIE_MARGIN if len(found) >= top_k else 0.0
+            reach = gain * self.impact[[a for a, _ in spans]]
+            allowed = _equal_parts(reach, floor) / gain
+            more = []
+            for (a, b), least in zip(spans, allowed.tolist()):
+                blocks = np.count_nonzero(self.impact[a:b:BLOCK] > least)
+                more.append(self.heavy[min(a + BLOCK, b) : min(a + blocks * BLOCK, b)])
+            more = np.setdiff1d(np.concatenate(more), cases)
+            cases, found = np.concatenate([cases, more]), np.concatenate([found, scores(more)])
+        order = np.lexsort((cases, -found))[:top_k]
+        return cases[order], found[order]
+
+
+def _equal_parts(reach: np.ndarray, total: float) -> np.ndarray:
+    """The largest equal part that the terms can take, each at most its ``reach``, so that their
+    sum stays within ``total``."""
+    if reach.sum() <= total:
+        return np.full(len(reach), np.inf)
+    ordered = np.sort(reach)
+    before = np.cumsum(ordered) - ordered
+    parts = (max(total, 0.0) - before) / np.arange(len(reach), 0, -1)
+    return np.full(len(reach), parts[np.argmax(parts <= ordered)])
+
+
+def _shard(top_k: int):
+    def run(queries: pa.Table, postings: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if queries.num_rows and postings.num_rows:
+            lists = _Postings(postings)
+            for row in queries.to_pylist():
+                terms = row["terms"]
+                names, numbers = [x["term"] for x in terms], ([x[y] for x in terms] for y in ("tf", "idf0", "idf1"))
+                cases, found = lists.best(names, *numbers, row["norm2"], top_k)
+                out += [(row["query_key"], i, s) for i, s in zip(lists.classes[cases].tolist(), found.tolist())]
+        columns = zip(*out) if out else ((), (), ())
+        kinds = [pa.binary(), pa.int64(), pa.float64()]
+        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=["query_key", "class_id", "score"])
+
+    return run
+
+
+def score_shards(asked: DataFrame, postings: DataFrame, top_k: int) -> DataFrame:
+    """(query_key, class_id, score): the k best cases of every query in every shard."""
+    group = "candidate_group"
+    queries = asked.groupBy("query_key", group).agg(
+        F.first("norm2").alias("norm2"), F.collect_list(F.struct("term", "tf", "idf0", "idf1")).alias("terms")
     )
-    square1 = F.col("idf1") * F.col("idf1")
-    square0 = F.col("idf0") * F.col("idf0")
-    case_norm2 = F.max("norm2") + F.sum(F.col("tf") * F.col("tf") * (square1 - square0))
+    queries = written(queries, "queries")
+    postings = written(postings, "postings")
+    parts = lambda most: F.ceil(F.count(F.lit(1)) / most).cast("int")
+    shape = postings.groupBy(group).agg(parts(POSTINGS_PER_SHARD).alias("shards"))
+    shape = shape.join(queries.groupBy(group).agg(parts(QUERIES_PER_BLOCK).alias("blocks")), group)
+    shape = written(shape, "shape")
+    every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    dealt = lambda key, name: F.pmod(F.xxhash64(key), F.col(name)).cast("int")
+    asks = queries.join(shape, group).withColumn("shard", every("shards"))
+    asks = asks.withColumn("block", dealt("query_key", "blocks")).drop("shards", "blocks")
+    lists = postings.join(shape, group).withColumn("shard", dealt("class_id", "shards"))
+    lists = lists.withColumn("block", every("blocks")).drop("shards", "blocks")
+    keys = [group, "shard", "block"]
     return (
-        pairs.join(entries, ["candidate_group", "class_id"])
-        .join(mine, ["query_key", "term"])
-        .groupBy("query_key", "class_id")
-        .agg(
-            F.sum(F.col("query_tf") * F.col("tf") * square1).alias("dot"),
-            (case_norm2 * F.max("query_norm2")).alias("norms2"),
-        )
-        .select(
-            "query_key",
-            "class_id",
-            F.round(F.col("dot") / F.sqrt("norms2"), SCORE_PLACES).alias("score"),
-        )
+        asks.groupBy(*keys)
+        .cogroup(lists.groupBy(*keys))
+        .applyInArrow(_shard(top_k), "query_key binary, class_id long, score double")
     )
 
 
-class CaseIndex(NamedTuple):
-    """The part of the work that depends on the knowledge base alone."""
-
-    profiles: DataFrame
-    copies: DataFrame
-
-
-def case_index(kb: DataFrame, stop_words: list[str] | None = None) -> CaseIndex:
-    """Count the words of every case once, for use with many batches of reports."""
-    stop_words = english_stop_words() if stop_words is None else stop_words
-    profiles = written(case_profiles(kb, stop_words), "profiles")
-    return CaseIndex(profiles, written(later_copies(profiles), "copies"))
-
-
 def tfidf_topk(
-    reports: DataFrame,
-    kb: DataFrame,
+    reports: DataFrame | None,
+    kb: DataFrame | None,
     top_k: int = 3,
     stop_words: list[str] | None = None,
     index: CaseIndex | None = None,
+    asked: Asked | None = None,
+    known: GroupStatistics | None = None,
 ) -> DataFrame:
     """(report_id, rank, kb_id, score): the best ``top_k`` cases per report.
 
-    ``index`` must come from the same ``kb`` and ``stop_words``.
+    ``index`` must come from the same ``kb`` and ``stop_words``, ``asked`` from the same
+    ``reports`` and ``known`` from the same index; with an index no text of a case is read.
     """
     check_top_k(top_k)
     stop_words = english_stop_words() if stop_words is None else stop_words
-    profiles, copies = index or case_index(kb, stop_words)
-    classes = distinct_cases(profiles, copies)
-    keyed, members = keyed_reports(reports, kb)
-    sizes = group_sizes(profiles, members)
-    frequencies = written(group_document_frequencies(profiles, members), "frequencies")
-    asked = written(
-        query_entries(query_terms(distinct_queries(keyed), frequencies, sizes, stop_words)),
-        "asked",
-    )
-    vocabulary = asked.select("candidate_group", "term").distinct()
-    entries = written(case_entries(classes, members, frequencies, sizes, vocabulary), "entries")
-    pairs = promising_pairs(asked, entries, top_k)
-    winners = best(score_pairs(pairs, asked, entries), "query_key", "class_id", top_k)
-    scored = with_copies(winners.drop("rank"), classes, profiles, top_k)
-    return ranked_reports(keyed, scored, first_candidates(profiles, members, top_k), top_k)
+    index = index or case_index(kb, stop_words)
+    keyed, members = asked or asked_groups(reports, index.facets)
+    statistics = group_statistics(index, members, known)
+    terms = query_terms(distinct_queries(keyed), statistics.frequencies, statistics.sizes, stop_words)
+    terms = written(query_entries(terms), "asked")
+    postings = case_postings(index, terms, members, statistics.norms)
+    winners = best(score_shards(terms, postings, top_k), "query_key", "class_id", top_k).drop("rank")
+    scored = with_copies(written(winners, "winners"), distinct_cases(index), index.profiles, top_k)
+    return ranked_reports(keyed, scored, first_candidates(index.profiles, members, top_k), top_k)

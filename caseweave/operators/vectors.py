@@ -21,7 +21,9 @@ from caseweave.operators.candidates import (
     assign_groups,
     environment_matches,
     facets,
+    first_matches,
     group_facets,
+    shared_groups,
     with_facet,
 )
 from caseweave.operators.ranking import (
@@ -169,14 +171,15 @@ def embedding_topk(
     check_top_k(top_k)
     case_facets = facets(kb)
     matches = written(environment_matches(reports, case_facets), "matches")
+    named = shared_groups(matches, case_facets)
     asks = written(
-        assign_groups(reports, matches)
+        assign_groups(reports, named)
         .select("report_id", "candidate_group")
         .join(report_vectors, "report_id")
         .withColumn("query_key", F.col("report_id")),
         "asks",
     )
-    members = written(group_facets(matches, case_facets, asks), "members")
+    members = written(group_facets(first_matches(matches, named), case_facets, asks), "members")
     cases = with_facet(kb).select("kb_id", "facet_id").join(kb_vectors, "kb_id")
     angles = angle_udf(choose_pivots(kb_vectors))
 
