@@ -1,13 +1,17 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from caseweave.functions.text import english_stop_words
+from caseweave.operators import tfidf
 from caseweave.operators.candidates import candidate_filter
 from caseweave.operators.overlap import overlap_topk
+from caseweave.operators.ranking import best, first_candidates, ranked_reports, with_copies
 from caseweave.operators.retrieve import retrieve
-from caseweave.operators.terms import term_stats
+from caseweave.operators.terms import asked_groups, term_stats
 from caseweave.operators.tfidf import tfidf_topk
 from caseweave.operators.vectors import embedding_topk
 from caseweave.schemas import KB_SCHEMA, REPORT_SCHEMA
@@ -184,3 +188,100 @@ def test_unused_columns_are_not_read(spark, tmp_path):
     df = candidate_filter(frame(spark, reports, REPORT_SCHEMA), stored)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema" in plan and "root_cause" not in plan
+
+
+def plain_join(index, keyed, members, top_k):
+    """Every pair of a report and a case that share a term, from the same stored entries."""
+    statistics = tfidf.group_statistics(index, members)
+    weighted = tfidf.query_terms(
+        tfidf.distinct_queries(keyed), statistics.frequencies, statistics.sizes, english_stop_words()
+    )
+    asked = tfidf.query_entries(weighted)
+    mine = asked.select("query_key", "candidate_group", "term", F.col("tf").alias("q"), "idf1", F.col("norm2").alias("q2"))
+    grown = F.max("norm2") + F.sum(F.col("tf") * F.col("tf") * (F.col("idf1") ** 2 - F.col("idf0") ** 2))
+    return (
+        tfidf.case_postings(index, asked, members, statistics.norms)
+        .join(mine, ["candidate_group", "term"])
+        .groupBy("query_key", "class_id")
+        .agg(F.sum(F.col("q") * F.col("tf") * F.col("idf1") ** 2).alias("dot"), (grown * F.max("q2")).alias("n2"))
+        .select("query_key", "class_id", F.round(F.col("dot") / F.sqrt("n2"), 9).alias("score"))
+    )
+
+
+@pytest.mark.parametrize("shard, queries, block", [(40, 3, 2), (1 << 18, 1 << 12, 4), (100, 5, 1)])
+def test_skipped_blocks_lose_nothing(spark, monkeypatch, shard, queries, block):
+    monkeypatch.setattr(tfidf, "POSTINGS_PER_SHARD", shard)
+    monkeypatch.setattr(tfidf, "QUERIES_PER_BLOCK", queries)
+    monkeypatch.setattr(tfidf, "BLOCK", block)
+    kb, reports = corpus(12, 120)
+    kb_df, report_df = frame(spark, kb, KB_SCHEMA), frame(spark, reports, REPORT_SCHEMA)
+    found = by_report(tfidf_topk(report_df, kb_df, 4))
+    assert found == expected(reports, kb, tfidf_scores, 4)
+    index = tfidf.case_index(kb_df)
+    keyed, members = asked_groups(report_df, index.facets)
+    classes = tfidf.distinct_cases(index)
+    winners = best(plain_join(index, keyed, members, 4), "query_key", "class_id", 4).drop("rank")
+    scored = with_copies(winners, classes, index.profiles, 4)
+    joined = ranked_reports(keyed, scored, first_candidates(index.profiles, members, 4), 4)
+    assert by_report(joined) == found
+
+
+def test_equal_parts():
+    for seed in range(50):
+        rng = np.random.default_rng(seed)
+        reach, total = rng.random(6), rng.random() * 3
+        part = tfidf._equal_parts(reach, total)
+        if reach.sum() <= total:
+            assert np.isinf(part).all()
+        else:
+            assert abs(np.minimum(reach, part).sum() - total) < 1e-9
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_updated_index_is_a_rebuilt_one(spark):
+    kb, reports = corpus(13, 90)
+    before, after = kb[:60], kb[25:]
+    changed = {**after[3], "error": "a term that is new", "platform": "elsewhere"}
+    after = [changed, *after[:3], *after[4:]]
+    old = tfidf.case_index(frame(spark, before, KB_SCHEMA))
+    ids = lambda rows: {c["kb_id"] for c in rows}
+    added = [c for c in after if c["kb_id"] not in ids(before)] + [changed]
+    gone = spark.createDataFrame([(i,) for i in ids(before) - ids(after)] + [(10**6,)], "kb_id long")
+    new = tfidf.updated_index(old, frame(spark, added, KB_SCHEMA), gone)
+    whole = tfidf.case_index(frame(spark, after, KB_SCHEMA))
+    for name, a, b in zip(whole._fields, new, whole):
+        if name == "profiles":
+            a, b = (x.withColumn("bag", F.array_sort("bag")) for x in (a, b))
+        assert rows_of(a.select(*b.columns)) == rows_of(b), name
+    asked = frame(spark, reports, REPORT_SCHEMA)
+    assert by_report(tfidf_topk(asked, None, index=new)) == expected(reports, after, tfidf_scores, 3)
+
+
+def test_known_groups_are_not_computed_again(spark):
+    kb, reports = corpus(14, 60)
+    index = tfidf.case_index(frame(spark, kb, KB_SCHEMA))
+    first, second = frame(spark, reports[:20], REPORT_SCHEMA), frame(spark, reports, REPORT_SCHEMA)
+    known = tfidf.group_statistics(index, asked_groups(first, index.facets).members)
+    asked = asked_groups(second, index.facets)
+    both, alone = tfidf.group_statistics(index, asked.members, known), tfidf.group_statistics(index, asked.members)
+    for a, b in zip(both, alone):
+        rounded = [F.round(x, 9).alias(x) if x == "norm2" else x for x in b.columns]
+        assert rows_of(a.select(rounded)) == rows_of(b.select(rounded))
+    assert by_report(tfidf_topk(None, None, index=index, asked=asked, known=known)) == expected(
+        reports, kb, tfidf_scores, 3
+    )
+
+
+def test_equal_sets_of_facets_are_one_group(spark):
+    kb = [case(i, f"disk {i}", "Azure Synapse" if i % 2 else "Local", "lab") for i in range(12)]
+    reports = [report(0, "disk", "azure"), report(1, "disk", "Synapse"), report(2, "disk", "lab"), report(3, "disk", "local")]
+    index = tfidf.case_index(frame(spark, kb, KB_SCHEMA))
+    keyed, members = asked_groups(frame(spark, reports, REPORT_SCHEMA), index.facets)
+    group = {r.report_id: r.candidate_group for r in keyed.collect()}
+    assert group[0] == group[1] != group[3] and group[2] == ""
+    statistics = tfidf.group_statistics(index, members)
+    assert {r.candidate_group: r.candidates for r in statistics.sizes.collect()} == {group[0]: 6, "": 12, group[3]: 6}
+    assert by_report(tfidf_topk(None, None, index=index, asked=(keyed, members))) == expected(reports, kb, tfidf_scores, 3)
