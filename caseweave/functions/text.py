@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 # Whitespace, line ends and word characters that define the results.
 WHITESPACE = r"[\t-\r\x1c-\x1f \x85\p{Z}]"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
+SPACE = r"[\t-\r\x1c-\x1f \x{85}\p{Z}]"
 NO_WORD = r"[^\p{L}\p{N}_]+"
 SHORTEST = 2
 
@@ -66,17 +67,20 @@ def whitespace_tokens(text: Column) -> Column:
     return F.filter(F.split(text, rf"{WHITESPACE}+"), lambda token: token != "")
 
 
-def _bags(stop_words: list[str], names: list[str]):
-    """Turns batches whose last column is lower-cased text into such with the bag instead."""
+def _bags(between: str, shortest: int, stop_words: list[str], names: list[str]):
+    """Turns batches whose last column is lower-cased text into such with the bag instead.
+
+    ``between`` matches what lies between words.
+    """
     stop = pa.array(sorted(stop_words), pa.string())
 
     def bags(texts: pa.StringArray) -> pa.ListArray:
-        runs = pc.split_pattern_regex(texts, NO_WORD)
+        runs = pc.split_pattern_regex(texts, between)
         ends = runs.offsets.to_numpy().astype(np.int64)
         coded = runs.flatten().dictionary_encode()
         of = np.repeat(np.arange(len(texts)), np.diff(ends))
         word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        long = pc.greater_equal(pc.utf8_length(coded.dictionary), SHORTEST)
+        long = pc.greater_equal(pc.utf8_length(coded.dictionary), shortest)
         kept = pc.and_not(long, pc.is_in(coded.dictionary, value_set=stop)).to_numpy(zero_copy_only=False)
         size = max(len(kept), 1)
         entry, tf = np.unique((of * size + word)[kept[word]], return_counts=True)
@@ -102,6 +106,13 @@ def _bags(stop_words: list[str], names: list[str]):
     return run
 
 
+def _with_bag(df: DataFrame, text: Column, name: str, between: str, shortest: int, stop_words: list[str]):
+    lowered = df.select("*", F.lower(F.coalesce(text, F.lit(""))).alias("lowered"))
+    entries = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())]))
+    schema = T.StructType([*df.schema.fields, T.StructField(name, entries)])
+    return lowered.mapInArrow(_bags(between, shortest, stop_words, schema.names), schema)
+
+
 def with_term_bag(df: DataFrame, text: Column, stop_words: list[str], name: str = "bag") -> DataFrame:
     """Add ``name``: the distinct words of ``text``, lower-cased, with their counts.
 
@@ -110,10 +121,12 @@ def with_term_bag(df: DataFrame, text: Column, stop_words: list[str], name: str
     ten times as long as doing it on whole batches of texts, so this is an Arrow function.
     Rows stay where they are; nothing is shuffled.
     """
-    lowered = df.select("*", F.lower(F.coalesce(text, F.lit(""))).alias("lowered"))
-    entries = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())]))
-    schema = T.StructType([*df.schema.fields, T.StructField(name, entries)])
-    return lowered.mapInArrow(_bags(stop_words, schema.names), schema)
+    return _with_bag(df, text, name, NO_WORD, SHORTEST, stop_words)
+
+
+def with_token_bag(df: DataFrame, text: Column, name: str = "bag") -> DataFrame:
+    """Add ``name``: the distinct tokens between white space of the lower-cased ``text``."""
+    return _with_bag(df, text, name, f"{SPACE}+", 1, [])
 
 
 def bag_entries(df: DataFrame, *keys: str, bag: str = "bag") -> DataFrame:

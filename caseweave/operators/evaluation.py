@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from caseweave.functions.text import joined, round_half_even, text_or_empty
+from caseweave.functions.text import joined, text_or_empty
 from caseweave.operators.shaping import in_rank_order, listed_examples, matched_cases
 
 
 def keyword_share(text: Column, focus: Column) -> Column:
-    """Share of the keywords that occur in the text, ignoring case; none expected gives 0."""
-    lowered = F.lower(text_or_empty(text))
-    focus = F.coalesce(focus, F.array().cast("array<string>"))
-    hits = F.size(F.filter(focus, lambda keyword: F.contains(lowered, F.lower(keyword))))
-    return hits / F.greatest(F.size(focus), F.lit(1))
+    """Share of the keywords that occur in the text, ignoring case; none expected gives 0.
+
+    The text is the element of a list of its own, so that it is lower-cased once and not for
+    each keyword; so are the keywords.
+    """
+    focus = F.transform(F.coalesce(focus, F.array().cast("array<string>")), F.lower)
+    once = F.array(F.lower(text_or_empty(text)))
+    hits = F.transform(once, lambda t: F.size(F.filter(focus, lambda keyword: F.contains(t, keyword))))
+    return F.get(hits, F.lit(0)) / F.greatest(F.size(focus), F.lit(1))
 
 
 def keyword_coverage(
@@ -84,21 +91,55 @@ def evaluate_cases(cases: DataFrame, results: DataFrame, hits: DataFrame) -> Dat
     )
 
 
-def eval_summary(case_results: DataFrame) -> DataFrame:
-    """One row of counts and averages; averages of no cases are null."""
+METRICS = ["retrieval_score", "rag_score", "baseline_score", "score_delta"]
+
+
+@F.udf(T.DoubleType())
+def exact_mean(parts) -> float | None:
+    """Mean of scores, rounded once: (keywords, score, times) for each distinct score.
 
-    def mean(name: str) -> Column:
-        # twelve places first, so that the order of addition can't turn a tie
-        return round_half_even(F.round(F.avg(name), 12)).alias(f"average_{name}")
+    A score is a whole number of hits over the number of keywords, which is what is added up;
+    without that number its binary value is.
+    """
+    total, count = Fraction(0), 0
+    for keywords, score, times in parts:
+        exact = Fraction(round(score * keywords), keywords) if keywords else Fraction(score)
+        total += exact * times
+        count += times
+    return round(float(total / count), 3) if count else None
 
+
+def eval_summary(case_results: DataFrame) -> DataFrame:
+    """One row of counts and averages; averages of no cases are null.
+
+    Cases are counted by number of keywords and score, of which there are few, and the averages
+    are exact, whatever the partitions.
+    """
+    given = "expected_focus" in case_results.columns
+    keywords = F.greatest(F.size("expected_focus"), F.lit(1)) if given else F.lit(None).cast("int")
+    scores = F.array(*[F.struct(F.lit(x).alias("metric"), F.col(x).alias("score")) for x in METRICS])
+    counted = (
+        case_results.select(keywords.alias("keywords"), F.explode(scores).alias("x"))
+        .filter("x.score is not null")
+        .groupBy("x.metric", "keywords", "x.score")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .groupBy("metric")
+        .agg(exact_mean(F.collect_list(F.struct("keywords", "score", "times"))).alias("mean"))
+    )
+    means = counted.agg(
+        *[F.max(F.when(F.col("metric") == x, F.col("mean"))).alias(f"average_{x}") for x in METRICS]
+    )
     delta = F.col("score_delta")
-    return case_results.agg(
+    counts = case_results.agg(
         F.count(F.lit(1)).alias("num_cases"),
-        mean("retrieval_score"),
-        mean("rag_score"),
-        mean("baseline_score"),
-        mean("score_delta"),
         F.count_if(delta > 0).alias("rag_better_cases"),
         F.count_if(delta == 0).alias("tied_cases"),
         F.count_if(delta < 0).alias("baseline_better_cases"),
     )
+    return counts.crossJoin(F.broadcast(means)).select(  # one row each
+        "num_cases",
+        *[f"average_{x}" for x in METRICS],
+        "rag_better_cases",
+        "tied_cases",
+        "baseline_better_cases",
+    )

@@ -1,10 +1,9 @@
 """Exact TF-IDF cosine top-k over shards of the cases.
 
 The model that would be fitted per report follows from the statistics of its candidate group,
-so document frequencies and the norms of cases are computed once per group. The postings of the
-terms that reports use are then dealt to shards by case, and every query of the group visits
-each shard, which returns its k best cases only: pairs of a report and a case are never rows of
-a table. Queries are cut into blocks as well, so a task is bounded on both sides.
+so document frequencies and the norms of cases are computed once per group. Queries then visit
+shards of the postings of the terms that reports use (``shards``), which return their k best
+cases only.
 
 Within a shard the postings of a term are a list sorted by impact, the case's share of a score,
 in blocks of ``BLOCK``; the first of a block bounds all of it. For every query
@@ -38,6 +37,7 @@ from caseweave.operators.ranking import (
     ranked_reports,
     with_copies,
 )
+from caseweave.operators.shards import visit_shards
 from caseweave.operators.terms import (
     Asked,
     asked_groups,
@@ -52,8 +52,6 @@ from caseweave.operators.terms import (
 )
 from caseweave.workspace import written
 
-POSTINGS_PER_SHARD = 1 << 18
-QUERIES_PER_BLOCK = 1 << 12
 BLOCK = 128
 TIE_MARGIN = 1e-8
 
@@ -300,28 +298,11 @@ def _shard(top_k: int):
 
 def score_shards(asked: DataFrame, postings: DataFrame, top_k: int) -> DataFrame:
     """(query_key, class_id, score): the k best cases of every query in every shard."""
-    group = "candidate_group"
-    queries = asked.groupBy("query_key", group).agg(
+    queries = asked.groupBy("query_key", "candidate_group").agg(
         F.first("norm2").alias("norm2"), F.collect_list(F.struct("term", "tf", "idf0", "idf1")).alias("terms")
     )
-    queries = written(queries, "queries")
-    postings = written(postings, "postings")
-    parts = lambda most: F.ceil(F.count(F.lit(1)) / most).cast("int")
-    shape = postings.groupBy(group).agg(parts(POSTINGS_PER_SHARD).alias("shards"))
-    shape = shape.join(queries.groupBy(group).agg(parts(QUERIES_PER_BLOCK).alias("blocks")), group)
-    shape = written(shape, "shape")
-    every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
-    dealt = lambda key, name: F.pmod(F.xxhash64(key), F.col(name)).cast("int")
-    asks = queries.join(shape, group).withColumn("shard", every("shards"))
-    asks = asks.withColumn("block", dealt("query_key", "blocks")).drop("shards", "blocks")
-    lists = postings.join(shape, group).withColumn("shard", dealt("class_id", "shards"))
-    lists = lists.withColumn("block", every("blocks")).drop("shards", "blocks")
-    keys = [group, "shard", "block"]
-    return (
-        asks.groupBy(*keys)
-        .cogroup(lists.groupBy(*keys))
-        .applyInArrow(_shard(top_k), "query_key binary, class_id long, score double")
-    )
+    result = "query_key binary, class_id long, score double"
+    return visit_shards(queries, postings, "class_id", _shard(top_k), result)
 
 
 def tfidf_topk(

@@ -1,21 +1,30 @@
 """Exact cosine top-k over embedding vectors.
 
-Case vectors are grouped into cells around a fixed number of pivots. The angle between a
-report and a case is at least the difference of their angles to a pivot, so a cell whose
-best possible cosine is below the report's floor holds no answer and is not visited. The
-visited cells are scored block by block with matrix products; a block is bounded in both
-directions and returns only the top k of each report.
+Case vectors are grouped into cells, about as many as the square root of the cases, whose
+centres are fitted to a bounded sample of them. The angle between a report and a case is at
+least the difference of their angles to a centre, so a cell whose best possible cosine is below
+the report's floor holds no answer and is not visited. The cells that are nearest to a report
+and together have k of its candidates are visited first and set that floor.
+
+Cells are packed into blocks of about ``BLOCK_BYTES``, large ones cut into several. Every case is
+in one block, whatever the number of candidate groups: a block knows which groups its facets
+belong to, and what is no candidate of a report is struck out after the product. A report
+visits a block once for all its cells there, and a block returns only the k best of each report.
+
+A report that can't be answered is listed with the reason instead; the others are answered.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from caseweave.operators.candidates import (
     assign_groups,
@@ -33,223 +42,364 @@ from caseweave.operators.ranking import (
     first_candidates,
     ranked_reports,
 )
+from caseweave.operators.terms import Asked
 from caseweave.workspace import written
 
-PIVOTS = 32
-# a side is copied once per block of the other side, so blocks are as large as tasks allow
-CASES_PER_BLOCK = 8192
-REPORTS_PER_BLOCK = 16384
-REPORTS_PER_PRODUCT = 1024
+#: The centres are fitted to a sample of this size, the first cases by hash of their id.
+SAMPLE_BYTES = 32 << 20
+ROUNDS = 8
+#: Vectors of a block of cases, and of the reports that meet it in one task.
+BLOCK_BYTES = 16 << 20
+ASK_BYTES = 32 << 20
+#: Scores that a task holds at a time.
+PRODUCT_BYTES = 32 << 20
 TIE_MARGIN = 1e-8
 
+NO_VECTOR = "no vector"
+BAD_VECTOR = "vector of another dimension or with missing values"
+NO_CANDIDATE = "no candidate with a vector"
 
-def _unit_rows(vectors) -> tuple[np.ndarray, np.ndarray]:
+
+class Answers(NamedTuple):
+    """``matches``: (report_id, rank, kb_id, score); ``unanswered``: (report_id, reason)."""
+
+    matches: DataFrame
+    unanswered: DataFrame
+
+
+def _complete(vector: Column) -> Column:
+    """Whether a vector has values and none is missing."""
+    odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce((F.size(vector) > 0) & ~odd, F.lit(False))
+
+
+def _has_length(vector: Column) -> Column:
+    return F.exists(vector, lambda x: x != 0)
+
+
+def _rows(vectors: pa.Array, dimension: int) -> np.ndarray:
+    values = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
+
+
+def _unit(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of length one (zero rows stay zero) and the lengths before."""
-    rows = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
     lengths = np.sqrt((rows * rows).sum(axis=1))
     return rows / np.where(lengths > 0, lengths, 1.0)[:, None], lengths
 
 
-def _has_length(vector):
-    return F.exists(vector, lambda x: x != 0)
+def _angles(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(units @ centres.T, -1.0, 1.0))
 
 
-def choose_pivots(cases: DataFrame) -> np.ndarray:
-    """At most ``PIVOTS`` unit vectors, picked by a hash so the choice is repeatable."""
-    picked = (
-        cases.filter(_has_length("embedding"))
-        .orderBy(F.xxhash64("kb_id"), "kb_id")
-        .limit(PIVOTS)
-        .select("embedding")
-        .collect()
-    )
-    return _unit_rows([row.embedding for row in picked])[0] if picked else np.zeros((0, 0))
+def fitted_centres(cases: DataFrame, count: int, dimension: int) -> np.ndarray:
+    """Unit centres of cells by k-means on the sphere, about sqrt(count) of them.
 
+    A cell is learnt from eight sampled vectors or more, which bounds their number as well.
+    """
+    most = max(1, SAMPLE_BYTES // (8 * dimension))
+    sample = cases.filter(_has_length("embedding")).orderBy(F.xxhash64("kb_id"), "kb_id").limit(most)
+    rows = sample.select("embedding").toArrow()["embedding"]
+    if not len(rows):
+        return np.zeros((0, dimension))
+    units = _unit(_rows(rows, dimension))[0]
+    cells = max(1, min(round(math.sqrt(count)), len(units) // 8))
+    centres = units[:cells]  # in hash order, so that these are drawn at random
+    for _ in range(ROUNDS):
+        nearest = (units @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, units)
+        moved, lengths = _unit(sums)
+        centres = np.where(lengths[:, None] > 0, moved, centres)
+    return centres
+
+
+class Cells(NamedTuple):
+    """Centres, and the blocks of each cell: ``parts`` from ``first``. Zero vectors have a last
+    cell of their own."""
+
+    centres: np.ndarray
+    first: np.ndarray
+    parts: np.ndarray
+
+
+def packed_cells(centres: np.ndarray, sizes: dict[int, int], per_block: int) -> Cells:
+    """Put cells into blocks of ``per_block`` cases; a larger cell is cut into several."""
+    n = len(centres) + 1
+    first, parts, block, room = np.zeros(n, np.int64), np.ones(n, np.int64), 0, per_block
+    for cell in range(n):
+        size = sizes.get(cell, 0)
+        if size > room and room < per_block:
+            block, room = block + 1, per_block
+        first[cell], parts[cell] = block, max(1, -(-size // per_block))
+        if size >= per_block:
+            block, room = block + int(parts[cell]), per_block
+        else:
+            room -= size
+    return Cells(centres, first, parts)
+
+
+def _located(centres: np.ndarray, dimension: int) -> Callable:
+    """Adds the cell of a case and its angle to the centre."""
+
+    def run(batches):
+        for batch in batches:
+            units, lengths = _unit(_rows(batch.column("embedding"), dimension))
+            cell, angle = np.full(len(units), len(centres)), np.zeros(len(units))
+            if len(centres):
+                angles = _angles(units, centres)
+                some = lengths > 0
+                cell[some] = angles[some].argmin(axis=1)
+                angle[some] = angles[some].min(axis=1)
+            yield pa.record_batch(
+                [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(angle)],
+                names=[*batch.schema.names, "cell", "angle"],
+            )
 
-def angle_udf(pivots: np.ndarray) -> Callable:
-    """Angles of a vector to the pivots, then one to the cell of the zero vectors."""
-
-    @F.pandas_udf("array<double>")
-    def angles(vectors: pd.Series) -> pd.Series:
-        rows, lengths = _unit_rows(vectors)
-        to_pivots = (
-            np.arccos(np.clip(rows @ pivots.T, -1.0, 1.0))
-            if len(pivots)
-            else np.zeros((len(rows), 0))
+    return run
+
+
+def _visits(cells: Cells, dimension: int, top_k: int, first: bool) -> Callable:
+    """The blocks that reports of a group visit: first those of the nearest cells, which have
+    ``top_k`` candidates, then those of all others that the floor leaves."""
+
+    def run(asks: pa.Table, held: pa.Table) -> pa.Table:
+        names = ["query_key", "candidate_group", "embedding", "block", "cells"]
+        kinds = [asks.schema.field(x).type for x in names[:3]] + [pa.int64(), pa.list_(pa.int32())]
+        if not (asks.num_rows and held.num_rows):
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+        number = held["cell"].to_numpy()
+        count, near, far = (held[x].to_numpy() for x in ("cases", "nearest", "farthest"))
+        real = number < len(cells.centres)
+        angles = np.full((asks.num_rows, len(number)), np.pi / 2)
+        units = _unit(_rows(asks["embedding"], dimension))[0]
+        angles[:, real] = _angles(units, cells.centres[number[real]])
+        apart = np.maximum(0.0, np.maximum(angles - far, near - angles))
+        apart[:, ~real] = np.pi / 2  # a zero vector has cosine 0 with everything
+        reach = np.cos(apart)
+        order = np.lexsort((np.broadcast_to(number, reach.shape), -reach))
+        before = np.cumsum(count[order], axis=1) - count[order]
+        chosen = np.zeros(reach.shape, bool)
+        np.put_along_axis(chosen, order, before < top_k, axis=1)
+        if not first:
+            chosen = ~chosen & (reach >= asks["floor"].to_numpy()[:, None] - TIE_MARGIN)
+        row, place = np.nonzero(chosen)
+        cell = number[place]
+        parts = cells.parts[cell]
+        row, cell = np.repeat(row, parts), np.repeat(cell, parts)
+        block = np.repeat(cells.first[number[place]] - (np.cumsum(parts) - parts), parts) + np.arange(len(row))
+        order = np.lexsort((cell, block, row))
+        row, block, cell = row[order], block[order], cell[order]
+        new = np.concatenate([[True], (row[1:] != row[:-1]) | (block[1:] != block[:-1])])[: len(row)]
+        head = np.flatnonzero(new)
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.append(head, len(row)), pa.int32()), pa.array(cell.astype(np.int32))
         )
-        # a zero vector has cosine 0 with everything and sits in a cell of its own
-        last = np.where(lengths > 0, np.pi / 2, 0.0)[:, None]
-        return pd.Series(list(np.hstack([np.where(lengths[:, None] > 0, to_pivots, np.pi), last])))
+        some = asks.select(names[:3]).take(pa.array(row[head]))
+        return some.append_column("block", pa.array(block[head])).append_column("cells", lists)
 
-    return angles
+    return run
 
 
 def _top_columns(scores: np.ndarray, top_k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the ``top_k`` entries per row; equal scores go to lower columns."""
     k = min(top_k, scores.shape[1])
     smallest = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-    rows, columns = np.nonzero(scores >= smallest[:, None])
+    rows, columns = np.nonzero((scores >= smallest[:, None]) & (scores > -np.inf))
     order = np.lexsort((columns, -scores[rows, columns], rows))
     rows, columns = rows[order], columns[order]
     place = np.arange(len(rows)) - np.searchsorted(rows, rows)
     return rows[place < k], columns[place < k]
 
 
-def _block_scorer(top_k: int) -> Callable:
-    def score(asks: pd.DataFrame, cases: pd.DataFrame) -> pd.DataFrame:
-        if asks.empty or cases.empty:
-            return pd.DataFrame({"query_key": [], "kb_id": [], "score": []})
-        cases = cases.sort_values("kb_id")
-        case_ids, case_rows = cases["kb_id"].to_numpy(), _unit_rows(cases["embedding"])[0]
-        parts = []
-        for start in range(0, len(asks), REPORTS_PER_PRODUCT):
-            some = asks.iloc[start : start + REPORTS_PER_PRODUCT]
-            products = _unit_rows(some["embedding"])[0] @ case_rows.T
-            scores = np.round(products, SCORE_PLACES) + 0.0
-            rows, columns = _top_columns(scores, top_k)
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "query_key": some["query_key"].to_numpy()[rows],
-                        "kb_id": case_ids[columns],
-                        "score": scores[rows, columns],
-                    }
-                )
-            )
-        return pd.concat(parts)
-
-    return score
-
-
-def score_cells(visits: DataFrame, cases: DataFrame, top_k: int) -> DataFrame:
-    """(query_key, kb_id, score): the top k of each visited block.
-
-    ``visits`` holds (query_key, candidate_group, cell, cases, embedding), ``cases`` holds
-    (kb_id, candidate_group, cell, embedding). Both sides are cut into blocks of bounded
-    size; hashing the ids spreads copies evenly.
+def _scored(dimension: int, top_k: int) -> Callable:
+    def run(asks: pa.Table, block: pa.Table) -> pa.Table:
+        """The k best candidates in a block of each report that visits it."""
+        out = []
+        known = pc.is_valid(block["kb_id"])
+        cases, facet_rows = block.filter(known).sort_by("kb_id"), block.filter(pc.invert(known))
+        if asks.num_rows and cases.num_rows:
+            units = _unit(_rows(cases["embedding"], dimension))[0]
+            ids, cell = cases["kb_id"].to_numpy(), cases["cell"].to_numpy()
+            facet = pc.index_in(cases["facet_id"], value_set=facet_rows["facet_id"]).to_numpy()
+            groups = {}
+            for place, names in enumerate(facet_rows["groups"].to_pylist()):
+                for name in names:
+                    groups.setdefault(name, []).append(place)
+            candidates = {name: np.isin(facet, places) for name, places in groups.items()}
+            nobody = np.zeros(len(ids), bool)
+            keys, asked = asks["query_key"].to_numpy(), asks["candidate_group"].to_pylist()
+            wanted = _unit(_rows(asks["embedding"], dimension))[0]
+            lists = asks["cells"].to_pylist()
+            members = {c: np.flatnonzero(cell == c) for c in np.unique(cell).tolist()}
+            step = max(1, PRODUCT_BYTES // (8 * len(ids)))
+            for at in range(0, len(keys), step):
+                stop = min(at + step, len(keys))
+                scores = np.full((stop - at, len(ids)), -np.inf)
+                by_cell = {}
+                for i in range(at, stop):
+                    for c in lists[i]:
+                        by_cell.setdefault(c, []).append(i)
+                for c, rows in by_cell.items():
+                    if c in members:
+                        product = np.round(wanted[rows] @ units[members[c]].T, SCORE_PLACES) + 0.0
+                        scores[np.ix_(np.array(rows) - at, members[c])] = product
+                for i in range(at, stop):
+                    scores[i - at, ~candidates.get(asked[i], nobody)] = -np.inf
+                rows, columns = _top_columns(scores, top_k)
+                out.append((keys[at:stop][rows], ids[columns], scores[rows, columns]))
+        columns = [np.concatenate(x) for x in zip(*out)] if out else [[], [], []]
+        kinds = [pa.int64(), pa.int64(), pa.float64()]
+        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=["query_key", "kb_id", "score"])
+
+    return run
+
+
+def score_blocks(visits: DataFrame, blocks: DataFrame, dimension: int, top_k: int) -> DataFrame:
+    """(query_key, kb_id, score): the k best of each visited block.
+
+    ``visits`` holds (query_key, candidate_group, embedding, block, cells); ``blocks`` the cases
+    (block, kb_id, facet_id, cell, embedding) and the groups of their facets.
     """
-    cell = ["candidate_group", "cell"]
-    shape = visits.groupBy(*cell).agg(
-        F.ceil(F.count(F.lit(1)) / REPORTS_PER_BLOCK).cast("long").alias("ask_blocks"),
-        F.ceil(F.max("cases") / CASES_PER_BLOCK).cast("long").alias("case_blocks"),
-    )
-
-    def numbers(count: str):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-
-    asks = (
-        visits.join(shape, cell)
-        .withColumn("ask_block", F.pmod(F.xxhash64("query_key"), "ask_blocks"))
-        .withColumn("case_block", numbers("case_blocks"))
-        .select("query_key", "embedding", *cell, "ask_block", "case_block")
-    )
-    blocks = (
-        cases.join(shape, cell)
-        .withColumn("case_block", F.pmod(F.xxhash64("kb_id"), "case_blocks"))
-        .withColumn("ask_block", numbers("ask_blocks"))
-        .select("kb_id", "embedding", *cell, "ask_block", "case_block")
-    )
-    keys = [*cell, "ask_block", "case_block"]
-    return (
-        asks.groupBy(*keys)
-        .cogroup(blocks.groupBy(*keys))
-        .applyInPandas(_block_scorer(top_k), "query_key long, kb_id long, score double")
-    )
-
-
-def embedding_topk(
-    reports: DataFrame,
+    visits = written(visits, "visits")
+    most = max(1, ASK_BYTES // (8 * dimension))
+    shape = visits.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
+    asks = visits.join(shape, "block").withColumn("part", F.pmod(F.xxhash64("query_key"), "parts").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    blocks = blocks.join(shape, "block").withColumn("part", every).drop("parts")
+    keys = ["block", "part"]
+    pairs = asks.drop("parts").groupBy(*keys).cogroup(blocks.groupBy(*keys))
+    return pairs.applyInArrow(_scored(dimension, top_k), "query_key long, kb_id long, score double")
+
+
+def embedding_answers(
+    reports: DataFrame | None,
     kb: DataFrame,
     report_vectors: DataFrame,
     kb_vectors: DataFrame,
     top_k: int = 3,
-) -> DataFrame:
-    """(report_id, rank, kb_id, score) by cosine of the given vectors.
-
-    Only cases with a vector are candidates; reports without one get no rows.
+    asked: Asked | None = None,
+) -> Answers:
+    """The best cases per report by cosine, and the reports that have no answer.
+
+    Cases without a complete vector are no candidates. Complete vectors of cases must have one
+    dimension; a report with another one, or with missing values, is listed as unanswered, as
+    are reports without a vector and those none of whose candidates has one. ``asked`` must
+    come from ``reports``.
     """
     check_top_k(top_k)
-    case_facets = facets(kb)
-    matches = written(environment_matches(reports, case_facets), "matches")
-    named = shared_groups(matches, case_facets)
-    asks = written(
-        assign_groups(reports, named)
-        .select("report_id", "candidate_group")
-        .join(report_vectors, "report_id")
-        .withColumn("query_key", F.col("report_id")),
+    if asked:
+        keyed, all_members = asked
+    else:
+        case_facets = facets(kb)
+        matches = written(environment_matches(reports, case_facets), "matches")
+        named = written(shared_groups(matches, case_facets), "groups")
+        keyed = assign_groups(reports, named)
+        all_members = group_facets(first_matches(matches, named), case_facets, keyed)
+    cases = with_facet(kb).select("kb_id", "facet_id").join(
+        kb_vectors.filter(_complete(F.col("embedding"))).select("kb_id", "embedding"), "kb_id"
+    )
+    cases = written(cases, "cases")
+    size = F.size("embedding")
+    count, dimension, largest = cases.agg(F.count(F.lit(1)), F.min(size), F.max(size)).first()
+    if dimension != largest:
+        raise ValueError(f"case vectors have dimensions from {dimension} to {largest}")
+    dimension = dimension or 1
+
+    given = report_vectors.select("report_id", "embedding")
+    other = size != dimension if count else F.lit(False)
+    reason = F.when(F.col("embedding").isNull(), NO_VECTOR)
+    reason = reason.when(~_complete(F.col("embedding")) | other, BAD_VECTOR)
+    if not count:
+        reason = reason.otherwise(NO_CANDIDATE)
+    judged = written(
+        keyed.select("report_id", "candidate_group")
+        .join(given, "report_id", "left")
+        .select("report_id", F.col("report_id").alias("query_key"), "candidate_group", "embedding", reason.alias("reason")),
         "asks",
     )
-    members = written(group_facets(first_matches(matches, named), case_facets, asks), "members")
-    cases = with_facet(kb).select("kb_id", "facet_id").join(kb_vectors, "kb_id")
-    angles = angle_udf(choose_pivots(kb_vectors))
-
-    located = written(
-        cases.withColumn("angles", angles("embedding"))
-        .withColumn("angle", F.array_min("angles"))
-        .withColumn("cell", F.array_position("angles", F.col("angle")).cast("int") - 1)
-        .drop("angles"),
-        "located",
+    asks = judged.filter("reason is null").drop("reason")
+    members = written(all_members, "members")
+
+    centres = fitted_centres(cases, count, dimension)
+    kind = cases.schema["embedding"].dataType
+    schema = f"kb_id long, facet_id binary, embedding {kind.simpleString()}, cell int, angle double"
+    located = cases.select("kb_id", "facet_id", "embedding").mapInArrow(_located(centres, dimension), schema)
+    located = written(located, "located")
+    by_facet = written(
+        located.groupBy("facet_id", "cell").agg(
+            F.count(F.lit(1)).alias("cases"), F.min("angle").alias("nearest"), F.max("angle").alias("farthest")
+        ),
+        "facet_cells",
     )
-    cells = written(
-        located.groupBy("facet_id", "cell")
-        .agg(
-            F.count(F.lit(1)).alias("cases"),
-            F.min("angle").alias("nearest"),
-            F.max("angle").alias("farthest"),
-        )
-        .join(members, "facet_id")
+    held = written(
+        by_facet.join(members, "facet_id")
         .groupBy("candidate_group", "cell")
-        .agg(
-            F.sum("cases").alias("cases"),
-            F.min("nearest").alias("nearest"),
-            F.max("farthest").alias("farthest"),
-        ),
+        .agg(F.sum("cases").alias("cases"), F.min("nearest").alias("nearest"), F.max("farthest").alias("farthest")),
         "cells",
     )
-    grouped_cases = located.join(members, "facet_id")
-
-    # the best cosine a cell allows, and the cells that together hold the first k cases
-    apart = F.greatest(
-        F.lit(0.0), F.col("angle") - F.col("farthest"), F.col("nearest") - F.col("angle")
+    with_cases = held.select("candidate_group").distinct()
+    without = asks.join(with_cases, "candidate_group", "left_anti")
+    unanswered = (
+        judged.filter("reason is not null")
+        .select("report_id", "reason")
+        .unionByName(without.select("report_id", F.lit(NO_CANDIDATE).alias("reason")))
     )
-    by_reach = Window.partitionBy("query_key").orderBy(F.desc("reach"), "cell")
-    before = by_reach.rowsBetween(Window.unboundedPreceding, -1)
-    reaches = written(
-        asks.filter(_has_length("embedding"))
-        .select("query_key", "candidate_group", F.posexplode(angles("embedding")).alias("cell", "angle"))
-        .join(cells, ["candidate_group", "cell"])
-        .withColumn("reach", F.cos(apart))
-        .withColumn("first", F.coalesce(F.sum("cases").over(before), F.lit(0)) < top_k)
-        .select("query_key", "candidate_group", "cell", "cases", "reach", "first"),
-        "reaches",
+
+    # as many rows as there are cells, which the sample bounds
+    sizes = {r.cell: r.n for r in by_facet.groupBy("cell").agg(F.sum("cases").alias("n")).collect()}
+    cells = packed_cells(centres, sizes, max(1, BLOCK_BYTES // (8 * dimension)))
+    first_block, parts = (F.array(*[F.lit(int(x)) for x in y]) for y in (cells.first, cells.parts))
+    part = F.pmod(F.xxhash64("kb_id"), F.get(parts, F.col("cell")).cast("long"))
+    block = (F.get(first_block, F.col("cell")) + part).cast("long").alias("block")
+    dealt = located.select(block, "kb_id", "facet_id", "cell", "embedding")
+    groups = members.groupBy("facet_id").agg(F.collect_list("candidate_group").alias("groups"))
+    of_facets = dealt.select("block", "facet_id").distinct().join(groups, "facet_id")
+    blocks = written(
+        dealt.unionByName(of_facets, allowMissingColumns=True), "blocks"
     )
-    vectors = asks.select("query_key", "embedding")
-
-    def visit(chosen: DataFrame) -> DataFrame:
-        return score_cells(
-            chosen.select("query_key", "candidate_group", "cell", "cases").join(
-                vectors, "query_key"
-            ),
-            grouped_cases,
-            top_k,
+
+    most = max(1, PRODUCT_BYTES // (16 * (len(centres) + 1)))
+    meaningful = asks.filter(_has_length("embedding"))
+    kind = asks.schema["embedding"].dataType
+    shape = meaningful.groupBy("candidate_group").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
+    shape = written(shape, "ask_parts")
+
+    def visit(asking: DataFrame, first: bool) -> DataFrame:
+        asking = asking.join(shape, "candidate_group")
+        asking = asking.withColumn("part", F.pmod(F.xxhash64("query_key"), "parts").cast("int")).drop("parts")
+        every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        groups = held.join(shape, "candidate_group").withColumn("part", every).drop("parts")
+        keys = ["candidate_group", "part"]
+        visits = asking.groupBy(*keys).cogroup(groups.groupBy(*keys)).applyInArrow(
+            _visits(cells, dimension, top_k, first),
+            f"query_key long, candidate_group string, embedding {kind.simpleString()}, block long, cells array<int>",
         )
+        return score_blocks(visits, blocks, dimension, top_k)
 
-    first = written(visit(reaches.filter("first")), "first")
+    near = written(visit(meaningful, True), "near")
     floors = (
-        best(first, "query_key", "kb_id", top_k)
+        best(near, "query_key", "kb_id", top_k)
         .filter(F.col("rank") == top_k)
         .select("query_key", F.col("score").alias("floor"))
     )
-    others = (
-        reaches.filter("not first")
-        .join(floors, "query_key", "left")
-        .filter(F.col("reach") >= F.coalesce("floor", F.lit(-1.0)) - TIE_MARGIN)
-    )
-    scored = first.unionByName(visit(others))
+    floored = meaningful.join(floors, "query_key", "left").withColumn("floor", F.coalesce("floor", F.lit(-1.0)))
+    scored = near.unionByName(visit(floored, False))
 
     # the zero vector has score 0 with every case
     pointless = asks.filter(~_has_length("embedding")).select("query_key", "candidate_group")
     zeros = pointless.join(first_candidates(located, members, top_k), "candidate_group").select(
         "query_key", "kb_id", F.lit(0.0).alias("score")
     )
-    return ranked_reports(asks, scored.unionByName(zeros), None, top_k)
+    return Answers(ranked_reports(asks, scored.unionByName(zeros), None, top_k), unanswered)
+
+
+def embedding_topk(
+    reports: DataFrame,
+    kb: DataFrame,
+    report_vectors: DataFrame,
+    kb_vectors: DataFrame,
+    top_k: int = 3,
+) -> DataFrame:
+    """(report_id, rank, kb_id, score) by cosine; ``embedding_answers`` lists the reports left out."""
+    return embedding_answers(reports, kb, report_vectors, kb_vectors, top_k).matches

@@ -1,19 +1,28 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from caseweave.functions.text import english_stop_words
-from caseweave.operators import tfidf
+from caseweave.operators import shards, tfidf
 from caseweave.operators.candidates import candidate_filter
 from caseweave.operators.overlap import overlap_topk
 from caseweave.operators.ranking import best, first_candidates, ranked_reports, with_copies
 from caseweave.operators.retrieve import retrieve
+from caseweave.operators.shards import visit_shards
 from caseweave.operators.terms import asked_groups, term_stats
 from caseweave.operators.tfidf import tfidf_topk
-from caseweave.operators.vectors import embedding_topk
+from caseweave.operators.vectors import (
+    BAD_VECTOR,
+    NO_CANDIDATE,
+    NO_VECTOR,
+    embedding_answers,
+    embedding_topk,
+    packed_cells,
+)
 from caseweave.schemas import KB_SCHEMA, REPORT_SCHEMA
 from caseweave.workspace import written
 from tests.corpus import corpus
@@ -59,6 +68,41 @@ def test_overlap_equals_direct_scoring(spark, seed, k):
     assert found == expected(reports, kb, overlap_scores, k)
 
 
+@pytest.mark.parametrize("shard, queries", [(30, 3), (1 << 18, 1 << 12)])
+def test_overlap_over_shards(spark, monkeypatch, shard, queries):
+    monkeypatch.setattr(shards, "POSTINGS_PER_SHARD", shard)
+    monkeypatch.setattr(shards, "QUERIES_PER_BLOCK", queries)
+    kb, reports = corpus(16, 90)
+    found = by_report(overlap_topk(frame(spark, reports, REPORT_SCHEMA), frame(spark, kb, KB_SCHEMA), 2))
+    assert found == expected(reports, kb, overlap_scores, 2)
+
+
+def test_a_token_of_every_case_makes_no_hot_shard(spark, monkeypatch):
+    """With merge joins: every case and every report holds the same tokens."""
+    monkeypatch.setattr(shards, "POSTINGS_PER_SHARD", 100)
+    kb = [case(i, f"error of all cases n{i}") for i in range(600)]
+    reports = [report(i, f"error of all cases n{i * 7}") for i in range(40)]
+    sizes = []
+
+    def counted(queries, postings, key, scorer, result):
+        def sized(a, b):
+            out = scorer(a, b)
+            return pa.table({"n": [b.num_rows], "out": [out.num_rows]})
+
+        sizes.extend(visit_shards(queries, postings, key, sized, "n long, out long").collect())
+        return visit_shards(queries, postings, key, scorer, result)
+
+    monkeypatch.setattr("caseweave.operators.overlap.visit_shards", counted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = by_report(overlap_topk(frame(spark, reports, REPORT_SCHEMA), frame(spark, kb, KB_SCHEMA)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == expected(reports, kb, overlap_scores, 3)
+    assert len(sizes) > 20 and max(r.n for r in sizes) < 4 * 100
+    assert all(r.out == 40 * 3 for r in sizes if r.n > 40)
+
+
 def vector_fixture(seed, size=120):
     rng = random.Random(seed)
     kb, reports = corpus(seed, size)
@@ -82,8 +126,8 @@ def vector_frames(spark, kb_vectors, asked):
 @pytest.mark.parametrize("k", [3, 90])
 def test_vectors_equal_direct_scoring(spark, k, monkeypatch):
     # small blocks, so that cells are cut on both sides
-    monkeypatch.setattr("caseweave.operators.vectors.CASES_PER_BLOCK", 7)
-    monkeypatch.setattr("caseweave.operators.vectors.REPORTS_PER_BLOCK", 5)
+    for name, rows in (("BLOCK_BYTES", 7), ("ASK_BYTES", 5), ("PRODUCT_BYTES", 12)):
+        monkeypatch.setattr(f"caseweave.operators.vectors.{name}", rows * 8 * 8)
     kb, reports, kb_vectors, asked = vector_fixture(6)
     found = by_report(
         embedding_topk(
@@ -99,6 +143,56 @@ def test_vectors_equal_direct_scoring(spark, k, monkeypatch):
     assert found == wanted
 
 
+def test_unanswered_reports_are_listed(spark):
+    kb = [case(i, "x", "a" if i < 4 else "b") for i in range(8)]
+    kb_vectors = {i: [1.0, float(i)] for i in range(4)} | {4: None, 5: [1.0, None], 6: []}
+    asked = {0: [1.0, 2.0], 1: None, 2: [1.0], 3: [1.0, float("nan")], 4: [0.0, 0.0], 5: [1.0, 1.0]}
+    reports = [report(i, "x", "b" if i == 5 else "a") for i in range(7)]
+    answers = embedding_answers(
+        frame(spark, reports, REPORT_SCHEMA), frame(spark, kb, KB_SCHEMA), *vector_frames(spark, kb_vectors, asked), 2
+    )
+    assert by_report(answers.matches) == {0: [(2, 1.0), (3, 0.9899495)], 4: [(0, 0.0), (1, 0.0)]}
+    found = {r.report_id: r.reason for r in answers.unanswered.collect()}
+    assert found == {1: NO_VECTOR, 2: BAD_VECTOR, 3: BAD_VECTOR, 5: NO_CANDIDATE, 6: NO_VECTOR}
+
+
+def test_no_case_has_a_vector(spark):
+    vectors = vector_frames(spark, {0: None}, {0: [1.0, 2.0], 1: None})
+    reports = frame(spark, [report(0, "x"), report(1, "x")], REPORT_SCHEMA)
+    answers = embedding_answers(reports, frame(spark, [case(0, "x")], KB_SCHEMA), *vectors)
+    assert answers.matches.count() == 0
+    assert {r.report_id: r.reason for r in answers.unanswered.collect()} == {0: NO_CANDIDATE, 1: NO_VECTOR}
+
+
+def test_case_vectors_of_different_dimensions_fail(spark):
+    vectors = vector_frames(spark, {0: [1.0], 1: [1.0, 2.0]}, {0: [1.0]})
+    kb = frame(spark, [case(0, "x"), case(1, "x")], KB_SCHEMA)
+    with pytest.raises(ValueError, match="dimensions from 1 to 2"):
+        embedding_topk(frame(spark, [report(0, "x")], REPORT_SCHEMA), kb, *vectors)
+
+
+def test_cases_are_stored_once_whatever_the_environments(spark, monkeypatch):
+    kb, reports, kb_vectors, asked = vector_fixture(15, 60)
+    stored = {}
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "blocks":
+            stored.setdefault(len(stored), out.filter("kb_id is not null").count())
+        return out
+
+    monkeypatch.setattr("caseweave.operators.vectors.written", counted)
+    kb_df, vectors = frame(spark, kb, KB_SCHEMA), vector_frames(spark, kb_vectors, asked)
+    embedding_topk(frame(spark, reports[:3], REPORT_SCHEMA), kb_df, *vectors).collect()
+    embedding_topk(frame(spark, reports, REPORT_SCHEMA), kb_df, *vectors).collect()
+    assert stored == {0: 60, 1: 60}
+
+
+def test_cells_fill_blocks():
+    cells = packed_cells(np.zeros((5, 2)), {0: 3, 1: 25, 2: 4, 3: 6, 5: 1}, 10)
+    assert cells.first.tolist() == [0, 1, 4, 4, 4, 5] and cells.parts.tolist() == [1, 3, 1, 1, 1, 1]
+
+
 def test_retrieve_routes_by_method(spark):
     kb, reports, kb_vectors, asked = vector_fixture(7, 40)
     methods = ["tfidf", "EMBEDDINGS", "nonsense", None]
@@ -163,7 +257,7 @@ def test_plans_have_no_nested_loops(spark, monkeypatch):
         record(df)
         return written(df, name)
 
-    for module in ["terms", "tfidf", "overlap", "vectors"]:
+    for module in ["terms", "tfidf", "shards", "overlap", "vectors"]:
         monkeypatch.setattr(f"caseweave.operators.{module}.written", recorded)
     record(candidate_filter(report_df, kb_df))
     record(tfidf_topk(report_df, kb_df))
@@ -210,8 +304,8 @@ def plain_join(index, keyed, members, top_k):
 
 @pytest.mark.parametrize("shard, queries, block", [(40, 3, 2), (1 << 18, 1 << 12, 4), (100, 5, 1)])
 def test_skipped_blocks_lose_nothing(spark, monkeypatch, shard, queries, block):
-    monkeypatch.setattr(tfidf, "POSTINGS_PER_SHARD", shard)
-    monkeypatch.setattr(tfidf, "QUERIES_PER_BLOCK", queries)
+    monkeypatch.setattr(shards, "POSTINGS_PER_SHARD", shard)
+    monkeypatch.setattr(shards, "QUERIES_PER_BLOCK", queries)
     monkeypatch.setattr(tfidf, "BLOCK", block)
     kb, reports = corpus(12, 120)
     kb_df, report_df = frame(spark, kb, KB_SCHEMA), frame(spark, reports, REPORT_SCHEMA)

@@ -1,4 +1,6 @@
 import json
+import random
+import time
 
 import pytest
 
@@ -60,13 +62,93 @@ def test_summary_round_trip(spark, tmp_path):
 
 
 def test_unreadable_summary_is_no_missing_summary(spark, tmp_path):
-    (tmp_path / "summary").mkdir()
-    (tmp_path / "summary" / "part.json").write_text("{broken", encoding="utf-8")
+    folder = str(tmp_path / "evaluation")
+    run = files.write_evaluation(summary_of(spark, []), spark.range(3), folder)
+    for part in (tmp_path / "evaluation" / "runs" / run / "summary").glob("*part-*"):
+        part.unlink()
+    (tmp_path / "evaluation" / "runs" / run / "summary" / "part.json").write_text("{broken", encoding="utf-8")
     with pytest.raises(Exception):
-        files.read_summary(spark, str(tmp_path)).collect()
+        files.read_summary(spark, folder).collect()
+
+
+def test_readers_see_whole_evaluations_between_all_steps(spark, tmp_path, monkeypatch):
+    folder, schema, seen = str(tmp_path / "evaluation"), spark.range(1).schema, []
+
+    def read():
+        run = files.current_evaluation(spark, folder)
+        if run is None:
+            return None
+        score = files.read_summary(spark, folder, run).first().average_rag_score
+        return score, files.read_case_results(spark, folder, schema, run).count()
+
+    files.write_evaluation(summary_of(spark, [(0.5, 0.5, 0.5, 0.0)]), spark.range(1), folder)
+    steps = iter(range(100))
+    writer = type(spark.range(1).write)
+    plain, system = writer.json, files.file_system
+
+    def json(self, *a, **b):
+        seen.append((next(steps), read()))
+        plain(self, *a, **b)
+        seen.append((next(steps), read()))
+
+    monkeypatch.setattr(writer, "json", json)
+    monkeypatch.setattr(files, "file_system", lambda *a: (next(steps), system(*a))[1])
+    files.write_evaluation(summary_of(spark, [(0.25, 0.25, 0.25, 0.0)] * 2), spark.range(2), folder)
+    assert len(seen) == 4 and {x for _, x in seen} == {(0.5, 1)}
+    assert read() == (0.25, 2)
+
+
+def test_old_evaluations_expire(spark, tmp_path):
+    folder, day = str(tmp_path / "evaluation"), 86_400
+    runs = [files.write_evaluation(summary_of(spark, []), spark.range(i), folder) for i in range(3)]
+    left = tmp_path / "evaluation" / "runs" / "crashed"
+    left.mkdir()
+    assert files.expire_evaluations(spark, folder, 1) == []
+    assert sorted(files.expire_evaluations(spark, folder, 1, time.time() + 2 * day)) == sorted([*runs[:2], "crashed"])
+    assert files.current_evaluation(spark, folder) == runs[2]
+    assert files.read_case_results(spark, folder, spark.range(1).schema).count() == 2
+    assert [x.name for x in (tmp_path / "evaluation" / "runs").iterdir() if x.is_dir()] == [runs[2]]
+
+
+@pytest.mark.parametrize("indent, item_lines", [(None, False), (2, False), (None, True), ("\t", True)])
+def test_an_array_is_read_by_several_tasks(spark, tmp_path, indent, item_lines):
+    rng = random.Random(4)
+    odd = ['a "quoted" [x], {y}', "back\\slash\\", "line\nend, ]", "é日本", "", "}{", "\\\""]
+    items = [
+        {"error": rng.choice(odd) + str(i), "tags": rng.choices(odd, k=rng.randint(0, 3)), "platform": None}
+        for i in range(300)
+    ]
+    if item_lines:
+        text = "\n[\n" + " ,\r\n".join(json.dumps(x, indent=indent) for x in items) + "\n\n]\n"
+    else:
+        text = json.dumps(items, indent=indent)
+    path = tmp_path / "kb.json"
+    path.write_bytes(text.encode())
+    settings = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "0"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 5
+        rows = sorted(files.read_kb(spark, str(path)).collect(), key=lambda r: r.kb_id)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert [(r.kb_id, r.error, r.tags, r.platform) for r in rows] == [
+        (i, x["error"], x["tags"], None) for i, x in enumerate(items)
+    ]
+
+
+@pytest.mark.parametrize("content, items", [("[]", 0), (" [\n ] \n", 0), ('[{"error": "x"},\nnull]', 2), ("", 0), ("\n\n", 0)])
+def test_small_arrays(spark, tmp_path, content, items):
+    path = tmp_path / "kb.json"
+    path.write_text(content, encoding="utf-8")
+    assert files.read_kb(spark, str(path)).count() == items
 
 
-@pytest.mark.parametrize("content", ['[{"error": "x"}, {"err', "not json", '{"error": 1'])
+@pytest.mark.parametrize("content", [
+        '[{"error": "x"}, {"err', "not json", '{"error": 1', '[{"error": "x"},]', '[{"error": "x"},,{}]', "[1]",
+        '[{"error": "x"}]\n[{"error": "y"}]', '[{"error": "x"}] more', '[{"error": "x"}\n]]', '[[{"error": "x"}]', '[{"error": x}]',
+    ])
 def test_malformed_array_fails(spark, tmp_path, content):
     path = tmp_path / "kb.json"
     path.write_text(content, encoding="utf-8")
