@@ -4,8 +4,8 @@ mixed to target weights, as token files.
 Every stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written as Parquet and
 read again as the next one's docs. All but the last give the columns of documents.
 
-The toxic documents go; of each group of near copies the document with the smallest doc_id
-stays; documents that hold a window of the benchmark go; documents labelled or judged poor are
+The toxic documents go; of each group of SimHash near copies the document with the smallest
+doc_id stays; documents that hold a window of the benchmark go; documents labelled or judged poor are
 thinned until good ones have their target weight, and the rest is written as token files, of
 which the result lists the documents. A stage repeats no document.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseweave.llm import decontaminate, mixing, simhash, similar, token_files, toxicity
+from caseweave.llm import decontaminate, mixing, simhash, token_files, toxicity
 from caseweave.llm.common import table
 from caseweave.workspace import new_folder, written
 
@@ -30,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs, similar.similar_copies(docs))
+    return simhash.keep_one(docs, simhash.near_copies(docs))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
