@@ -1,10 +1,13 @@
 """Near copies by SimHash fingerprints, found through an inverted index of byte positions.
 
-A fingerprint has eight bytes. Two fingerprints that differ in at most two bits share at
-least six of them in place, so at least two of the four byte pairs. The index lists
-fingerprints under each two byte pairs (four bytes and where they stand: six lists for each
-fingerprint). Pairs out of a list are tallied by their shared bytes, those with fewer than
-six go, and the rest are verified bit by bit.
+A fingerprint has eight bytes. Two fingerprints that differ in at most two bits share at least
+``LEAST_SHARED`` = 6 of them in place. A posting of a single position and byte would list one
+in 256 of all fingerprints, so postings are split by four more positions: of the four
+neighbouring byte pairs two at least are equal, and a list has the fingerprints that agree in
+these two pairs (six lists for each fingerprint). Within a list every fingerprint is posted
+under each byte of its other four positions. The postings are tallied by pair, a pair that
+meets fewer than two times there (six with the list's own four) goes, and the rest are verified
+bit by bit.
 
 Equal fingerprints are one entry of the index, so copies never meet in a list. A list of more
 than ``LIST`` entries forms no pairs: entries of a list differ only in the 32 bits that its key
@@ -28,12 +31,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import component_roots, free_name, id_and_bytes, table
+from caseweave.llm.common import component_roots, free_name, id_and_text, table
 from caseweave.workspace import written
 
 SEED = 42
 WORDS = 3
 MAX_BITS = 2
+LEAST_SHARED = 8 - MAX_BITS
 #: Lists of more entries take the way without pairs.
 LIST = 64
 _PIECE = 1 << 18
@@ -62,23 +66,18 @@ def fingerprint(text: bytes) -> int:
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = [fingerprint(x.as_py()) for x in batch.column(1)]
+        prints = [fingerprint(x.as_py()) for x in batch.column(2)]
         yield pa.record_batch(
-            [batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fp"]
+            [batch.column(0), batch.column(1), pa.array(prints, pa.int64())],
+            names=["doc_id", "text_hash", "fp"],
         )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row."""
-    return id_and_bytes(docs).mapInArrow(_batches, "doc_id long, fp long")
-
-
-def _shared_bytes(a: str, b: str) -> Column:
-    differ = F.col(a).bitwiseXOR(F.col(b))
-    return sum(
-        F.when(F.shiftrightunsigned(differ, 8 * k).bitwiseAND(255) == 0, 1).otherwise(0)
-        for k in range(8)
-    )
+    """(doc_id, text_hash, fp) of every row."""
+    texts = id_and_text(docs)
+    texts = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary"))
+    return texts.mapInArrow(_batches, "doc_id long, text_hash long, fp long")
 
 
 def links(entries: DataFrame) -> DataFrame:
@@ -96,11 +95,19 @@ def links(entries: DataFrame) -> DataFrame:
     lengths = index.groupBy("place", "value").count().where("count > 1")
     listed = written(index.join(lengths, ["place", "value"]), "lists")
 
+    # the four bytes of an entry that its list leaves open, with their positions
+    free = [[k for k in range(8) if k // 2 not in own] for own in combinations(range(4), 2)]
+    byte = lambda k: F.struct(
+        F.lit(k).alias("at"), F.shiftrightunsigned("fp", 8 * k).bitwiseAND(F.lit(255)).alias("byte")
+    )
+    posted = F.element_at(F.array(*[F.array(*map(byte, x)) for x in free]), F.col("place") + 1)
     short = listed.where(F.col("count") <= LIST)
-    a = short.select("place", "value", F.col("fp").alias("a"))
-    b = short.select("place", "value", F.col("fp").alias("b"))
-    pairs = a.join(b, ["place", "value"]).where("a > b")
-    pairs = pairs.where(_shared_bytes("a", "b") >= 8 - MAX_BITS)
+    short = short.select("place", "value", "fp", F.explode(posted).alias("p"))
+    where = ["place", "value", "at", "byte"]
+    a = short.select("place", "value", "p.at", "p.byte", F.col("fp").alias("a"))
+    b = short.select("place", "value", "p.at", "p.byte", F.col("fp").alias("b"))
+    tally = a.join(b, where).where("a > b").groupBy("place", "a", "b").agg(F.count("*").alias("met"))
+    pairs = tally.where(F.col("met") + 4 >= LEAST_SHARED)
     pairs = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
 
     bits = F.array(*[F.lit(signed(1 << k)) for k in range(64)])
@@ -118,34 +125,47 @@ def links(entries: DataFrame) -> DataFrame:
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id, component_size) of every row."""
+    """(doc_id, text_hash, fp, component, component_id, component_size) of every row; component
+    is one of its fingerprints."""
     prints = written(fingerprints(docs), "fingerprints")
     entries = prints.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
     entries = written(entries, "entries")
     roots = written(component_roots(links(entries.select("fp"))), "roots")
     named = entries.join(roots.withColumnRenamed("a", "fp"), "fp", "left")
-    named = named.withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(
+    named = named.withColumn("component", F.coalesce("root", "fp"))
+    least = named.groupBy("component").agg(
         F.min("id").alias("component_id"), F.sum("n").alias("component_size")
     )
-    named = named.select("fp", "root").join(least, "root").select(
-        "fp", "component_id", "component_size"
+    named = named.select("fp", "component").join(least, "component")
+    return prints.join(named, "fp").select(
+        "doc_id", "text_hash", "fp", "component", "component_id", "component_size"
     )
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id", "component_size")
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` without the copies ``found`` (doc_id, component_id): the row with the smallest doc_id of each component stays.
+    """One row of ``docs`` for each component of ``found`` (from ``near_copies``).
 
-    Of rows that repeat that doc_id the first by text stays. Rows without a doc_id all stay, as
-    nothing could name the one to keep.
+    That is the row with the smallest doc_id, rows without one last; of rows that share it, the
+    first by hash of the text, then of the whole row. Rows that repeat a doc_id with texts of
+    different components are all judged by their own component.
     """
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    rank = free_name(docs, "rank")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    rest = docs.join(stay, "doc_id", "left_semi").withColumn(rank, F.row_number().over(first))
-    rest = rest.where(F.col(rank) == 1).select(*docs.columns)
-    return rest.unionByName(docs.where("doc_id is null"))
+    key = [F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash"]
+    first = F.min(F.struct(*key)).alias("first")
+    stay = found.groupBy("component").agg(first).select("first.*").distinct()
+    names = {x: free_name(docs, x) for x in ("no_id", "id", "text_hash", "rank")}
+    doc_id = F.col("doc_id").cast("long")
+    marked = docs.withColumns(
+        {
+            names["no_id"]: doc_id.isNull(),
+            names["id"]: F.coalesce(doc_id, F.lit(0)),
+            names["text_hash"]: F.xxhash64(F.coalesce("text", F.lit(""))),
+        }
+    )
+    keys = [names[x] for x in ("no_id", "id", "text_hash")]
+    rest = marked.join(stay.toDF(*keys), keys, "left_semi")
+    same = Window.partitionBy(*keys).orderBy(F.xxhash64(*docs.columns))
+    rest = rest.withColumn(names["rank"], F.row_number().over(same))
+    return rest.where(F.col(names["rank"]) == 1).select(*docs.columns)
 
 
 def hex_fingerprint(fp: Column) -> Column:

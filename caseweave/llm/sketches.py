@@ -1,51 +1,15 @@
-"""Near copies by similarity of shingles, through the inverted index of positions.
-
-Fingerprints within two bits are those of almost equal texts only: of pairs with a similarity
-of 0.8 or more, over sets of five-word shingles, one in a hundred has them. This form of the
-operator therefore gives a text a longer fingerprint of ``PLACES`` positions of two bytes, each
-the low bytes of the smallest shingle hash under that position's mixing. Two texts share a
-position with the probability of their similarity. The steps are those of ``simhash``: an
-inverted index, here over groups of ``TOGETHER`` positions, a tally of shared positions for each
-pair out of a list, with ``LEAST_SHARED`` as the minimum, and verification, by the exact
-similarity of the sets.
-
-Equal texts (after lower-casing A-Z, by words) are one entry. Lists of up to ``LIST`` entries form
-pairs. In a longer list every entry is paired with the list's centre, the entry that shares the
-most positions with what is most frequent in the list: copies of one text gather around it. So
-rows grow in proportion to entries, whatever the size of a group of copies.
-
-A centre doesn't speak for entries that are unlike it, as in a family of texts around a shared
-passage. The texts of a long list that are in several components after that are therefore
-compared exactly, by their shingles, rarest first over all of these texts. Of x and a y that
-is no larger, at least 8/9 of y and 4/5 of x are shared if they are similar, so one of the
-first |y|/9 + 1 shingles of y is among the first |x|/5 + 1 of x. Texts that meet there and are
-in different components are verified; what a family shares comes late in the order and brings
-nobody together.
-
-Measured against all pairs on test documents, see README. Defined results are those of
-``simhash``: texts without words are copies of each other.
-"""
+"""Hashes of five-word shingles and the smallest of them under several mixings, which near
+copies share."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
 
-from caseweave.llm.common import component_roots, id_and_text
-from caseweave.llm.words import slices, words_of
-from caseweave.workspace import written
+from caseweave.llm.words import words_of
 
 WORDS = 5
-SIMILARITY = 0.8
-PLACES = 48
-TOGETHER = 4
-LEAST_SHARED = 26
-LIST = 32
 _A, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -92,156 +56,3 @@ def smallest(code: np.ndarray, counts: np.ndarray, places: int) -> np.ndarray:
         mixed ^= mixed >> np.uint64(32)
         out[some, k] = np.minimum.reduceat(mixed, heads)
     return out
-
-
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in slices(whole, 1):
-            code, counts, digests = shingle_hashes(batch.column(1))
-            places = smallest(code, counts, PLACES).astype(np.uint16)
-            columns = [batch.column(0), pa.array(digests, pa.binary())]
-            columns += [pa.array([x.tobytes() for x in places], pa.binary())]
-            yield pa.record_batch(columns, names=["doc_id", "node", "places"])
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The set of each text's shingles, by 32 bits of their hashes."""
-    for whole in batches:
-        for batch in slices(whole, 1):
-            code, counts, digests = shingle_hashes(batch.column(1))
-            short = (code >> np.uint64(32)).astype(np.uint32)
-            cuts = np.cumsum(counts).tolist()
-            sets = [np.unique(short[a:b]).tobytes() for a, b in zip([0, *cuts], cuts)]
-            columns = [pa.array(digests, pa.binary()), pa.array(sets, pa.binary())]
-            yield pa.record_batch(columns, names=["node", "shingles"])
-
-
-def _centres(group: pa.Table) -> pa.Table:
-    """For members of a list, the one that has the most of what is frequent in the list."""
-    rows = np.frombuffer(b"".join(group["places"].to_pylist()), np.uint16).reshape(-1, PLACES)
-    score = np.zeros(len(rows), np.int64)
-    for k in range(PLACES):
-        _, which, times = np.unique(rows[:, k], return_inverse=True, return_counts=True)
-        score += times[which]
-    nodes = group["node"].to_pylist()
-    best = max(range(len(nodes)), key=lambda i: (score[i], nodes[i]))
-    part = group.slice(best, 1)
-    return pa.table({"key": part["key"], "node": part["node"], "places": part["places"], "score": [int(score[best])]})
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        same = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            same.append(shared >= SIMILARITY * (len(x) + len(y) - shared))
-        yield batch.select([0, 1]).filter(pa.array(same, pa.bool_()))
-
-
-def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, PLACES) for i in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= LEAST_SHARED))
-
-
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each shingle of the sets."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            sets = [np.frombuffer(x, np.uint32) for x in part.column(2).to_pylist()]
-            sizes = np.array([len(x) for x in sets])
-            which = pa.array(np.repeat(np.arange(len(sets)), sizes))
-            columns = [part.column(0).take(which), part.column(1).take(which), pa.array(np.repeat(sizes, sizes))]
-            columns += [pa.array(np.concatenate(sets).astype(np.int64))]
-            yield pa.record_batch(columns, names=["node", "root", "size", "shingle"])
-
-
-def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets (node, shingles) have the similarity."""
-    checked = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return checked.select("a", "b", "x", "y").mapInArrow(_verified, "a binary, b binary")
-
-
-def shingle_pairs(sets: DataFrame) -> DataFrame:
-    """(a, b): all pairs of sets (node, root, shingles) of different roots that can be similar."""
-    rows = sets.select("node", "root", "shingles")
-    rows = written(rows.mapInArrow(_shingles, "node binary, root binary, size long, shingle long"), "shingles")
-    times = rows.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
-    rows = rows.join(written(times, "times"), "shingle", "left").withColumn("times", F.coalesce("times", F.lit(1)))
-    rarest = Window.partitionBy("node").orderBy("times", "shingle")
-    rows = rows.withColumn("rank", F.row_number().over(rarest)).where("rank <= floor(size / 5) + 1 AND times > 1")
-    rows = written(rows.withColumn("early", F.expr("rank <= floor(size / 9) + 1")), "prefixes")
-    # of a shingle's entries, those of its most frequent root need not meet each other
-    roots = rows.groupBy("shingle", "root").agg(F.count("*").alias("n"))
-    roots = roots.groupBy("shingle").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots"))
-    met = written(rows.join(roots.where("roots > 1"), "shingle"), "met")
-    columns = ["node", "root", "size", "early"]
-    x = met.where("root <> main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in columns])
-    y = met.select("shingle", *[F.col(c).alias(f"y_{c}") for c in columns])
-    larger = "x_size > y_size OR (x_size = y_size AND x_node > y_node)"
-    pairs = x.join(y, "shingle").where("x_root <> y_root AND 5 * x_size >= 4 * y_size AND 5 * y_size >= 4 * x_size")
-    pairs = pairs.where(f"CASE WHEN {larger} THEN y_early ELSE x_early END")
-    return pairs.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b")).distinct()
-
-
-def similar_roots(docs: DataFrame, entries: DataFrame) -> DataFrame:
-    """(a, root): components of the entries (node, places) with the similarity."""
-    links, long = similar_links(docs, entries)
-    roots = written(component_roots(links), "roots")
-    named = long.join(roots.withColumnRenamed("a", "node"), "node", "left")
-    named = written(named.withColumn("root", F.coalesce("root", "node")), "crowded")
-    lists = named.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
-    crowded = named.join(lists, "key", "left_semi").select("node", "root").distinct()
-    crowded = written(crowded, "crowded")
-    if crowded.isEmpty():
-        return roots
-    sets = docs.mapInArrow(_sets, "node binary, shingles binary").join(crowded, "node")
-    sets = written(sets.dropDuplicates(["node"]), "sets")
-    more = _checked(written(shingle_pairs(sets), "pairs"), sets.select("node", "shingles"))
-    return component_roots(roots.withColumnRenamed("root", "b").unionByName(more))
-
-
-def similar_links(docs: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(a, b): entries (node, places) with the similarity, as far as the lists pair them; (key, node) of the long lists."""
-    size = 2 * TOGETHER
-    keys = F.array(
-        *[F.xxhash64(F.lit(k), F.expr(f"substring(places, {k * size + 1}, {size})")) for k in range(PLACES // TOGETHER)]
-    )
-    index = entries.select("node", "places", F.explode(keys).alias("key"))
-    lengths = index.groupBy("key").count().where("count > 1")
-    listed = written(index.join(lengths, "key"), "lists")
-    short = listed.where(F.col("count") <= LIST)
-    a = short.select("key", F.col("node").alias("a"), F.col("places").alias("x"))
-    b = short.select("key", F.col("node").alias("b"), F.col("places").alias("y"))
-    pairs = a.join(b, "key").where("a > b").select("a", "b", "x", "y")
-    long = listed.where(F.col("count") > LIST).select("key", "node", "places")
-    # parts of a list choose a centre each, the best of which is the list's
-    parts = long.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(64)))
-    centres = parts.groupBy("key", "part").applyInArrow(_centres, "key long, node binary, places binary, score long")
-    best = F.max(F.struct("score", F.col("node").alias("b"), F.col("places").alias("y"))).alias("c")
-    centres = centres.groupBy("key").agg(best).select("key", "c.b", "c.y")
-    stars = long.join(centres, "key").select(F.col("node").alias("a"), "b", F.col("places").alias("x"), "y")
-    pairs = pairs.unionByName(stars.where("a <> b"))
-    tallied = pairs.mapInArrow(_tallied, "a binary, b binary")
-    tallied = tallied.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    tallied = written(tallied, "pairs")
-    # one for each text, chosen before the sets are shuffled
-    sets = docs.mapInArrow(_sets, "node binary, shingles binary").dropDuplicates(["node"])
-    return _checked(tallied, sets), long.select("key", "node")
-
-
-def similar_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, component_id) of every row: components of texts with the similarity."""
-    docs = id_and_text(docs)
-    signed = written(docs.mapInArrow(_signed, "doc_id long, node binary, places binary"), "signed")
-    names = signed.groupBy("node").agg(F.min("doc_id").alias("id"))
-    entries = signed.select("node", "places").distinct()
-    roots = similar_roots(docs, entries)
-    named = names.join(roots.withColumnRenamed("a", "node"), "node", "left")
-    named = named.withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = named.select("node", "root").join(least, "root").select("node", "component_id")
-    return signed.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")

@@ -6,12 +6,12 @@ punctuation at their ends. The expected severity is the sum of the P(grade >= k)
 toxic if P(grade >= 1) is at least one half.
 
 The model is fitted on a bounded sample: the ``SAMPLE`` first labelled documents by hash of
-doc_id, less those that share a sketch with one before, as copies would make any of their
-words look like a sign of their label. The list has the words whose presence goes with the label by ``LEAST_Z`` standard
-deviations or more, in ``LEAST_DOCS`` documents or more, ``FEATURES`` at most, the strongest
-first. The labels tell toxic from not;
-of the toxic ones, those with ``STRONG`` words of the list or more have grade 2, others 1. All
-documents are then scored in one pass without a shuffle.
+doc_id, less the copies of one before (``ALIKE`` of ``SKETCHES`` min-hash sketches equal), as
+copies would make any of their words look like a sign of their label. The list has the words
+whose presence goes with the label by ``LEAST_Z`` standard deviations or more, in
+``LEAST_DOCS`` documents or more. The labels tell toxic from not; of the toxic ones, those with
+``STRONG`` words of the list or more have grade 2, others 1. All documents are then scored in
+one pass without a shuffle.
 
 Defined results: null and empty texts have no words, so the severity of an unmarked text. If
 the sample has no toxic or no other document there is nothing to learn: severity 0, none toxic.
@@ -32,17 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.llm.common import free_name, id_and_text, table
-from caseweave.llm.similar import shingle_hashes, smallest
+from caseweave.llm.sketches import shingle_hashes, smallest
 from caseweave.llm.words import slices, words_of
 
 SAMPLE = 20_000
-FEATURES = 512
 LEAST_Z = 5.0
 LEAST_DOCS = 4
 STRONG = 4
 RIDGE = 1e-5
 #: Sketches of five-word shingles by which copies in the sample are known.
 SKETCHES = 8
+ALIKE = 6
 _ROUNDS = 600
 
 
@@ -59,6 +59,20 @@ def marked_words(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return pairs // max(len(distinct), 1), distinct[pairs % max(len(distinct), 1)]
 
 
+class Marks:
+    """A matrix of zeros and ones by the places of the ones."""
+
+    def __init__(self, row: np.ndarray, column: np.ndarray, shape: tuple[int, int]):
+        self.row, self.column, self.shape = row, column, shape
+
+    def __matmul__(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights[self.column], minlength=self.shape[0])
+
+    @property
+    def T(self) -> Marks:
+        return Marks(self.column, self.row, self.shape[::-1])
+
+
 @dataclass
 class Model:
     """``features``: sorted word hashes; ``cuts``: the thresholds c_k."""
@@ -78,7 +92,7 @@ class Model:
         return 1 / (1 + np.exp(self.cuts[None, :] - drive[:, None]))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray | Marks, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of greatest penalised likelihood, by Adam on all rows.
 
     The thresholds are c_1 and positive steps from it, which keeps them in order.
@@ -120,14 +134,21 @@ def sketches(texts: pa.StringArray) -> np.ndarray:
 
 
 def first_of_copies(prints: np.ndarray) -> np.ndarray:
-    """Whether none of a row's sketches is that of a row before, place by place."""
-    fresh = np.ones(len(prints), bool)
-    for k in range(prints.shape[1]):
-        first = np.unique(prints[:, k], return_index=True)[1]
-        new = np.zeros(len(prints), bool)
-        new[first] = True
-        fresh &= new
-    return fresh
+    """Whether a row is no copy, with ``ALIKE`` of its sketches or more, of a row kept before it.
+
+    Of four pairs of sketches two at least are equal then, which finds the rows to compare.
+    """
+    kept = np.zeros(len(prints), bool)
+    pairs = [(i, i + 1, j, j + 1) for i in range(0, SKETCHES, 2) for j in range(i + 2, SKETCHES, 2)]
+    known: dict[tuple, list[int]] = {}
+    for i, row in enumerate(prints):
+        keys = [(*places, row[list(places)].tobytes()) for places in pairs]
+        rivals = list({k for key in keys for k in known.get(key, ())})
+        kept[i] = not len(rivals) or (prints[rivals] == row).sum(axis=1).max() < ALIKE
+        if kept[i]:
+            for key in keys:
+                known.setdefault(key, []).append(i)
+    return kept
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,14 +186,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     p = toxic.mean()
     z = (held_toxic - held * p) / np.sqrt(np.maximum(held, 1) * p * (1 - p))
     listed = np.flatnonzero((z >= LEAST_Z) & (held >= LEAST_DOCS))
-    listed = np.sort(listed[np.lexsort((listed, -z[listed]))][:FEATURES])
     if not len(listed):
         return nothing
-    x = np.zeros((len(toxic), len(listed)))
     place = np.minimum(np.searchsorted(listed, word), len(listed) - 1)
     found = listed[place] == word
-    x[doc[found], place[found]] = 1
-    grade = np.where(toxic, np.where(x.sum(axis=1) >= STRONG, 2, 1), 0)
+    x = Marks(doc[found], place[found], (len(toxic), len(listed)))
+    grade = np.where(toxic, np.where(x @ np.ones(len(listed)) >= STRONG, 2, 1), 0)
     weights, cuts = fit_ordinal(x, grade, 3)
     return Model(distinct[listed], np.round(weights, 6), np.round(cuts, 6))
 

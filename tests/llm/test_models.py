@@ -240,3 +240,58 @@ def test_scarce_poor_text_thins_no_good_document(spark, percent):
     assert all(0 <= r.rate <= 1 for r in found)
     words = sum(r.words * r.rate * r.p[names.index("poor")] for r in found)
     assert words == pytest.approx(1.08 * 210 * 30 * 0.08 / 0.92, rel=0.02)
+
+
+def test_listed_words_of_toxicity(spark):
+    """The list against its definition; a third of the documents share a passage and are no copies."""
+    random.seed(29)
+    plain_words = [f"word{i}" for i in range(300)]
+    passage = random.choices(plain_words, k=12)
+    rows, labels = [], []
+    for i in range(360):
+        w = random.choices(plain_words, k=30)
+        if i % 3 == 0:
+            w = passage + w
+        if i % 4 == 0:
+            w += random.choices(["vile", "Foul!", "nasty,"], k=3)
+            w += ["rare"] * (i < 12)
+        random.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels += [(i, int(i % 4 == 0)), (i, 0)]  # labelled twice: one of them counts
+    rows += [(400, rows[0][1]), (401, None), (402, "")]
+    labels += [(400, 1), (401, 0), (402, 1), (None, 1), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    toxic = {}
+    for d, x in labels:
+        if d is not None and x is not None:
+            toxic[d] = max(toxic.get(d, 0), x)
+    seen = [(toxic[d], {x.strip("!,").lower() for x in (t or "").split()}) for d, t in rows if d != 400]
+    p = sum(y for y, _ in seen) / len(seen)
+    listed = set()
+    for word in set().union(*(w for _, w in seen)):
+        held = [y for y, w in seen if word in w]
+        z = (sum(held) - len(held) * p) / math.sqrt(len(held) * p * (1 - p))
+        if z >= toxicity.LEAST_Z and len(held) >= toxicity.LEAST_DOCS:
+            listed.add(xxhash.xxh64_intdigest(word.encode()))
+    assert set(model.features.tolist()) == listed and len(listed) == 3
+    found = {r.doc_id: r.toxic for r in toxicity.severity(docs, model).collect()}
+    assert all(found[i] == (i % 4 == 0) for i in range(360))
+
+
+def test_only_copies_leave_the_sample():
+    random.seed(31)
+    words = [f"w{i}" for i in range(3_000)]
+    shared = random.choices(words, k=100)
+    texts = [" ".join(shared + random.choices(words, k=300)) for _ in range(200)]
+    copies = [" ".join(x.split()[:-1] + ["other"]) for x in texts[:50]]
+    kept = toxicity.first_of_copies(toxicity.sketches(pa.array([*texts, *copies, texts[0]])))
+    assert kept[:200].all() and not kept[250] and kept[200:250].sum() <= 2
+
+
+def test_sparse_marks_are_the_matrix():
+    rng = np.random.default_rng(2)
+    x = (rng.random((40, 7)) < 0.3).astype(float)
+    marks = toxicity.Marks(*np.nonzero(x), x.shape)
+    a, b = rng.random(7), rng.random(40)
+    assert np.allclose(marks @ a, x @ a) and np.allclose(marks.T @ b, x.T @ b)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from caseweave.llm import decontaminate, lines, quality, simhash, similar, substrings, token_counts, token_files, toxicity, units, warc
+from caseweave.llm import decontaminate, lines, quality, simhash, substrings, token_counts, token_files, toxicity, units, warc
 from caseweave.workspace import new_folder
 from tests.llm import plain
 
@@ -142,57 +142,27 @@ def test_fingerprints_and_components(documents, docs):
 def test_one_of_each_component_stays(documents, docs):
     kept = simhash.keep_one(docs, simhash.near_copies(docs))
     assert kept.columns == docs.columns
-    heads = {c for d, _, c in plain.components(documents) if d is not None}
-    unnamed = sum(d is None for d, _ in documents)
-    ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert sorted(x for x in ids if x is not None) == sorted(heads)
-    assert ids.count(None) == unnamed
-
-
-def test_similar_copies(documents, docs):
-    def shingles(text):
-        w = plain.SPACE_WORD.findall(plain.lower(text or ""))
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else {()}
-
-    sets = [shingles(x) for _, x in documents]
-    name = list(range(len(sets)))
-    changed = True
-    while changed:
-        changed = False
-        for i, x in enumerate(sets):
-            for j, y in enumerate(sets[:i]):
-                if name[i] != name[j] and len(x & y) >= 0.8 * len(x | y):
-                    name[i] = name[j] = min(name[i], name[j])
-                    changed = True
+    prints = {(d, x or ""): f for (d, x), (_, f, _) in zip(documents, plain.components(documents))}
+    linked = {f: f for f in prints.values()}
+    for a in linked:
+        for b in linked:
+            if linked[a] != linked[b] and (int(a, 16) ^ int(b, 16)).bit_count() <= 2:
+                old, new = linked[a], linked[b]
+                linked = {f: new if c == old else c for f, c in linked.items()}
     ids = {}
-    for k, (doc, _) in zip(name, documents):
-        if doc is not None:
-            ids[k] = min(ids.get(k, doc), doc)
-    same(similar.similar_copies(docs), [(d, ids.get(k)) for k, (d, _) in zip(name, documents)])
-
-
-def test_similar_copies_within_a_family(spark):
-    """Texts around a passage, in long lists, similar to one of them and to no other."""
-    random.seed(21)
-    draw = lambda n: [f"v{random.randrange(10**6)}" for _ in range(n)]
-    passage = draw(79)
-    texts = []
-    for i in range(200):
-        own = draw(random.randint(15, 25))
-        texts.append(passage + own)
-        texts.append(passage + own[: 9 + i % 8] + draw(len(own) - 9 - i % 8))
-    texts += [passage + draw(6) for _ in range(60)]  # copies of each other, around the centre
-    shingles = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
-    name = list(range(len(texts)))
-    for i, x in enumerate(shingles):
-        for j, y in enumerate(shingles[:i]):
-            if name[i] != name[j] and len(x & y) >= 0.8 * len(x | y):
-                old, new = max(name[i], name[j]), min(name[i], name[j])
-                name = [new if k == old else k for k in name]
-    assert 60 < len(set(name)) < 400
-    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    same(similar.similar_copies(docs), list(enumerate(name)))
+    for (d, _), f in prints.items():
+        ids.setdefault(linked[f], []).append(d)
+    least = [min(x, key=lambda d: (d is None, d or 0)) for x in ids.values()]
+    found = [(r.doc_id, r.text or "") for r in kept.collect()]
+    assert sorted((d is None, d or 0) for d, _ in found) == sorted((d is None, d or 0) for d in least)
+    assert len({linked[prints[r]] for r in found}) == len(found)
+
+
+def test_repeated_doc_ids_lose_no_text(spark):
+    texts = [" ".join(random.choices(VOCABULARY, k=80)) for _ in range(3)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (2, texts[0]), (None, texts[1]), (1, texts[0])]
+    docs = frame(spark, rows)
+    same(simhash.keep_one(docs, simhash.near_copies(docs)).select("doc_id", "text"), [(1, texts[0]), (1, texts[1]), (2, texts[2])])
 
 
 def test_token_files(spark, documents, docs, tokenizer):
