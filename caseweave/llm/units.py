@@ -26,6 +26,8 @@ _CUT = re.compile(r"(?<=\S)(?= \S)")
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 #: Pieces between two spaces that are no unit by themselves.
 _ODD = f"^$|^{_SPACE}|{_SPACE}$"
+_OTHER = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_PLAIN = f"(?s)^ {_OTHER}$|^ {_OTHER}.*{_OTHER}$"
 
 
 def tokenizer_path() -> str:
@@ -38,10 +40,14 @@ def units(text: str) -> list[str]:
     return _CUT.split(text) if text else []
 
 
-def cut(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+def strings(array: pa.StringArray) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def cut(texts: pa.StringArray, lead: str = "") -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct units, their places in the texts one after the other, and units a text.
 
-    All spaces are taken as cuts first. Texts where one of them is none are cut again.
+    ``lead`` is put before every text. All spaces are taken as cuts first. Texts where one of them is none are cut again.
     """
     pieces = pc.split_pattern(texts, " ")
     ends = pieces.offsets.to_numpy().astype(np.int64)
@@ -52,10 +58,10 @@ def cut(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
     ends -= ends[0]
     first, last, n = ends[:-1], ends[1:] - 1, len(texts)
     strange = np.add.reduceat(odd[at], first) > 0 if n else np.zeros(0, bool)
-    names = [" " + x for x in distinct.to_pylist()]
+    names = strings(pc.binary_join_element_wise("", distinct, " "))
     number: dict[str, int] = {}
-    heads = distinct.take(pa.array(at[first])).to_pylist() if n else []
-    head = np.fromiter((number.setdefault(x, len(number)) for x in heads), np.int64, n)
+    heads = strings(distinct.take(pa.array(at[first]))) if n else []
+    head = np.fromiter((number.setdefault(lead + x, len(number)) for x in heads), np.int64, n)
     at[first] = len(names) + head
     names += number
     counts = np.diff(ends)
@@ -65,7 +71,7 @@ def cut(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
         done = 0
         for i in bounds.tolist():
             parts.append(at[done : first[i]])
-            own = units(texts[i].as_py())
+            own = units(lead + texts[i].as_py())
             parts.append(
                 np.fromiter((len(names) + number.setdefault(x, len(number)) for x in own), np.int64, len(own))
             )
@@ -77,15 +83,19 @@ def cut(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
     return names, at, counts
 
 
-def is_plain(unit: str) -> bool:
-    """Whether units can be put before and after it without another cut."""
-    return len(unit) > 1 and unit[0] == " " and not unit[1].isspace() and not unit[-1].isspace()
+def are_plain(some: list[str]) -> np.ndarray:
+    """Whether units can be put before and after them without another cut."""
+    return pc.match_substring_regex(pa.array(some, pa.string()), _PLAIN).to_numpy(zero_copy_only=False)
 
 
 class Encoder:
-    """Ids of units by the library, remembered for ``most`` distinct units at a time."""
+    """Ids of units by the library, remembered for ``most`` distinct units at a time.
+
+    They are held in two halves: when the newer one is full it becomes the older one, which is
+    forgotten next time, but for the units that were seen again meanwhile.
+    """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -98,14 +108,15 @@ class Encoder:
             self.length[i] = len(added[i].content.encode()) if i in added else len(token)
         self.most = most
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, wanted: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units one after the other, and how many each has."""
-        plain = np.fromiter(map(is_plain, wanted), bool, len(wanted))
+        plain = are_plain(wanted)
         some = [x for x, y in zip(wanted, plain.tolist()) if y]
         texts = ["".join(some[i : i + 128]) for i in range(0, len(some), 128)]
-        ids = self._ids(texts)
-        stops = np.cumsum(np.fromiter((len(x.encode()) for x in some), np.int64, len(some)))
+        ids = np.fromiter(chain.from_iterable(self._ids(texts)), np.uint32)
+        stops = np.cumsum(np.fromiter(map(len, map(str.encode, some)), np.int64, len(some)))
         ends = np.cumsum(self.length[ids])
         last = np.searchsorted(ends, stops)
         if len(stops) and not np.array_equal(ends[last], stops):
@@ -113,37 +124,41 @@ class Encoder:
         counts = np.zeros(len(wanted), np.int64)
         counts[plain] = np.diff(last + 1, prepend=0)
         if not plain.all():
-            alone = [self._ids([wanted[i]]) for i in np.flatnonzero(~plain).tolist()]
+            alone = self._ids([wanted[i] for i in np.flatnonzero(~plain).tolist()])
             counts[~plain] = [len(x) for x in alone]
             flat = np.empty(counts.sum(), np.uint32)
             of_plain = np.repeat(plain, counts)
-            flat[of_plain], flat[~of_plain] = ids, np.concatenate(alone)
+            flat[of_plain], flat[~of_plain] = ids, [*chain.from_iterable(alone)]
             ids = flat
         return ids, counts
 
-    def _ids(self, texts: list[str]) -> np.ndarray:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return np.fromiter(chain.from_iterable(x.ids for x in done), np.uint32)
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        steps = (texts[i : i + 256] for i in range(0, len(texts), 256))  # the library keeps much of a token
+        return [x.ids for some in steps for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
 
     def ids(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As ``encode``, of distinct units; those not known yet are learnt."""
         found = list(map(self.known.get, names))
-        new = [x for x, y in zip(names, found) if y is None]
+        missed = [k for k, x in enumerate(found) if x is None]
+        again = [self.older.get(names[k]) for k in missed]
+        new = [names[k] for k, x in zip(missed, again) if x is None]
         if new:
             ids, counts = self.encode(new)
             flat, stops = ids.tobytes(), (np.cumsum(counts) * 4).tolist()
-            values = [flat[a:b] for a, b in zip([0, *stops], stops)]
-            if len(self.known) + len(new) > self.most:
-                self.known.clear()
-            self.known.update(zip(new, values))
-            values = iter(values)
-            found = [next(values) if x is None else x for x in found]
+            values = iter([flat[a:b] for a, b in zip([0, *stops], stops)])
+            again = [next(values) if x is None else x for x in again]
+        if len(self.known) + len(missed) > self.most // 2:
+            self.known, self.older = {}, self.known
+        for k, x in zip(missed, again):
+            found[k] = x
+            self.known[names[k]] = x
         counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return np.frombuffer(b"".join(found), np.uint32), counts
 
-    def texts(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of whole texts one after the other, and how many each has."""
-        names, at, units_of = cut(texts)
+    def texts(self, texts: pa.StringArray, lead: str = "") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts one after the other, and how many each has; ``lead`` (a space or
+        nothing) is put before each."""
+        names, at, units_of = cut(texts, lead)
         flat, counts = self.ids(names)
         start = np.cumsum(counts) - counts
         n = counts[at]
