@@ -94,8 +94,7 @@ def evaluate_cases(cases: DataFrame, results: DataFrame, hits: DataFrame) -> Dat
 METRICS = ["retrieval_score", "rag_score", "baseline_score", "score_delta"]
 
 
-@F.udf(T.DoubleType())
-def exact_mean(parts) -> float | None:
+def _exact_mean(parts):
     """Mean of scores, rounded once: (keywords, score, times) for each distinct score.
 
     A score is a whole number of hits over the number of keywords, which is what is added up;
@@ -109,6 +108,9 @@ def exact_mean(parts) -> float | None:
     return round(float(total / count), 3) if count else None
 
 
+exact_mean = F.udf(_exact_mean, T.DoubleType())
+
+
 def eval_summary(case_results: DataFrame) -> DataFrame:
     """One row of counts and averages; averages of no cases are null.
 

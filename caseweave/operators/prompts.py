@@ -20,10 +20,37 @@ BASELINE_INSTRUCTION = (
     "Do not mention sources, retrieved examples, or any knowledge base."
 )
 
-# Used where the caller gives no template or placeholder of their own.
+# Used where the caller gives no template or placeholder of their own. The numbered headings are
+# those that ``sections`` splits answers at.
+_LAYOUT = """Write short plain markdown under numbered headings, in this order and no others:
+{headings}"""
+
+
+def _template(task: str, *headings: str) -> str:
+    numbered = "\n".join(f"{i}. {heading}" for i, heading in enumerate(headings, 1))
+    return f"{task}\n{_LAYOUT.format(headings=numbered)}"
+
+
 FALLBACK_TEMPLATES = {
-    "rag": "Explain the error, its likely cause and how to fix it, based on the evidence given.",
-    "baseline": "Explain the error, its likely cause and how to fix it.",
+    "rag": _template(
+        "Explain the error and how to fix it, on the grounds of the solved cases that are given. "
+        "Say which of them supports a step, and say so where they don't fit.",
+        "What happened",
+        "Why it happened",
+        "How to fix it",
+        "What to check",
+        "Which case is alike",
+        "Where this comes from",
+        "How sure this is",
+    ),
+    "baseline": _template(
+        "Explain the error and how to fix it, from the report alone. Name what is missing instead of guessing.",
+        "What happened",
+        "Why it happened",
+        "How to fix it",
+        "What to check",
+        "How sure this is",
+    ),
 }
 NO_RESPONSE = "No response is available for this report."
 
