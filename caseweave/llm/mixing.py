@@ -184,14 +184,14 @@ def rates(
     return members.withColumn("rate", rate_after(steps, most)), names
 
 
-def even(doc_id: Column) -> Column:
-    """A number in [0, 1) that only depends on the document."""
-    return F.xxhash64(doc_id, F.lit("mixing")).bitwiseAND((1 << 52) - 1) / F.lit(float(1 << 52))
+def even(doc_id: Column, text_hash: Column) -> Column:
+    """A number in [0, 1) that only depends on the document: its id or, without one, its text."""
+    return F.xxhash64(F.coalesce(doc_id, text_hash), F.lit("mixing")).bitwiseAND((1 << 52) - 1) / F.lit(float(1 << 52))
 
 
-def copies(rate: Column, doc_id: Column) -> Column:
+def copies(rate: Column, doc_id: Column, text_hash: Column) -> Column:
     """How often a document is taken: ``rate`` on average."""
-    return F.floor(rate + even(doc_id)).cast("long")
+    return F.floor(rate + even(doc_id, text_hash)).cast("long")
 
 
 def thinned(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], headroom: float, whole: str | None = None) -> DataFrame:
@@ -201,7 +201,7 @@ def thinned(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], hea
     the words of that domain alone set the budget, however scarce the others are.
     """
     found, _ = rates(docs, labelled, targets, headroom=headroom, most=1.0, whole=whole)
-    return without_rows(docs, found.where(even(F.col("doc_id")) >= F.col("rate")))
+    return without_rows(docs, found.where(even(F.col("doc_id"), F.col("text_hash")) >= F.col("rate")))
 
 
 #: Weights of the registered query: languages of good documents, and all poor ones.
@@ -225,5 +225,5 @@ def op4_mixing(spark, folder: str) -> DataFrame:
         F.col("words").alias("n_words"),
         *[F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(names)],
         "rate",
-        copies(F.col("rate"), F.col("doc_id")).alias("copies"),
+        copies(F.col("rate"), F.col("doc_id"), F.col("text_hash")).alias("copies"),
     )
