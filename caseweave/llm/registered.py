@@ -26,6 +26,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.OP1_SQL,
+        "op5_substrings": substrings.OP5_SQL,
         "op6_lines": lines.OP6_SQL,
         "op10_warc": warc.OP10_SQL,
         "op11_divergence": divergence.OP11_SQL,

@@ -7,9 +7,9 @@ the passages of the reference that it can match, and builds their automata in sh
 
 1. Every block of documents sends the hashes of its windows of ``WINDOW`` words, each once, to
    bins by hash.
-2. A bin finds hashes that several blocks have, or one block more than once. The first block
-   that has one is asked to send the window to all others, the second to send it to the first,
-   and a block that has it more than once to keep it for itself.
+2. A bin finds hashes that several blocks have, or one block more than once. One of these blocks,
+   drawn by hash of block and window, is asked to send the window to all others, another to send
+   it to that one, and a block that has it more than once to keep it for itself.
 3. Blocks send runs of such windows as passages. A window shared by any number of documents
    reaches a block once.
 4. Blocks build the automata of the passages they got and stream their documents against them;
@@ -120,7 +120,9 @@ def _asked(group: pa.Table) -> pa.Table:
     twice = np.concatenate(
         [np.unpackbits(np.frombuffer(x["twice"], np.uint8), count=len(y)) for x, y in zip(rows, parts)]
     ).astype(bool)
-    order = np.argsort(low, kind="stable")
+    # the holder that sends a window is drawn by hash, so that no block sends them all
+    drawn = (block.astype(np.uint64) * _ODD ^ low) * np.uint64(0xD6E8FEB86659FD93)
+    order = np.lexsort((drawn, low))
     low, block, twice = low[order], block[order], twice[order]
     first = np.concatenate([[True], low[1:] != low[:-1]])
     head = np.flatnonzero(first)
@@ -266,3 +268,30 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def op5_substrings(spark, folder: str) -> DataFrame:
     kept = without_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP5_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), windows AS (
+    SELECT row, pos, array_to_string(w[pos:pos + 34], ' ') AS words
+    FROM (SELECT row, w, unnest(range(1, greatest(len(w) - 33, 1))) AS pos FROM docs)
+), repeated AS (
+    SELECT row, pos FROM (SELECT row, pos, count(*) OVER (PARTITION BY words) AS times FROM windows)
+    WHERE times > 1
+), marked AS (
+    SELECT w.row, w.pos, w.word, max(r.pos) OVER (
+        PARTITION BY w.row ORDER BY w.pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW
+    ) IS NOT NULL AS gone
+    FROM (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM docs) w
+    LEFT JOIN repeated r ON r.row = w.row AND r.pos = w.pos
+), left_over AS (
+    SELECT row, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept
+    FROM marked GROUP BY row
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN left_over USING (row)
+"""
