@@ -7,8 +7,8 @@ token of a group is linked to every B token of it.
 Documents are tokenised whole. A shared end after which both sides go on with a token that
 begins with a space is an anchor; the anchors cut a document into windows of token ids. Windows
 repeat (most are a word), so each is a row of ids (how many are of A, these, those of B) that is
-numbered within a block of documents, and its groups and links are worked out once for each
-distinct row of ids; a task remembers them from block to block.
+numbered within a block of documents, and the groups, links and digest text are worked out once
+for each distinct row of ids and remembered for all places of the block that have it.
 
 A block is written as one row: its documents, their windows by number, and the links of the
 distinct windows. Distinct pairs of ids with the documents of the block that hold them are then
@@ -25,7 +25,6 @@ are documents of their own. Strings of special tokens are plain text.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -44,9 +43,9 @@ from caseweave.workspace import written
 
 PIECES = "piece_bpe_32k.model"
 #: Bytes of text of a block.
-BLOCK = 4 << 20
-#: Windows that a task remembers.
-REMEMBERED = 150_000
+BLOCK = 2 << 20
+#: Groups with more links than this are linked by their distinct ids.
+WIDE = 4096
 
 _BLOCKS = (
     "block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
@@ -87,77 +86,50 @@ class Tokenizers:
         for token, i in self.a.tokenizer.get_vocab(with_added_tokens=False).items():
             self.a_bytes[i] = bytes(byte[c] for c in token)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.a_table, self.b_table = (pa.array(x, pa.large_binary()) for x in (self.a_bytes, self.b_bytes))
         self.a_lengths, self.b_lengths = (
             np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes)
         )
         self.a_spaces, self.b_spaces = (
             np.fromiter((y[:1] == b" " for y in x), bool, len(x)) for x in (self.a_bytes, self.b_bytes)
         )
-        self.aligned: dict[bytes, tuple] = {}
+        self.shown = pa.array(
+            [f"{i}{end}" for tokens, ends in ((self.a_bytes, ",|"), (self.b_bytes, (",", ";", ""))) for end in ends for i in range(len(tokens))],
+            pa.large_string(),
+        )
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of B, a few texts at a time, as the library gives lists."""
+        parts, counts = [], []
+        for at in range(0, len(texts), 64):
+            some = self.b.encode(texts[at : at + 64], num_threads=1)
+            counts += map(len, some)
+            parts.append(np.fromiter(chain.from_iterable(some), np.int64))
+        return np.concatenate([*parts, np.zeros(0, np.int64)]), np.array(counts, np.int64)
+
     def encoded(self, texts: pa.StringArray) -> tuple[np.ndarray, ...]:
         """Ids of A and how many each text has, the same of B; none for a text not spelt by both."""
-        spaced = pc.binary_join_element_wise("", texts, " ")
-        a, n_a = self.a.texts(spaced)
-        b = self.b.encode(texts.to_pylist(), num_threads=1)
-        n_b = np.fromiter(map(len, b), np.int64, len(b))
-        b = np.fromiter(chain.from_iterable(b), np.int64, int(n_b.sum()))
+        a, n_a = self.a.texts(texts, lead=" ")
+        b, n_b = self._pieces(texts.to_pylist())
         a, n_a = a.astype(np.int64), n_a.astype(np.int64)
-        good = np.ones(len(texts), bool)
-        a_all, b_all = a.tolist(), b.tolist()
-        a_at, b_at = np.cumsum(n_a).tolist(), np.cumsum(n_b).tolist()
-        i = j = 0
-        for k, text in enumerate(spaced.cast(pa.binary()).to_pylist()):
-            spelt = (
-                b"".join(map(self.a_bytes.__getitem__, a_all[i : a_at[k]])),
-                b"".join(map(self.b_bytes.__getitem__, b_all[j : b_at[k]])),
-            )
-            good[k] = len(text) > 1 and spelt == (text, text)
-            i, j = a_at[k], b_at[k]
+        text = pc.binary_join_element_wise("", texts, " ").cast(pa.large_binary())
+        good = pc.binary_length(text).to_numpy() > 1
+        good &= _spelt(text, self.a_table, a, n_a) & _spelt(text, self.b_table, b, n_b)
         a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
         return a, np.where(good, n_a, 0), b, np.where(good, n_b, 0)
 
-    def align(self, window: bytes) -> tuple:
-        """(groups, links, their text, pairs of ids, times of each pair) of a window."""
-        ids = np.frombuffer(window, np.int32).tolist()
-        a, b = ids[1 : 1 + ids[0]], ids[1 + ids[0] :]
-        a_lengths, b_lengths = self.a_lengths, self.b_lengths
-        i = j = x = y = first_a = first_b = links = 0
-        shown, pairs = [], Counter()
-        while i < len(a) or j < len(b):
-            if x <= y:
-                x += int(a_lengths[a[i]])
-                i += 1
-            while y < x:
-                y += int(b_lengths[b[j]])
-                j += 1
-            while x < y:
-                x += int(a_lengths[a[i]])
-                i += 1
-            if x == y:
-                some_a, some_b = a[first_a:i], b[first_b:j]
-                shown.append(f"{','.join(map(str, some_a))}|{','.join(map(str, some_b))}")
-                links += len(some_a) * len(some_b)
-                times_b = Counter(some_b).items()
-                for p, m in Counter(some_a).items():
-                    for q, n in times_b:
-                        pairs[p << 32 | q] += m * n
-                first_a, first_b = i, j
-        return len(shown), links, ";".join(shown), list(pairs), list(pairs.values())
-
-    def windows(self, distinct: list[bytes]) -> list[tuple]:
-        found = [self.aligned.get(x) for x in distinct]
-        new = [k for k, x in enumerate(found) if x is None]
-        for k in new:
-            found[k] = self.align(distinct[k])
-        if len(self.aligned) + len(new) > REMEMBERED:
-            self.aligned.clear()
-        self.aligned.update((distinct[k], found[k]) for k in new[:REMEMBERED])
-        return found
+
+def _spelt(texts: pa.LargeBinaryArray, table: pa.LargeBinaryArray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Whether the bytes of a text's tokens are the text."""
+    joined = table.take(pa.array(ids))
+    edges, data = joined.buffers()[1:]
+    edges = np.frombuffer(edges, np.int64)[np.concatenate([[0], np.cumsum(counts)])] if len(joined) else np.zeros(len(counts) + 1, np.int64)
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(edges), data or pa.py_buffer(b"")])
+    return pc.equal(found, texts).to_numpy(zero_copy_only=False)
 
 
 @cache
@@ -181,8 +153,8 @@ def cut_windows(tools: Tokenizers, a, n_a, b, n_b) -> tuple[pa.LargeBinaryArray,
     begins = ends - (1 + of_a + of_b)
     flat = np.empty(ends[-1] if len(ends) else 0, np.int32)
     flat[begins] = of_a
-    flat[np.repeat(begins + 1 - (np.cumsum(of_a) - of_a), of_a) + np.arange(len(a))] = a
-    flat[np.repeat(begins + 1 + of_a - (np.cumsum(of_b) - of_b), of_b) + np.arange(len(b))] = b
+    flat[_ranges(begins + 1, of_a)] = a
+    flat[_ranges(begins + 1 + of_a, of_b)] = b
     edges = np.concatenate([[0], ends]) * 4
     buffers = [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(flat)]
     windows = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), buffers)
@@ -190,18 +162,90 @@ def cut_windows(tools: Tokenizers, a, n_a, b, n_b) -> tuple[pa.LargeBinaryArray,
     return windows, count
 
 
+class Windows:
+    """Groups and links of windows, worked out together."""
+
+    def __init__(self, tools: Tokenizers, windows: pa.LargeBinaryArray):
+        n = len(windows)
+        edges, data = windows.buffers()[1:]
+        edges = np.frombuffer(edges, np.int64)[windows.offset : windows.offset + n + 1] // 4 if n else np.zeros(1, np.int64)
+        flat = np.frombuffer(data, np.int32).astype(np.int64) if n else np.zeros(0, np.int64)
+        of_a = flat[edges[:-1]]
+        of_b = np.diff(edges) - 1 - of_a
+        a = flat[_ranges(edges[:-1] + 1, of_a)]
+        b = flat[_ranges(edges[:-1] + 1 + of_a, of_b)]
+        # windows one after the other are texts again: ends of groups are shared ends
+        a_ends, b_ends = np.cumsum(tools.a_lengths[a]), np.cumsum(tools.b_lengths[b])
+        shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        i, j = np.searchsorted(a_ends, shared), np.searchsorted(b_ends, shared)
+        n_a, n_b = np.diff(i, prepend=-1), np.diff(j, prepend=-1)
+        window = np.repeat(np.arange(n), of_a)[i]
+        self.groups = np.bincount(window, minlength=n)
+        self.links = np.zeros(n, np.int64)
+        np.add.at(self.links, window, n_a * n_b)
+        self.shown = self._shown(tools, a, b, n_a, n_b, window, n)
+        self._pair(a, b, i - n_a + 1, j - n_b + 1, n_a, n_b, window, n)
+
+    @staticmethod
+    def _shown(tools: Tokenizers, a, b, n_a, n_b, window, n: int) -> list[str]:
+        """The ids of each window's groups as text."""
+        first = np.cumsum(n_a + n_b) - n_a - n_b
+        size_a, size_b = len(tools.a_bytes), len(tools.b_bytes)
+        out = np.empty(len(a) + len(b), np.int64)
+        out[_ranges(first, n_a)] = a
+        out[_ranges(first + n_a, n_b)] = b + 2 * size_a
+        out[first + n_a - 1] += size_a  # the last of A in a group
+        ends = first + n_a + n_b - 1
+        last = np.append(window[1:] != window[:-1], True) if len(window) else np.zeros(0, bool)
+        out[ends] += np.where(last, 2 * size_b, size_b)
+        tokens = np.zeros(n, np.int64)
+        np.add.at(tokens, window, n_a + n_b)
+        text = tools.shown.take(pa.array(out))
+        edges, data = text.buffers()[1:]
+        edges = np.frombuffer(edges, np.int64)[np.concatenate([[0], np.cumsum(tokens)])] if n else np.zeros(1, np.int64)
+        return pa.LargeStringArray.from_buffers(n, pa.py_buffer(edges), data).to_pylist()
+
+    def _pair(self, a, b, first_a, first_b, n_a, n_b, window, n: int) -> None:
+        """Distinct pairs of ids of each window, and how often they are linked there."""
+        narrow = n_a * n_b <= WIDE
+        g = np.flatnonzero(narrow)
+        at_a = _ranges(first_a[g], n_a[g])
+        times_b = np.repeat(n_b[g], n_a[g])
+        left = np.repeat(a[at_a], times_b)
+        right = b[_ranges(np.repeat(first_b[g], n_a[g]), times_b)]
+        of = np.repeat(np.repeat(window[g], n_a[g]), times_b)
+        keys, weights = [left << 32 | right], [np.ones(len(left), np.int64)]
+        windows = [of]
+        for k in np.flatnonzero(~narrow).tolist():
+            x, often_x = np.unique(a[first_a[k] : first_a[k] + n_a[k]], return_counts=True)
+            y, often_y = np.unique(b[first_b[k] : first_b[k] + n_b[k]], return_counts=True)
+            keys.append((x[:, None] << 32 | y).ravel())
+            weights.append((often_x[:, None] * often_y).ravel())
+            windows.append(np.full(len(keys[-1]), window[k]))
+        self.keys, code = np.unique(np.concatenate(keys), return_inverse=True)
+        size = max(len(self.keys), 1)
+        found, place = np.unique(np.concatenate(windows) * size + code, return_inverse=True)
+        self.times = np.zeros(len(found), np.int64)
+        np.add.at(self.times, place, np.concatenate(weights))
+        self.pair = found % size
+        self.pairs = np.bincount(found // size, minlength=n)
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts`` whole numbers from each of ``starts``."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values)])
     return np.diff(total[np.concatenate([[0], np.cumsum(counts)])])
 
 
-def _spread(codes: np.ndarray, links: np.ndarray) -> np.ndarray:
-    """Places of the pairs of the windows ``codes``, one window after the other."""
-    n = links[codes]
-    first = np.cumsum(links) - links
-    return np.repeat(first[codes] - np.cumsum(n) + n, n) + np.arange(n.sum())
-
-
 def _packed(values: np.ndarray, kind: str) -> bytes:
     return _ZSTD.compress(values.astype(kind).tobytes(), asbytes=True)
 
@@ -216,39 +260,37 @@ def _block(tools: Tokenizers, number: int, ids: pa.Array, texts: pa.StringArray)
     windows, count = cut_windows(tools, a, n_a, b, n_b)
     coded = windows.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    found = tools.windows(coded.dictionary.to_pylist())
-    groups, of_window, shown, pairs, times = zip(*found) if found else ((),) * 5
-    shown = [*map(shown.__getitem__, codes.tolist())]
+    found = Windows(tools, coded.dictionary)
+    shown = [*map(found.shown.__getitem__, codes.tolist())]
     stops = np.cumsum(count).tolist()
     digests = [
         hashlib.sha256(";".join(shown[i:j]).encode()).hexdigest() if j > i else ""
         for i, j in zip([0, *stops], stops)
     ]
-    links = np.fromiter(map(len, pairs), np.int64, len(pairs))
-    keys, pair = np.unique(
-        np.fromiter(chain.from_iterable(pairs), np.int64, int(links.sum())), return_inverse=True
-    )
     # documents that hold a pair: by distinct windows of a document first
     doc = np.repeat(np.arange(len(count)), count)
-    held = np.unique(doc * max(len(found), 1) + codes)
-    doc, code = held // max(len(found), 1), held % max(len(found), 1)
-    held = np.unique(np.repeat(doc, links[code]) * max(len(keys), 1) + pair[_spread(code, links)])
-    docs = np.bincount(held % max(len(keys), 1), minlength=len(keys))
-    whole = lambda x: _sums(np.array(x, np.int64)[codes], count).tolist()
+    size = max(len(found.links), 1)
+    held = _distinct(doc * size + codes)
+    doc, code = held // size, held % size
+    n = found.pairs[code]
+    at = _ranges((np.cumsum(found.pairs) - found.pairs)[code], n)
+    size = max(len(found.keys), 1)
+    held = _distinct(np.repeat(doc, n) * size + found.pair[at])
+    docs = np.bincount(held % size, minlength=len(found.keys))
     return {
         "block": number,
         "doc_ids": ids.to_pylist(),
         "n_a": n_a.tolist(),
         "n_b": n_b.tolist(),
-        "n_groups": whole(groups),
-        "n_links": whole(of_window),
+        "n_groups": _sums(found.groups[codes], count).tolist(),
+        "n_links": _sums(found.links[codes], count).tolist(),
         "digests": digests,
         "doc_windows": _packed(count, "<u4"),
         "codes": _packed(codes, "<u4"),
-        "links": links.astype("<u4").tobytes(),
-        "pairs": _packed(pair, "<u4"),
-        "times": _packed(np.fromiter(chain.from_iterable(times), np.int64, len(pair)), "<u8"),
-        "keys": keys,
+        "links": found.pairs.astype("<u4").tobytes(),
+        "pairs": _packed(found.pair, "<u4"),
+        "times": _packed(found.times, "<u8"),
+        "keys": found.keys,
         "docs": docs,
     }
 
@@ -270,7 +312,7 @@ def _blocks(a_path: str, b_path: str):
             for part in slices(batch, 1, BLOCK):
                 yield pa.RecordBatch.from_pylist([_block(tools, number, *part.columns)], schema=_KINDS)
                 number += 1
-        release()
+                release()
 
     return run
 
