@@ -292,6 +292,17 @@ def statements() -> dict[str, str]:
     kb_columns = f"""kb_id, error, platform, context, {joined('tags', "'|'")} as tags, explanation,
       root_cause, {joined('fix_steps', "'|'")} as fix_steps,
       {joined('common_mistakes', "'|'")} as common_mistakes, solution, source_type, source_url"""
+    summary = with_(
+        f"{RETRIEVED}, {LABELS}, {HITS}, {ANSWERS}, {EXAMPLES}, {CASE_RESULTS}",
+        f"""select count(*) as num_cases, {three('avg(retrieval_score)')} as average_retrieval_score,
+        {three('avg(rag_score)')} as average_rag_score,
+        {three('avg(baseline_score)')} as average_baseline_score,
+        {three('avg(score_delta)')} as average_score_delta,
+        count(*) filter (score_delta > 0) as rag_better_cases,
+        count(*) filter (score_delta = 0) as tied_cases,
+        count(*) filter (score_delta < 0) as baseline_better_cases
+        from case_results""",
+    )
     return {
         "kb_scan": with_(KB, f"select {kb_columns} from kb"),
         "cases_scan": with_(
@@ -427,15 +438,6 @@ def statements() -> dict[str, str]:
             f"{RETRIEVED}, {LABELS}, {HITS}, {ANSWERS}, {EXAMPLES}, {CASE_RESULTS}",
             "select * from case_results",
         ),
-        "eval_summary": with_(
-            f"{RETRIEVED}, {LABELS}, {HITS}, {ANSWERS}, {EXAMPLES}, {CASE_RESULTS}",
-            f"""select count(*) as num_cases, {three('avg(retrieval_score)')} as average_retrieval_score,
-            {three('avg(rag_score)')} as average_rag_score,
-            {three('avg(baseline_score)')} as average_baseline_score,
-            {three('avg(score_delta)')} as average_score_delta,
-            count(*) filter (score_delta > 0) as rag_better_cases,
-            count(*) filter (score_delta = 0) as tied_cases,
-            count(*) filter (score_delta < 0) as baseline_better_cases
-            from case_results""",
-        ),
+        "eval_summary": summary,
+        "eval_read_back": summary,
     }

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -59,6 +60,27 @@ def test_tfidf_equals_direct_scoring(spark, seed, k):
     assert found == wanted
 
 
+def test_scores_by_hand(spark):
+    """Three cases "disk", "disk disk" and "net", asked for "disk": four documents with the report.
+
+    Of the labels, error is in all four (weight 1) and the ten others in the three cases, as is
+    disk with the report: ln(5/4) + 1. Message and net are in one: ln(5/2) + 1.
+    """
+    few, one = math.log(5 / 4) + 1, math.log(5 / 2) + 1
+    asked = 1 + few**2 + one**2
+    by_hand = [
+        (1 + few**2) / math.sqrt(asked * (1 + 11 * few**2)),
+        (1 + 2 * few**2) / math.sqrt(asked * (1 + 14 * few**2)),
+        1 / math.sqrt(asked * (1 + 10 * few**2 + one**2)),
+    ]
+    assert [round(x, 4) for x in by_hand] == [0.2405, 0.3431, 0.0909]
+    kb = frame(spark, [case(0, "disk"), case(1, "disk disk"), case(2, "net")], KB_SCHEMA)
+    reports = frame(spark, [report(7, "disk")], REPORT_SCHEMA)
+    found = by_report(tfidf_topk(reports, kb))
+    assert found == {7: [(i, round(by_hand[i], 7)) for i in (1, 0, 2)]}
+    assert by_report(overlap_topk(reports, kb)) == {7: [(0, 0.3333333), (1, 0.3333333), (2, 0.0)]}
+
+
 @pytest.mark.parametrize("seed, k", [(4, 3), (5, 60)])
 def test_overlap_equals_direct_scoring(spark, seed, k):
     kb, reports = corpus(seed)
