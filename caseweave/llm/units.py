@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 import re
 from functools import cache
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -88,14 +88,19 @@ def are_plain(some: list[str]) -> np.ndarray:
     return pc.match_substring_regex(pa.array(some, pa.string()), _PLAIN).to_numpy(zero_copy_only=False)
 
 
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts`` whole numbers from each of ``starts``."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
 class Encoder:
     """Ids of units by the library, remembered for ``most`` distinct units at a time.
 
-    They are held in two halves: when the newer one is full it becomes the older one, which is
-    forgotten next time, but for the units that were seen again meanwhile.
+    A unit is known by its place among ``counts``, and its ids lie in ``flat`` one unit after the
+    other. When there are too many, those that were not seen again since last time are forgotten.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -107,13 +112,13 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.length[i] = len(added[i].content.encode()) if i in added else len(token)
         self.most = most
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}
+        self.flat, self.counts, self.seen = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, bool)
 
     def encode(self, wanted: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units one after the other, and how many each has."""
         plain = are_plain(wanted)
-        some = [x for x, y in zip(wanted, plain.tolist()) if y]
+        some = list(compress(wanted, plain.tolist()))
         texts = ["".join(some[i : i + 128]) for i in range(0, len(some), 128)]
         ids = np.fromiter(chain.from_iterable(self._ids(texts)), np.uint32)
         stops = np.cumsum(np.fromiter(map(len, map(str.encode, some)), np.int64, len(some)))
@@ -138,22 +143,32 @@ class Encoder:
 
     def ids(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As ``encode``, of distinct units; those not known yet are learnt."""
-        found = list(map(self.known.get, names))
-        missed = [k for k, x in enumerate(found) if x is None]
-        again = [self.older.get(names[k]) for k in missed]
-        new = [names[k] for k, x in zip(missed, again) if x is None]
-        if new:
-            ids, counts = self.encode(new)
-            flat, stops = ids.tobytes(), (np.cumsum(counts) * 4).tolist()
-            values = iter([flat[a:b] for a, b in zip([0, *stops], stops)])
-            again = [next(values) if x is None else x for x in again]
-        if len(self.known) + len(missed) > self.most // 2:
-            self.known, self.older = {}, self.known
-        for k, x in zip(missed, again):
-            found[k] = x
-            self.known[names[k]] = x
-        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        return np.frombuffer(b"".join(found), np.uint32), counts
+        place = np.array(list(map(self.known.get, names, repeat(-1))), np.int64)
+        new = place < 0
+        self.seen[place[~new]] = True
+        if new.any():
+            fresh = list(compress(names, new.tolist()))
+            n = len(self.counts)
+            place[new] = np.arange(n, n + len(fresh))
+            ids, counts = self.encode(fresh)
+            self.known.update(zip(fresh, range(n, n + len(fresh))))
+            self.flat, self.counts = np.concatenate([self.flat, ids]), np.concatenate([self.counts, counts])
+            self.seen = np.concatenate([self.seen, np.zeros(len(fresh), bool)])
+        counts = self.counts[place]
+        found = self.flat[_ranges((np.cumsum(self.counts) - self.counts)[place], counts)]
+        if len(self.counts) > self.most:
+            self._forget(place)
+        return found, counts
+
+    def _forget(self, last: np.ndarray) -> None:
+        """Keep the units seen again, or just learnt; the newest half if those are too many."""
+        self.seen[last] = True
+        kept = np.flatnonzero(self.seen)[-self.most // 2 :]
+        keep = np.zeros(len(self.seen), bool)
+        keep[kept] = True
+        self.known = dict(zip(compress(self.known, keep.tolist()), range(len(kept))))
+        self.flat, self.counts = self.flat[np.repeat(keep, self.counts)], self.counts[keep]
+        self.seen = np.zeros(len(kept), bool)
 
     def texts(self, texts: pa.StringArray, lead: str = "") -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts one after the other, and how many each has; ``lead`` (a space or
@@ -163,8 +178,7 @@ class Encoder:
         start = np.cumsum(counts) - counts
         n = counts[at]
         total = np.cumsum(n)
-        source = np.repeat((start[at] - (total - n)).astype(np.int64), n)
-        source += np.arange(len(source))
+        source = _ranges(start[at], n)
         edges = np.concatenate([[0], np.cumsum(units_of)])
         summed = np.concatenate([[0], total])[edges]
         return flat[source], np.diff(summed)
