@@ -80,3 +80,19 @@ def test_ids_are_those_of_whole_texts():
     ends = np.cumsum(counts)
     for text, n, end in zip(texts, counts, ends):
         assert ids[end - n : end].tolist() == tool.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("lead", ["", " "])
+def test_ids_after_units_were_forgotten(lead):
+    random.seed(7)
+    tool = Encoder(tokenizer_path(), most=3000)
+    names = ["".join(random.choices("abcdefghij", k=random.randint(1, 9))) for _ in range(6000)]
+    for _ in range(6):
+        # heads of texts and texts cut again name units that are pieces as well
+        texts = [" ".join(random.choices(names, k=random.randint(1, 30))) + random.choice(["", "  x", " \n x"]) for _ in range(100)]
+        texts += [text.replace(" ", "  ", 1) for text in texts]
+        ids, counts = tool.texts(pa.array(texts), lead)
+        assert len(tool.known) == len(tool.counts)
+        ends = np.cumsum(counts)
+        for text, n, end in zip(texts, counts, ends):
+            assert ids[end - n : end].tolist() == tool.tokenizer.encode(lead + text, add_special_tokens=False).ids
