@@ -11,11 +11,12 @@ numbered within a block of documents, and the groups, links and digest text are
 for each distinct row of ids and remembered for all places of the block that have it.
 
 A block is written as one row: its documents, their windows by number, and the links of the
-distinct windows. Distinct pairs of ids with the documents of the block that hold them are then
-added up to the corpus-wide counts, and the counts come back to the blocks by the same pairs.
-A pair is one row of a block however often its documents repeat it, so a frequent pair has no
-more rows than there are blocks. The highest count of each A id, one row for an id of the
-vocabulary at most, is broadcast.
+distinct windows. Distinct pairs of ids with the documents of the block that hold them are dealt
+by A id, packed, a row for each block and bucket. A bucket adds them up to the corpus-wide
+counts, sees the highest count of each of its A ids, and sends each block the counts of the
+pairs it sent. A pair is one entry of a block however often its documents repeat it. Rows are as
+many as blocks times buckets at most, and buckets as many as the shuffle partitions, which the
+session sizes with its data.
 
 Defined results: texts that are null, empty, or not spelt by their tokens (U+2581, which B takes
 for a space) have no tokens, zeros and the digest ''. Rows that repeat a doc_id, or have none,
@@ -295,6 +296,7 @@ def _block(tools: Tokenizers, number: int, ids: pa.Array, texts: pa.StringArray)
     }
 
 
+_DEALT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("docs", pa.binary())])
 _KINDS = pa.schema(
     [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64()))]
     + [(x, pa.list_(pa.int64())) for x in ("n_a", "n_b", "n_groups", "n_links")]
@@ -321,8 +323,10 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
             row = {x: batch.column(x)[k] for x in batch.schema.names}
-            known = row["known"].values.flatten() if row["known"].is_valid else None
-            keys, counts, best = (x.to_numpy(zero_copy_only=False) for x in known) if known else np.zeros((3, 0), np.int64)
+            known = row["known"].values.flatten() if row["known"].is_valid else [pa.array([], pa.binary())] * 3
+            keys, counts, best = (
+                np.frombuffer(b"".join(x.to_pylist()), kind) for x, kind in zip(known, (np.int64, np.int64, bool))
+            )
             order = np.argsort(keys)
             counts, best = counts[order], best[order].astype(np.int64)
             links = np.frombuffer(row["links"].as_py(), "<u4").astype(np.int64)
@@ -344,23 +348,55 @@ def aligned(docs: DataFrame, a_path: str | None = None, b_path: str | None = Non
     return written(id_and_text(docs).mapInArrow(run, _BLOCKS), "alignments")
 
 
+def _dealt(buckets: int):
+    """The pairs of a block, packed by bucket of their A id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, keys, docs in zip(*batch.columns):
+                keys, docs = (x.values.to_numpy().astype(np.int64) for x in (keys, docs))
+                bucket = (keys >> 32) % buckets
+                order = np.argsort(bucket, kind="stable")
+                edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+                rows = [
+                    {"bucket": bucket[some[0]], "block": block.as_py(), "keys": keys[some].tobytes(), "docs": docs[some].astype("<u4").tobytes()}
+                    for some in (order[i:j] for i, j in zip(edges[:-1], edges[1:]))
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=_DEALT)
+
+    return run
+
+
+def _counted(bucket: pa.Table) -> pa.Table:
+    """For each block, the corpus-wide counts of the pairs it sent, and whether no other pair of
+    the same A id is in more documents."""
+    sent = [np.frombuffer(x, np.int64) for x in bucket["keys"].to_pylist()]
+    docs = np.concatenate([np.frombuffer(x, "<u4") for x in bucket["docs"].to_pylist()])
+    keys, place = np.unique(np.concatenate(sent), return_inverse=True)
+    counts = np.zeros(len(keys), np.int64)
+    np.add.at(counts, place, docs)
+    a, of = np.unique(keys >> 32, return_inverse=True)
+    highest = np.zeros(len(a), np.int64)
+    np.maximum.at(highest, of, counts)
+    best = counts == highest[of]
+    parts = np.split(place, np.cumsum([len(x) for x in sent])[:-1])
+    found = [pa.array([y[x].tobytes() for x in parts], pa.binary()) for y in (counts, best)]
+    return pa.table([bucket["block"], bucket["keys"], *found], names=["block", "keys", "counts", "best"])
+
+
 def pair_counts(blocks: DataFrame) -> DataFrame:
-    """(key, count, best): how many documents hold a pair linked, and whether no other pair of its
-    A id is in more; key is the A id, shifted by 32 bits, and the B id."""
-    held = blocks.select(F.explode(F.arrays_zip("keys", "docs")).alias("p")).select("p.keys", "p.docs")
-    counts = written(held.groupBy(F.col("keys").alias("key")).agg(F.sum("docs").alias("count")), "pairs")
-    a = F.shiftright("key", 32).alias("a")
-    highest = counts.groupBy(a).agg(F.max("count").alias("highest"))  # a row for an id of A's vocabulary
-    best = (F.col("count") == F.col("highest")).alias("best")
-    return counts.withColumn("a", a).join(F.broadcast(highest), "a").select("key", "count", best)
+    """(block, keys, counts, best), packed: how many documents of the corpus hold each pair of a
+    block linked, and whether no other pair of its A id is in more; a key is the A id, shifted by
+    32 bits, and the B id."""
+    buckets = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.select("block", "keys", "docs").mapInArrow(_dealt(buckets), "bucket long, block long, keys binary, docs binary")
+    return dealt.groupBy("bucket").applyInArrow(_counted, "block long, keys binary, counts binary, best binary")
 
 
 def alignments(docs: DataFrame) -> DataFrame:
     """The counts and the digest of every row."""
     blocks = aligned(docs)
-    keys = blocks.select("block", F.explode("keys").alias("key"))
-    known = keys.join(pair_counts(blocks), "key").groupBy("block")
-    known = known.agg(F.collect_list(F.struct("key", "count", "best")).alias("known"))
+    known = pair_counts(blocks).groupBy("block").agg(F.collect_list(F.struct("keys", "counts", "best")).alias("known"))
     rows = blocks.drop("keys", "docs").join(known, "block", "left")
     return rows.mapInArrow(_totals, _RESULT)
 

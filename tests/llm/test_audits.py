@@ -278,3 +278,25 @@ def test_frequent_pairs_over_many_blocks(spark, both_tokenizers):
     path = new_folder(spark, "docs")
     docs.write.parquet(path)
     same(alignment.alignments(spark.read.parquet(path)), plain_alignments(rows, both_tokenizers))
+
+
+def test_pairs_travel_packed(spark, both_tokenizers):
+    """Rows between blocks and buckets don't grow with the distinct pairs of a block."""
+    random.seed(9)
+    names = ["".join(random.choices("abcdefghij", k=random.randint(2, 9))) for _ in range(4000)]
+    rows = [(i, " ".join(random.choices(names, k=50))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    blocks = alignment.aligned(docs)
+    counts = alignment.pair_counts(blocks).collect()
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(counts) <= blocks.count() * buckets
+    held = Counter()
+    for row in blocks.select("keys", "docs").collect():
+        held.update(dict(zip(row["keys"], row["docs"])))
+    highest = Counter()
+    for key, n in held.items():
+        highest[key >> 32] = max(highest[key >> 32], n)
+    for row in counts:
+        keys, found = np.frombuffer(row["keys"], np.int64).tolist(), np.frombuffer(row["counts"], np.int64).tolist()
+        assert found == [held[k] for k in keys]
+        assert [*map(bool, row["best"])] == [held[k] == highest[k >> 32] for k in keys]
