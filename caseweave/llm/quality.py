@@ -6,11 +6,11 @@ target over documents labelled good. A document's score is the sum of
 log p_target - log p_raw over its n-grams, divided by their number. Every document whose score
 is not below one threshold is kept; nothing is drawn at random.
 
-The trusted documents are a bounded sample: of those labelled quality 1 the ``TRUSTED`` first
-by hash of doc_id. Half of them are counted; the threshold is the ``QUANTILE`` of the scores of
-the other half (documents that pass the base rules), so it is measured on documents that the
-target has not seen. Counts of the buckets are added up within a task before they are shuffled,
-and only the ``BUCKETS`` sums and the scores of the held-out half reach the driver.
+The trusted documents are all those labelled quality 1. Half of them, by hash of doc_id, are
+counted; the threshold is the ``QUANTILE`` of the scores of all the others (documents that pass
+the base rules), so it is measured on documents that the target has not seen. Counts of the
+buckets are added up within a task before they are shuffled, and only the ``BUCKETS`` sums and
+``STEP`` counts at a time of the held-out scores reach the driver.
 
 Defined results: null and empty texts have no words, fail the base rules and have score 0.
 Without trusted documents in either half nothing tells good from bad, and only the base rules
@@ -31,11 +31,14 @@ from pyspark.sql import functions as F
 
 from caseweave.llm.common import id_and_text, table
 from caseweave.llm.words import Words, per_text, slices, words_of
+from caseweave.workspace import written
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
-TRUSTED = 20_000
 QUANTILE = 0.005
+PLACES = 9
+#: Ranges of scores that are counted at a time to find a quantile.
+STEP = 1 << 12
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # percent
 WINDOW = 5
@@ -116,7 +119,7 @@ class Model:
         found, text = ngrams(words)
         n = len(words.counts)
         total = np.bincount(text, self.weights[found], minlength=n)
-        return np.round(total / np.maximum(np.bincount(text, minlength=n), 1), 9)
+        return np.round(total / np.maximum(np.bincount(text, minlength=n), 1), PLACES)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,10 +127,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, 1):
             found, text = ngrams(words_of(batch.column(1)))
-            raw += np.bincount(found, minlength=BUCKETS)
-            trusted = batch.column(2).to_numpy(zero_copy_only=False)
-            target += np.bincount(found[trusted[text]], minlength=BUCKETS)
-    some = np.flatnonzero(raw)
+            trusted = batch.column(2).to_numpy(zero_copy_only=False)[text]  # counted again, for the target
+            raw += np.bincount(found[~trusted], minlength=BUCKETS)
+            target += np.bincount(found[trusted], minlength=BUCKETS)
+    some = np.flatnonzero(raw + target)
     yield pa.record_batch([some, raw[some], target[some]], names=["bucket", "raw", "target"])
 
 
@@ -142,14 +145,42 @@ def _held_out(weights: np.ndarray):
     return run
 
 
+def ranked_score(scores: DataFrame, rank: int) -> float:
+    """The score of a rank, from 0 for the smallest; ``STEP`` counts reach the driver at a time."""
+    units = scores.select(F.round(F.col("score") * 10**PLACES).cast("long").alias("unit"))
+    low, high = units.agg(F.min("unit"), F.max("unit")).first()
+    while low < high:
+        width = -(-(high - low + 1) // STEP)
+        part = F.floor((F.col("unit") - low) / width).cast("long").alias("part")
+        counts = units.where(F.col("unit").between(low, high)).groupBy(part).count().collect()
+        for part, count in sorted(map(tuple, counts)):
+            if rank < count:
+                break
+            rank -= count
+        low, high = low + part * width, min(high, low + (part + 1) * width - 1)
+    return low / 10**PLACES
+
+
+def quantile(scores: DataFrame, share: float) -> float | None:
+    """Between the two nearest of all scores, by their distances; None without scores."""
+    count = scores.count()
+    if not count:
+        return None
+    place = share * (count - 1)
+    rank = int(place)
+    low = ranked_score(scores, rank)
+    high = ranked_score(scores, rank + 1) if rank + 1 < count else low
+    return float(np.quantile([low, high], place - rank))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     docs = id_and_text(docs)
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct()
-    mixed = F.xxhash64("doc_id")
-    good = good.orderBy(mixed, "doc_id").limit(TRUSTED)
-    good = good.select("doc_id", (F.shiftrightunsigned(mixed, 17) % 2 == 0).alias("counted"))
-    marked = docs.join(F.broadcast(good), "doc_id", "left")
-    counts = marked.select("doc_id", "text", F.coalesce("counted", F.lit(False)))
+    # the half is known before the join, so a text is shuffled once at most
+    good = written(good, "trusted")
+    counted = F.shiftrightunsigned(F.xxhash64("doc_id"), 17) % 2 == 0
+    target = docs.where(counted).join(good, "doc_id").select("doc_id", "text", F.lit(True).alias("trusted"))
+    counts = docs.withColumn("trusted", F.lit(False)).unionByName(target)
     counts = counts.mapInArrow(_count, "bucket long, raw long, target long")
     counts = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
@@ -157,11 +188,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
     share = lambda x: np.log((x + SMOOTHING) / (x.sum() + SMOOTHING * BUCKETS))
     weights = share(target) - share(raw)
-    scores = docs.join(F.broadcast(good.where("NOT counted")), "doc_id")
+    scores = docs.where(~counted).join(good, "doc_id")
     scores = scores.select("doc_id", "text").mapInArrow(_held_out(weights), "score double")
-    scores = [row["score"] for row in scores.collect()]  # TRUSTED rows at most
-    known = target.sum() > 0 and scores
-    return Model(weights, round(float(np.quantile(scores, QUANTILE)), 9) if known else -np.inf)
+    threshold = quantile(written(scores, "scores"), QUANTILE) if target.sum() > 0 else None
+    return Model(weights, -np.inf if threshold is None else round(threshold, PLACES))
 
 
 def _judged(model: Model):

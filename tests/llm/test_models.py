@@ -62,6 +62,33 @@ def test_log_likelihood_ratio(spark):
     assert not any(judged[i, 30].kept for i in range(40, 60))
 
 
+def test_quality_counts_all_trusted_documents(spark):
+    frame = spark.range(50_000).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(1, 12), k -> concat('w', pmod(xxhash64(id, k), 500)))) AS text"
+    )
+    labels = frame.selectExpr("doc_id", "1 AS quality")
+    model = quality.fit(frame, labels)
+    rows = frame.selectExpr("text", "shiftrightunsigned(xxhash64(doc_id), 17) % 2 = 0").collect()
+    texts, counted = (list(x) for x in zip(*rows))
+    raw = np.bincount(quality.ngrams(words_of(pa.array(texts)))[0], minlength=quality.BUCKETS)
+    some = [t for t, c in zip(texts, counted) if c]
+    target = np.bincount(quality.ngrams(words_of(pa.array(some)))[0], minlength=quality.BUCKETS)
+    share = lambda x: np.log((x + quality.SMOOTHING) / (x.sum() + quality.SMOOTHING * quality.BUCKETS))
+    assert np.allclose(model.weights, share(target) - share(raw))
+    words = words_of(pa.array([t for t, c in zip(texts, counted) if not c]))
+    assert model.threshold == pytest.approx(float(np.quantile(model.scores(words), quality.QUANTILE)), abs=1e-9)
+
+
+@pytest.mark.parametrize("scores", [[0.5], [0.25, 0.25], [-3.0, 7.5, -3.0, 0.0, 1e-9, 2e-9], "many"])
+def test_quantile_of_scores(spark, scores):
+    if scores == "many":
+        scores = np.round(np.random.default_rng(1).normal(size=3000) * 5, 9).tolist()
+    frame = spark.createDataFrame([(x,) for x in scores], "score double")
+    for share in (0.0, 0.005, 0.5, 1.0):
+        assert quality.quantile(frame, share) == pytest.approx(float(np.quantile(scores, share)), abs=1e-12)
+    assert quality.quantile(frame.limit(0), 0.5) is None
+
+
 def test_quality_without_trusted_documents(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "a")], "doc_id long, text string")
     model = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
