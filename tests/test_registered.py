@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as registered
+from checks import adapters
 from checks.compare import compare
 
 FOLDER = "/root/testdata/sf0.001"
@@ -24,3 +25,13 @@ def test_every_query_has_sql():
 def test_query_equals_sql(spark, name):
     same, detail = compare(spark, FOLDER, name)
     assert same, detail
+
+
+@needs_data
+def test_vector_queries_ask_with_every_twentieth_row(spark):
+    folder = "/root/testdata/sf0.001"
+    ids = [r.vec_id for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id").collect()]
+    asked = sorted(x for x in ids if x % 20 == 0)
+    for asks in (adapters.vector_reports, adapters.report_vectors):
+        assert sorted(r.report_id for r in asks(spark, folder).collect()) == asked
+    assert sorted(r.kb_id for r in adapters.kb_vectors(spark, folder).collect()) == sorted(ids)
