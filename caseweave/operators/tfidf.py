@@ -1,12 +1,13 @@
 """Exact TF-IDF cosine top-k over shards of the cases.
 
 The model that would be fitted per report follows from the statistics of its candidate group,
-so document frequencies and the norms of cases are computed once per group. Queries then visit
-shards of the postings of the terms that reports use (``shards``), which return their k best
-cases only.
+so document frequencies and the norms of cases are computed once per group. The cases of a group
+are dealt to shards, and a shard is one row from then on: its distinct terms and, as numbers, the
+entries of its cases. A weight travels once for each term of a shard, and an entry is never a row
+of a table. Queries visit the shards (``shards``), which return their k best cases only.
 
-Within a shard the postings of a term are a list sorted by impact, the case's share of a score,
-in blocks of ``BLOCK``; the first of a block bounds all of it. For every query
+Within a shard the postings of a term that a query has are a list sorted by impact, the case's
+share of a score, in blocks of ``BLOCK``; the first of a block bounds all of it. For every query
 
 1. the first blocks of its terms give cases whose scores set a floor, the k-th best of them;
 2. each term is allowed the same part of a score, as much as all terms together can have while
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from caseweave.functions.text import bag_entries, english_stop_words
+from caseweave.operators import shards
 from caseweave.operators.ranking import (
     SCORE_PLACES,
     best,
@@ -37,7 +39,7 @@ from caseweave.operators.ranking import (
     ranked_reports,
     with_copies,
 )
-from caseweave.operators.shards import visit_shards
+from caseweave.operators.shards import GROUP, visit_packed
 from caseweave.operators.terms import (
     Asked,
     asked_groups,
@@ -54,6 +56,8 @@ from caseweave.workspace import written
 
 BLOCK = 128
 TIE_MARGIN = 1e-8
+#: Entries of a shard for one posting of ``POSTINGS_PER_SHARD``: reports use some terms only.
+ENTRIES = 4
 
 FACET_TEXTS = ["facet_platform", "facet_context", "facet_tags"]
 
@@ -77,12 +81,14 @@ class GroupStatistics(NamedTuple):
     """What the cases of a candidate group have in common with no report in sight.
 
     ``sizes``: (candidate_group, candidates); ``frequencies``: (candidate_group, term, df);
-    ``norms``: (candidate_group, class_id, norm2), over all terms of a case.
+    ``norms``: (candidate_group, class_id, norm2), over all terms of a case; ``shards``: one row
+    for each shard of a group's cases, as ``_PACKED`` has it, with the ``norms`` of ``classes``.
     """
 
     sizes: DataFrame
     frequencies: DataFrame
     norms: DataFrame
+    shards: DataFrame
 
 
 def later_copies(profiles: DataFrame) -> DataFrame:
@@ -156,6 +162,90 @@ def updated_index(
     )
 
 
+_PACKED = (
+    "candidate_group string, shard int, classes array<long>, terms string, counts binary, cases binary, tfs binary"
+)
+_NAMES = ["candidate_group", "shard", "classes", "terms", "counts", "cases", "tfs"]
+
+
+def _narrow(numbers: np.ndarray) -> bytes:
+    most = int(numbers.max()) if len(numbers) else 0
+    return numbers.astype(np.min_scalar_type(most)).tobytes()
+
+
+def _wide(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // max(count, 1) or 1}").astype(np.int64)
+
+
+def _one(lists: pa.Table, name: str):
+    return lists[name].combine_chunks()[0]
+
+
+def _packed(cases: pa.Table) -> pa.Table:
+    """The one row of a shard: entries by term and then by the place of the case in ``classes``.
+
+    Rows that repeat a class_id are one case with the entries of all.
+    """
+    cases = cases.sort_by("class_id").combine_chunks()
+    classes, of = np.unique(cases["class_id"].to_numpy(), return_inverse=True)
+    words = pc.split_pattern(_flat(cases["terms"]), " ")
+    coded = words.flatten().dictionary_encode()
+    names = pc.sort_indices(coded.dictionary)
+    place = np.argsort(names.to_numpy())
+    term = place[coded.indices.to_numpy(zero_copy_only=False)]
+    case = np.repeat(of, np.diff(words.offsets.to_numpy()))
+    tf = _flat(cases["tfs"]).flatten().to_numpy()
+    order = np.argsort(term, kind="stable")
+    row = [
+        _one(cases, "candidate_group").as_py(),
+        _one(cases, "shard").as_py(),
+        classes.tolist(),
+        " ".join(coded.dictionary.take(names).to_pylist()),
+        _narrow(np.bincount(term, minlength=len(names))),
+        _narrow(case[order]),
+        _narrow(tf[order]),
+    ]
+    kinds = [pa.string(), pa.int32(), pa.list_(pa.int64()), pa.string(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table([pa.array([x], t) for x, t in zip(row, kinds)], names=_NAMES)
+
+
+def _flat(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
+
+
+def _entries(lists: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a packed shard the terms, how many entries each has, and the entries' cases and tf."""
+    names = pa.array(_one(lists, "terms").as_py().split(" "), pa.string())
+    counts = _wide(_one(lists, "counts").as_py(), len(names))
+    total = int(counts.sum())
+    return names, counts, *(_wide(_one(lists, x).as_py(), total) for x in ("cases", "tfs"))
+
+
+def _weighted(lists: pa.Table, weights: pa.Table) -> pa.Table:
+    """A packed shard with the norms of its cases."""
+    names, counts, case, tf = _entries(lists)
+    idf0 = np.zeros(len(names))
+    idf0[pc.index_in(weights["term"], value_set=names).to_numpy()] = weights["idf0"].to_numpy()
+    norm2 = np.bincount(case, (tf * np.repeat(idf0, counts)) ** 2, len(_one(lists, "classes")))
+    return lists.append_column("norms", pa.array([norm2], pa.list_(pa.float64())))
+
+
+def packed_shards(index: CaseIndex, members: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """The cases of every group, dealt to shards of equal size; a shard is one row."""
+    most = ENTRIES * shards.POSTINGS_PER_SHARD
+    parts = F.ceil(F.sum("df") / most).cast("int").alias("shards")
+    shape = written(members.join(frequencies.groupBy(GROUP).agg(parts), GROUP), "shards")
+    cases = distinct_cases(index).filter(F.col("class_id").isNotNull() & (F.size("bag") > 0))
+    texts = cases.select(
+        "class_id", "facet_id", F.array_join("bag.term", " ").alias("terms"), F.col("bag.tf").alias("tfs")
+    )
+    dealt = texts.join(shape, "facet_id").withColumn(
+        "shard", F.pmod(F.xxhash64("class_id"), F.col("shards")).cast("int")
+    )
+    dealt = dealt.select(GROUP, "shard", "class_id", "terms", "tfs")
+    return dealt.groupBy(GROUP, "shard").applyInArrow(_packed, _PACKED)
+
+
 def group_statistics(
     index: CaseIndex, members: DataFrame, known: GroupStatistics | None = None
 ) -> GroupStatistics:
@@ -168,18 +258,27 @@ def group_statistics(
         members = written(members.join(known.sizes, "candidate_group", "left_anti"), "new_members")
     sizes = written(group_sizes(index.sizes, members), "sizes")
     frequencies = written(group_document_frequencies(index.frequencies, members), "frequencies")
-    weights = frequencies.join(sizes, "candidate_group").select(
-        "candidate_group", "term", idf(F.col("candidates"), F.col("df")).alias("idf0")
+    packed = written(packed_shards(index, members, frequencies), "packed")
+    # a weight for each distinct term of a shard
+    weights = (
+        packed.select(GROUP, "shard", F.explode(F.split("terms", " ")).alias("term"))
+        .join(frequencies, [GROUP, "term"])
+        .join(sizes, GROUP)
+        .select(
+            F.col(GROUP).alias(GROUP),
+            F.col("shard").alias("shard"),
+            "term",
+            idf(F.col("candidates"), F.col("df")).alias("idf0"),
+        )
     )
-    # weights have one row for a key, so their hash tables are of even size
-    norms = (
-        bag_entries(distinct_cases(index), "facet_id", "class_id")
-        .join(members, "facet_id")
-        .join(weights.hint("shuffle_hash"), ["term", "candidate_group"])
-        .groupBy("candidate_group", "class_id")
-        .agg(F.sum(F.pow(F.col("tf") * F.col("idf0"), 2)).alias("norm2"))
+    keys = [GROUP, "shard"]
+    lists = packed.groupBy(*keys).cogroup(weights.groupBy(*keys))
+    lists = written(lists.applyInArrow(_weighted, f"{_PACKED}, norms array<double>"), "lists")
+    pairs = F.explode(F.arrays_zip("classes", "norms")).alias("case")
+    norms = lists.select(GROUP, pairs).select(
+        GROUP, F.col("case.classes").alias("class_id"), F.col("case.norms").alias("norm2")
     )
-    fresh = GroupStatistics(sizes, frequencies, written(norms, "norms"))
+    fresh = GroupStatistics(sizes, frequencies, norms, lists)
     if not known:
         return fresh
     return GroupStatistics(*[a.unionByName(b) for a, b in zip(known, fresh)])
@@ -201,7 +300,10 @@ def query_entries(weighted: DataFrame) -> DataFrame:
 
 
 def case_postings(index: CaseIndex, asked: DataFrame, members: DataFrame, norms: DataFrame) -> DataFrame:
-    """(candidate_group, class_id, term, tf, idf0, norm2) of the terms that a query of the group has."""
+    """(candidate_group, class_id, term, tf, idf0, norm2) of the terms that a query of the group has.
+
+    A row for each entry, to look at and to compare with: searches use the packed shards.
+    """
     used = asked.select("candidate_group", "term", "idf0").distinct()
     entries = bag_entries(distinct_cases(index), "facet_id", "class_id")
     return (
@@ -214,23 +316,26 @@ def case_postings(index: CaseIndex, asked: DataFrame, members: DataFrame, norms:
 
 
 class _Postings:
-    """The postings of a shard: by impact in blocks, and by case."""
-
-    def __init__(self, table: pa.Table):
-        coded = pc.dictionary_encode(table["term"].combine_chunks())
-        self.terms = {term: i for i, term in enumerate(coded.dictionary.to_pylist())}
-        term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.classes, first, case = np.unique(
-            table["class_id"].to_numpy(), return_index=True, return_inverse=True
-        )
-        self.norm2 = table["norm2"].to_numpy()[first]
-        tf = table["tf"].to_numpy().astype(np.float64)
-        impact = tf * table["idf0"].to_numpy() / np.sqrt(self.norm2[case])
-        self.edges = np.searchsorted(np.sort(term), np.arange(len(self.terms) + 1))
-        order = np.lexsort((case, -impact, term))
-        self.impact, self.heavy = impact[order], case[order]
-        order = np.lexsort((case, term))
-        self.case, self.tf = case[order], tf[order]
+    """The postings of a shard for some terms with their idf: by impact in blocks, and by case."""
+
+    def __init__(self, lists: pa.Table, used: dict[str, float]):
+        names, counts, case, tf = _entries(lists)
+        at = pc.index_in(pa.array(list(used), pa.string()), value_set=names)
+        there = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+        at = at.drop_null().to_numpy()
+        known = list(used)
+        self.terms = {known[j]: i for i, j in enumerate(there.tolist())}
+        self.classes = _one(lists, "classes").values.to_numpy()
+        self.norm2 = _one(lists, "norms").values.to_numpy()
+        n = counts[at]
+        self.edges = np.concatenate([[0], np.cumsum(n)])
+        place = np.repeat((np.cumsum(counts) - counts)[at] - self.edges[:-1], n) + np.arange(n.sum())
+        # entries of a term are in the order of the cases
+        self.case, self.tf = case[place], tf[place].astype(np.float64)
+        term, idf0 = np.repeat(np.arange(len(n)), n), np.array(list(used.values()), float)[there]
+        impact = self.tf * idf0[term] / np.sqrt(self.norm2[self.case])
+        order = np.lexsort((self.case, -impact, term))
+        self.impact, self.heavy = impact[order], self.case[order]
 
     def best(self, names: list, tf, idf0, idf1, norm2: float, top_k: int) -> tuple[np.ndarray, np.ndarray]:
         """(place in ``classes``, score) of the k best cases of a query."""
@@ -283,8 +388,9 @@ def _shard(top_k: int):
     def run(queries: pa.Table, postings: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if queries.num_rows and postings.num_rows:
-            lists = _Postings(postings)
-            for row in queries.to_pylist():
+            rows = queries.to_pylist()
+            lists = _Postings(postings, {x["term"]: x["idf0"] for row in rows for x in row["terms"]})
+            for row in rows:
                 terms = row["terms"]
                 names, numbers = [x["term"] for x in terms], ([x[y] for x in terms] for y in ("tf", "idf0", "idf1"))
                 cases, found = lists.best(names, *numbers, row["norm2"], top_k)
@@ -296,13 +402,13 @@ def _shard(top_k: int):
     return run
 
 
-def score_shards(asked: DataFrame, postings: DataFrame, top_k: int) -> DataFrame:
+def score_shards(asked: DataFrame, lists: DataFrame, top_k: int) -> DataFrame:
     """(query_key, class_id, score): the k best cases of every query in every shard."""
     queries = asked.groupBy("query_key", "candidate_group").agg(
         F.first("norm2").alias("norm2"), F.collect_list(F.struct("term", "tf", "idf0", "idf1")).alias("terms")
     )
     result = "query_key binary, class_id long, score double"
-    return visit_shards(queries, postings, "class_id", _shard(top_k), result)
+    return visit_packed(queries, lists, _shard(top_k), result)
 
 
 def tfidf_topk(
@@ -326,7 +432,6 @@ def tfidf_topk(
     statistics = group_statistics(index, members, known)
     terms = query_terms(distinct_queries(keyed), statistics.frequencies, statistics.sizes, stop_words)
     terms = written(query_entries(terms), "asked")
-    postings = case_postings(index, terms, members, statistics.norms)
-    winners = best(score_shards(terms, postings, top_k), "query_key", "class_id", top_k).drop("rank")
+    winners = best(score_shards(terms, statistics.shards, top_k), "query_key", "class_id", top_k).drop("rank")
     scored = with_copies(written(winners, "winners"), distinct_cases(index), index.profiles, top_k)
     return ranked_reports(keyed, scored, first_candidates(index.profiles, members, top_k), top_k)

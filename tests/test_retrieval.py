@@ -401,3 +401,26 @@ def test_equal_sets_of_facets_are_one_group(spark):
     statistics = tfidf.group_statistics(index, members)
     assert {r.candidate_group: r.candidates for r in statistics.sizes.collect()} == {group[0]: 6, "": 12, group[3]: 6}
     assert by_report(tfidf_topk(None, None, index=index, asked=(keyed, members))) == expected(reports, kb, tfidf_scores, 3)
+
+
+def test_a_shard_of_cases_is_one_row(spark, monkeypatch):
+    """Norms by the plain join; an entry with a large count, and rows that repeat a kb_id."""
+    monkeypatch.setattr(shards, "POSTINGS_PER_SHARD", 60)
+    kb, reports = corpus(18, 70)
+    kb += [case(500, "alpha " * 300), case(501, "gamma"), case(501, "gamma")]
+    index = tfidf.case_index(frame(spark, kb, KB_SCHEMA))
+    members = asked_groups(frame(spark, reports, REPORT_SCHEMA), index.facets).members
+    statistics = tfidf.group_statistics(index, members)
+    rows = statistics.shards.collect()
+    assert len({(r.candidate_group, r.shard) for r in rows}) == len(rows) > members.select("candidate_group").distinct().count()
+    weights = statistics.frequencies.join(statistics.sizes, "candidate_group")
+    plain = (
+        tfidf.bag_entries(tfidf.distinct_cases(index), "facet_id", "class_id")
+        .join(members, "facet_id")
+        .join(weights, ["term", "candidate_group"])
+        .withColumn("weight", F.col("tf") * tfidf.idf(F.col("candidates"), F.col("df")))
+        .groupBy("candidate_group", "class_id")
+        .agg(F.sum(F.col("weight") ** 2).alias("norm2"))
+    )
+    rounded = ["candidate_group", "class_id", F.round("norm2", 6).alias("norm2")]
+    assert rows_of(statistics.norms.select(*rounded)) == rows_of(plain.select(*rounded))
