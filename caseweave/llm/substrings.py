@@ -7,9 +7,11 @@ the passages of the reference that it can match, and builds their automata in sh
 
 1. Every block of documents sends the hashes of its windows of ``WINDOW`` words, each once, to
    bins by hash.
-2. A bin finds hashes that several blocks have, or one block more than once. One of these blocks,
-   drawn by hash of block and window, is asked to send the window to all others, another to send
-   it to that one, and a block that has it more than once to keep it for itself.
+2. A bin finds hashes that several blocks have, or one block more than once. One of these blocks
+   is asked to send the window to all others, another to send it to that one, and a block that has
+   it more than once to keep it for itself. Blocks are drawn by hash of the block and the smallest
+   hash of the next ``REACH`` windows, which neighbours mostly share: no block sends all windows,
+   and windows that follow each other have the same sender.
 3. Blocks send runs of such windows as passages. A window shared by any number of documents
    reaches a block once.
 4. Blocks build the automata of the passages they got and stream their documents against them;
@@ -43,6 +45,7 @@ from caseweave.llm.words import Words, per_text, words_of
 WINDOW = 35
 SHARD = 100_000
 BITS = 48
+REACH = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -66,6 +69,15 @@ def window_hashes(words: Words, size: int = WINDOW) -> tuple[np.ndarray, np.ndar
     return starts, code[starts]
 
 
+def _places(code: np.ndarray) -> np.ndarray:
+    """A byte for each window from the smallest hash of the ``REACH`` windows that it begins."""
+    least, length = code.copy(), 1
+    while length < min(REACH, len(code)):
+        least[:-length] = np.minimum(least[:-length], least[length:])
+        length *= 2
+    return (least * _ODD >> np.uint64(56)).astype(np.uint8)
+
+
 def _bins(code: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     return code % np.uint64(bins), code >> np.uint64(64 - BITS)
 
@@ -97,17 +109,19 @@ def _texts(group: pa.Table) -> pa.StringArray:
 
 def _sent(bins: int):
     def run(docs: pa.Table) -> pa.Table:
-        code, times = np.unique(window_hashes(words_of(_texts(docs)))[1], return_counts=True)
+        code = window_hashes(words_of(_texts(docs)))[1]
+        near = _places(code)
+        code, first, times = np.unique(code, return_index=True, return_counts=True)
         place, low = _bins(code, bins)
         order = np.lexsort((low, place))
-        place, low, times = place[order], low[order], times[order]
+        place, low, times, near = place[order], low[order], times[order], near[first][order]
         block = docs["block"][0].as_py()
         rows = [
-            [int(place[a]), block, _packed(low[a:b]), np.packbits(times[a:b] > 1).tobytes()]
+            [int(place[a]), block, _packed(low[a:b]), np.packbits(times[a:b] > 1).tobytes(), near[a:b].tobytes()]
             for a, b in _cuts(place)
         ]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        return _tabled(rows, ["bin", "block", "hashes", "twice"], kinds)
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        return _tabled(rows, ["bin", "block", "hashes", "twice", "near"], kinds)
 
     return run
 
@@ -120,12 +134,18 @@ def _asked(group: pa.Table) -> pa.Table:
     twice = np.concatenate(
         [np.unpackbits(np.frombuffer(x["twice"], np.uint8), count=len(y)) for x, y in zip(rows, parts)]
     ).astype(bool)
-    # the holder that sends a window is drawn by hash, so that no block sends them all
-    drawn = (block.astype(np.uint64) * _ODD ^ low) * np.uint64(0xD6E8FEB86659FD93)
-    order = np.lexsort((drawn, low))
-    low, block, twice = low[order], block[order], twice[order]
+    near = np.concatenate([np.frombuffer(x["near"], np.uint8) for x in rows])
+    order = np.argsort(low, kind="stable")
+    low, block, twice, near = low[order], block[order], twice[order], near[order]
     first = np.concatenate([[True], low[1:] != low[:-1]])
     head = np.flatnonzero(first)
+    # the holder that sends a window is drawn by hash, so that no block sends them all; holders
+    # differ in what is near a window at the end of what they share, so one of these is taken
+    near = np.minimum.reduceat(near, head)[np.cumsum(first) - 1].astype(np.uint64)
+    drawn = (block.astype(np.uint64) * _ODD ^ near * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93)
+    drawn = (drawn ^ drawn >> np.uint64(32)) * _ODD
+    order = np.lexsort((drawn, low))
+    block, twice = block[order], twice[order]
     of = np.cumsum(first) - 1
     size = np.diff(np.concatenate([head, [len(low)]]))
     others = np.flatnonzero(~first & (block != block[head][of]))
@@ -257,7 +277,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     block = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(parts))
     docs = id_and_text(docs).withColumn("block", block.cast("long")).groupBy("block")
-    hashes = docs.applyInArrow(_sent(parts), "bin long, block long, hashes binary, twice binary")
+    hashes = docs.applyInArrow(_sent(parts), "bin long, block long, hashes binary, twice binary, near binary")
     asked = hashes.groupBy("bin").applyInArrow(_asked, "block long, bin long, hashes binary, targets binary")
     passages = docs.cogroup(asked.groupBy("block")).applyInArrow(_passages(parts), "block long, passage string")
     return docs.cogroup(passages.groupBy("block")).applyInArrow(

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from caseweave.llm import simple8b, substrings
@@ -96,3 +97,15 @@ def test_ids_after_units_were_forgotten(lead):
         ends = np.cumsum(counts)
         for text, n, end in zip(texts, counts, ends):
             assert ids[end - n : end].tolist() == tool.tokenizer.encode(lead + text, add_special_tokens=False).ids
+
+
+def test_neighbouring_windows_have_one_sender():
+    """Three blocks hold one passage: it travels in few pieces, and not all from one block."""
+    bins, shared = 4, " ".join(f"w{i}" for i in range(3000))
+    docs = {b: pa.table({"block": [b, b], "text": [f"own{b} words", shared]}) for b in range(3)}
+    sent = pa.concat_tables([substrings._sent(bins)(x) for x in docs.values()])
+    asked = pa.concat_tables([substrings._asked(sent.filter(pc.equal(sent["bin"], i))) for i in range(bins)])
+    pieces = [substrings._passages(bins)(x, asked.filter(pc.equal(asked["block"], b))) for b, x in docs.items()]
+    assert sum(x.num_rows for x in pieces) < 300
+    words = [pc.sum(pc.count_substring(x["passage"], " ")).as_py() or 0 for x in pieces]
+    assert max(words) < sum(words) < 2 * 3 * 3000
