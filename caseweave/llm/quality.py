@@ -176,8 +176,9 @@ def quantile(scores: DataFrame, share: float) -> float | None:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     docs = id_and_text(docs)
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct()
-    # the half is known before the join, so a text is shuffled once at most
-    good = written(good, "trusted")
+    # the half is known before the join, so a text is shuffled once at most; labels grow with the
+    # documents and are never broadcast, so that the cost grows in proportion
+    good = written(good, "trusted").hint("merge")
     counted = F.shiftrightunsigned(F.xxhash64("doc_id"), 17) % 2 == 0
     target = docs.where(counted).join(good, "doc_id").select("doc_id", "text", F.lit(True).alias("trusted"))
     counts = docs.withColumn("trusted", F.lit(False)).unionByName(target)

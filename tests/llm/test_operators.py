@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseweave.llm import decontaminate, lines, quality, simhash, substrings, token_counts, token_files, toxicity, units, warc
-from caseweave.workspace import new_folder
+from caseweave.workspace import new_folder, written
 from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.001"
@@ -236,3 +236,16 @@ def test_empty_model_of_toxicity(spark, docs):
     assert found.where("toxic OR expected_severity <> 0").count() == 0
     assert found.count() == docs.count()
     assert toxicity.without_toxic(docs, model).count() == docs.count()
+
+
+def test_quality_labels_are_not_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(quality, "written", recorded)
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(20)], "doc_id long, text string")
+    quality.fit(docs, spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int"))
+    assert "SortMergeJoin" in plans["scores"] and "Broadcast" not in plans["scores"]
