@@ -3,8 +3,9 @@
 The model that would be fitted per report follows from the statistics of its candidate group,
 so document frequencies and the norms of cases are computed once per group. The cases of a group
 are dealt to shards, and a shard is one row from then on: its distinct terms and, as numbers, the
-entries of its cases. A weight travels once for each term of a shard, and an entry is never a row
-of a table. Queries visit the shards (``shards``), which return their k best cases only.
+entries of its cases. Large groups share the dealing: their cases are packed together and taken
+apart by group. A weight travels once for each term of a shard that more than one case of the group
+holds, and an entry is never a row of a table. Queries visit the shards (``shards``), which return their k best cases only.
 
 Within a shard the postings of a term that a query has are a list sorted by impact, the case's
 share of a score, in blocks of ``BLOCK``; the first of a block bounds all of it. For every query
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caseweave.functions.text import bag_entries, english_stop_words
+from caseweave.functions.text import bag_entries, english_stop_words, listed_bag
 from caseweave.operators import shards
 from caseweave.operators.ranking import (
     SCORE_PLACES,
@@ -58,6 +59,9 @@ BLOCK = 128
 TIE_MARGIN = 1e-8
 #: Entries of a shard for one posting of ``POSTINGS_PER_SHARD``: reports use some terms only.
 ENTRIES = 4
+#: A group with this part of all entries is dealt together with others, about so many at a time.
+LARGE = 1 / 16
+TOGETHER = 8
 
 FACET_TEXTS = ["facet_platform", "facet_context", "facet_tags"]
 
@@ -65,8 +69,9 @@ FACET_TEXTS = ["facet_platform", "facet_context", "facet_tags"]
 class CaseIndex(NamedTuple):
     """The part of the work that depends on the knowledge base alone.
 
-    ``profiles``: (kb_id, facet_id, the facet's texts, digest, bag) of every case; ``copies``:
-    the kb_id of every case that repeats one before it; ``facets``: (facet_id, its texts);
+    ``profiles``: (kb_id, facet_id, the facet's texts, digest, terms, tfs, bag) of every case, the
+    bag made of the two before it where it is read; ``copies``: the kb_id of every case that
+    repeats one before it; ``facets``: (facet_id, its texts);
     ``sizes``: (facet_id, cases); ``frequencies``: (facet_id, term, df).
     """
 
@@ -107,19 +112,19 @@ def later_copies(profiles: DataFrame) -> DataFrame:
 
 
 def distinct_cases(index: CaseIndex) -> DataFrame:
-    """One row per group of copies: (class_id, digest, facet_id, bag).
+    """One row per group of copies: (class_id, digest, facet_id, terms, tfs, bag).
 
     Copies have equal scores, so they are weighted once; ``class_id`` is the smallest
     kb_id of the group. Only ids are grouped and joined, the bags stay where they are
     unless a large part of the cases are copies.
     """
     first = index.profiles.join(index.copies, "kb_id", "left_anti")
-    return first.select(F.col("kb_id").alias("class_id"), "digest", "facet_id", "bag")
+    return first.select(F.col("kb_id").alias("class_id"), "digest", "facet_id", "terms", "tfs", "bag")
 
 
 def _indexed(profiles: DataFrame, sizes: DataFrame, frequencies: DataFrame) -> CaseIndex:
     return CaseIndex(
-        profiles,
+        profiles.withColumn("bag", listed_bag()),
         written(later_copies(profiles), "copies"),
         written(profiles.select("facet_id", *FACET_TEXTS).distinct(), "facets"),
         written(sizes, "facet_sizes"),
@@ -146,8 +151,9 @@ def updated_index(
     stop_words = english_stop_words() if stop_words is None else stop_words
     new = written(case_profiles(added, stop_words), "added")
     ids = removed.select("kb_id").unionByName(new.select("kb_id")).distinct()
-    gone = written(index.profiles.join(ids, "kb_id", "left_semi"), "gone")
-    stay = index.profiles.join(gone.select("kb_id"), "kb_id", "left_anti")
+    old_profiles = index.profiles.drop("bag")
+    gone = written(old_profiles.join(ids, "kb_id", "left_semi"), "gone")
+    stay = old_profiles.join(gone.select("kb_id"), "kb_id", "left_anti")
     profiles = written(stay.unionByName(new), "profiles")
 
     def changed(old: DataFrame, count, key: list[str], name: str) -> DataFrame:
@@ -182,7 +188,8 @@ def _one(lists: pa.Table, name: str):
 
 
 def _packed(cases: pa.Table) -> pa.Table:
-    """The one row of a shard: entries by term and then by the place of the case in ``classes``.
+    """The rows of a shard, one for each group: entries by term and then by the place of the case
+    in ``classes``.
 
     Rows that repeat a class_id are one case with the entries of all.
     """
@@ -190,60 +197,100 @@ def _packed(cases: pa.Table) -> pa.Table:
     classes, of = np.unique(cases["class_id"].to_numpy(), return_inverse=True)
     words = pc.split_pattern(_flat(cases["terms"]), " ")
     coded = words.flatten().dictionary_encode()
-    names = pc.sort_indices(coded.dictionary)
-    place = np.argsort(names.to_numpy())
-    term = place[coded.indices.to_numpy(zero_copy_only=False)]
-    case = np.repeat(of, np.diff(words.offsets.to_numpy()))
-    tf = _flat(cases["tfs"]).flatten().to_numpy()
-    order = np.argsort(term, kind="stable")
-    row = [
-        _one(cases, "candidate_group").as_py(),
-        _one(cases, "shard").as_py(),
-        classes.tolist(),
-        " ".join(coded.dictionary.take(names).to_pylist()),
-        _narrow(np.bincount(term, minlength=len(names))),
-        _narrow(case[order]),
-        _narrow(tf[order]),
-    ]
+    order = pc.sort_indices(coded.dictionary)
+    names = coded.dictionary.take(order)
+    place = np.empty(len(order), np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    # the place of an entry below its term, so that one sort of numbers keeps their order
+    entry = (place[coded.indices.to_numpy()] << 32) | np.arange(len(coded))
+    entry.sort()
+    term, entry = entry >> 32, entry & 0xFFFFFFFF
+    row = np.repeat(np.arange(len(of)), np.diff(words.offsets.to_numpy()))[entry]
+    tf = _flat(cases["tfs"]).flatten().to_numpy()[entry]
+    sets = _flat(cases["groups"])
+    held = pc.list_parent_indices(sets).to_numpy()
+    groups = sets.flatten().dictionary_encode()
+    rows = []
+    for i, group in enumerate(groups.dictionary.to_pylist()):
+        mine = np.zeros(len(of), bool)
+        mine[held[groups.indices.to_numpy() == i]] = True
+        some = mine[row]
+        counts = np.bincount(term[some], minlength=len(names))
+        there = np.zeros(len(classes), bool)
+        there[of[mine]] = True
+        rows.append(
+            [
+                group,
+                _one(cases, "shard").as_py(),
+                classes[there],
+                _text(names.filter(pa.array(counts > 0))),
+                _narrow(counts[counts > 0]),
+                _narrow((np.cumsum(there) - 1)[of[row[some]]]),
+                _narrow(tf[some]),
+            ]
+        )
     kinds = [pa.string(), pa.int32(), pa.list_(pa.int64()), pa.string(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.table([pa.array([x], t) for x, t in zip(row, kinds)], names=_NAMES)
+    return pa.table([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=_NAMES)
+
+
+def _text(words: pa.StringArray) -> str:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py()
 
 
 def _flat(column: pa.ChunkedArray) -> pa.Array:
     return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
 
 
+def _numbers(data: bytes, count: int) -> np.ndarray:
+    """As ``_wide``, as narrow as they are stored."""
+    return np.frombuffer(data, f"u{len(data) // max(count, 1) or 1}")
+
+
 def _entries(lists: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """Of a packed shard the terms, how many entries each has, and the entries' cases and tf."""
-    names = pa.array(_one(lists, "terms").as_py().split(" "), pa.string())
+    names = pc.split_pattern(_flat(lists["terms"]), " ").flatten()
     counts = _wide(_one(lists, "counts").as_py(), len(names))
     total = int(counts.sum())
-    return names, counts, *(_wide(_one(lists, x).as_py(), total) for x in ("cases", "tfs"))
+    return names, counts, *(_numbers(_one(lists, x).as_py(), total) for x in ("cases", "tfs"))
 
 
 def _weighted(lists: pa.Table, weights: pa.Table) -> pa.Table:
     """A packed shard with the norms of its cases."""
     names, counts, case, tf = _entries(lists)
-    idf0 = np.zeros(len(names))
-    idf0[pc.index_in(weights["term"], value_set=names).to_numpy()] = weights["idf0"].to_numpy()
+    at, known = pc.index_in(_flat(weights["term"]), value_set=names), weights["idf0"].to_numpy()
+    once = at.is_null().to_numpy(zero_copy_only=False)
+    idf0 = np.full(len(names), known[once][0])
+    idf0[at.drop_null().to_numpy()] = known[~once]
     norm2 = np.bincount(case, (tf * np.repeat(idf0, counts)) ** 2, len(_one(lists, "classes")))
     return lists.append_column("norms", pa.array([norm2], pa.list_(pa.float64())))
 
 
 def packed_shards(index: CaseIndex, members: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """The cases of every group, dealt to shards of equal size; a shard is one row."""
+    """The cases of every group, dealt to shards of equal size; a shard of a group is one row.
+
+    Large groups have the shards that all cases would have, so those of several are packed at
+    once, each term read, coded and sorted once for all of them. What a row holds depends on
+    the index and its group only.
+    """
     most = ENTRIES * shards.POSTINGS_PER_SHARD
-    parts = F.ceil(F.sum("df") / most).cast("int").alias("shards")
-    shape = written(members.join(frequencies.groupBy(GROUP).agg(parts), GROUP), "shards")
-    cases = distinct_cases(index).filter(F.col("class_id").isNotNull() & (F.size("bag") > 0))
-    texts = cases.select(
-        "class_id", "facet_id", F.array_join("bag.term", " ").alias("terms"), F.col("bag.tf").alias("tfs")
-    )
-    dealt = texts.join(shape, "facet_id").withColumn(
-        "shard", F.pmod(F.xxhash64("class_id"), F.col("shards")).cast("int")
+    parts = F.ceil(F.col("entries") / most).cast("int")
+    whole = index.frequencies.agg(F.sum("df").alias("all"))
+    sums = frequencies.groupBy(GROUP).agg(F.sum("df").alias("entries"))
+    sums = sums.crossJoin(F.broadcast(whole)).withColumn("large", F.col("entries") >= F.col("all") * LARGE)  # one row
+    sums = written(sums, "entries")
+    packs = F.ceil(F.count_if("large") / TOGETHER).alias("packs")
+    pack = F.concat(F.lit("*"), F.pmod(F.xxhash64(GROUP), F.col("packs")))
+    shape = sums.crossJoin(F.broadcast(sums.agg(packs))).select(  # one row
+        GROUP,
+        F.when(F.col("large"), pack).otherwise(F.col(GROUP)).alias("pack"),
+        F.when(F.col("large"), F.ceil(F.col("all") / most).cast("int")).otherwise(parts).alias("shards"),
     )
-    dealt = dealt.select(GROUP, "shard", "class_id", "terms", "tfs")
-    return dealt.groupBy(GROUP, "shard").applyInArrow(_packed, _PACKED)
+    sets = members.join(shape, GROUP).groupBy("facet_id", "pack", "shards")
+    sets = written(sets.agg(F.sort_array(F.collect_list(GROUP)).alias("groups")), "shards")
+    cases = distinct_cases(index).filter(F.col("class_id").isNotNull() & (F.col("terms") != ""))
+    shard = F.pmod(F.xxhash64("class_id"), F.col("shards")).cast("int").alias("shard")
+    dealt = cases.join(sets, "facet_id").select("pack", shard, "groups", "class_id", "terms", "tfs")
+    return dealt.groupBy("pack", "shard").applyInArrow(_packed, _PACKED)
 
 
 def group_statistics(
@@ -259,18 +306,15 @@ def group_statistics(
     sizes = written(group_sizes(index.sizes, members), "sizes")
     frequencies = written(group_document_frequencies(index.frequencies, members), "frequencies")
     packed = written(packed_shards(index, members, frequencies), "packed")
-    # a weight for each distinct term of a shard
-    weights = (
-        packed.select(GROUP, "shard", F.explode(F.split("terms", " ")).alias("term"))
-        .join(frequencies, [GROUP, "term"])
-        .join(sizes, GROUP)
-        .select(
-            F.col(GROUP).alias(GROUP),
-            F.col("shard").alias("shard"),
-            "term",
-            idf(F.col("candidates"), F.col("df")).alias("idf0"),
-        )
-    )
+    # a weight for each distinct term of a shard that several cases hold, and one without a term for the others
+    several = frequencies.filter("df > 1").join(sizes, GROUP)
+    several = several.select(GROUP, "term", idf(F.col("candidates"), F.col("df")).alias("idf0"))
+    held = packed.select(GROUP, "shard", F.explode(F.split("terms", " ")).alias("term"))
+    once = packed.select(GROUP, "shard").join(sizes, GROUP)
+    no_term = F.lit(None).cast("string").alias("term")
+    once = once.select(GROUP, "shard", no_term, idf(F.col("candidates"), F.lit(1)).alias("idf0"))
+    weights = held.join(several, [GROUP, "term"]).select(GROUP, "shard", "term", "idf0").unionByName(once)
+    weights = weights.select(F.col(GROUP).alias(GROUP), F.col("shard").alias("shard"), "term", "idf0")
     keys = [GROUP, "shard"]
     lists = packed.groupBy(*keys).cogroup(weights.groupBy(*keys))
     lists = written(lists.applyInArrow(_weighted, f"{_PACKED}, norms array<double>"), "lists")
@@ -331,10 +375,10 @@ class _Postings:
         self.edges = np.concatenate([[0], np.cumsum(n)])
         place = np.repeat((np.cumsum(counts) - counts)[at] - self.edges[:-1], n) + np.arange(n.sum())
         # entries of a term are in the order of the cases
-        self.case, self.tf = case[place], tf[place].astype(np.float64)
+        self.case, self.tf = case[place].astype(np.int64), tf[place].astype(np.float64)
         term, idf0 = np.repeat(np.arange(len(n)), n), np.array(list(used.values()), float)[there]
         impact = self.tf * idf0[term] / np.sqrt(self.norm2[self.case])
-        order = np.lexsort((self.case, -impact, term))
+        order = np.lexsort((-impact, term))  # stable, so equal ones stay in the order of the cases
         self.impact, self.heavy = impact[order], self.case[order]
 
     def best(self, names: list, tf, idf0, idf1, norm2: float, top_k: int) -> tuple[np.ndarray, np.ndarray]:

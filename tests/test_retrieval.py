@@ -424,3 +424,26 @@ def test_a_shard_of_cases_is_one_row(spark, monkeypatch):
     )
     rounded = ["candidate_group", "class_id", F.round("norm2", 6).alias("norm2")]
     assert rows_of(statistics.norms.select(*rounded)) == rows_of(plain.select(*rounded))
+
+
+def test_large_groups_are_packed_at_once():
+    """A case is one row for all large groups; each of them gets the entries of its cases."""
+    rows = {
+        "pack": ["*0"] * 4,
+        "shard": [2] * 4,
+        "groups": [["", "A"], [""], ["", "A"], ["", "A"]],
+        "class_id": [9, 4, 7, 7],
+        "terms": ["alpha beta", "beta delta", "alpha", "alpha"],
+        "tfs": [[1, 300], [2, 1], [3], [4]],
+    }
+    found = tfidf._packed(pa.table(rows))
+    entries = {}
+    for i, row in enumerate(found.to_pylist()):
+        names, counts, case, tf = tfidf._entries(found.slice(i, 1))
+        term = np.repeat(names.to_numpy(zero_copy_only=False), counts)
+        entries[row["candidate_group"]] = [(t, row["classes"][c], int(n)) for t, c, n in zip(term, case, tf)]
+    some = [("alpha", 7, 3), ("alpha", 7, 4), ("alpha", 9, 1)]
+    assert entries == {
+        "": [*some, ("beta", 4, 2), ("beta", 9, 300), ("delta", 4, 1)],
+        "A": [*some, ("beta", 9, 300)],
+    }
