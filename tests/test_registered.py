@@ -1,6 +1,9 @@
 import re
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as registered
@@ -27,11 +30,27 @@ def test_query_equals_sql(spark, name):
     assert same, detail
 
 
-@needs_data
-def test_vector_queries_ask_with_every_twentieth_row(spark):
-    folder = "/root/testdata/sf0.001"
-    ids = [r.vec_id for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id").collect()]
-    asked = sorted(x for x in ids if x % 20 == 0)
+VECTOR_IDS = [*range(1, 46), 61, 80, 1007]
+
+
+def vector_table(folder):
+    """Two labels, and ids of which few are divisible by 20."""
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(len(VECTOR_IDS), 6)).astype(np.float32).tolist()
+    labels = [i % 2 for i in VECTOR_IDS]
+    columns = {
+        "vec_id": pa.array(VECTOR_IDS, pa.int64()),
+        "embedding": pa.array(vectors, pa.list_(pa.float32())),
+        "label": pa.array(labels, pa.int32()),
+    }
+    pq.write_table(pa.table(columns), f"{folder}/embeddings.parquet")
+    return str(folder)
+
+
+def test_vector_queries_ask_with_every_row(spark, tmp_path):
+    folder = vector_table(tmp_path)
     for asks in (adapters.vector_reports, adapters.report_vectors):
-        assert sorted(r.report_id for r in asks(spark, folder).collect()) == asked
-    assert sorted(r.kb_id for r in adapters.kb_vectors(spark, folder).collect()) == sorted(ids)
+        assert sorted(r.report_id for r in asks(spark, folder).collect()) == VECTOR_IDS
+    assert sorted(r.kb_id for r in adapters.kb_vectors(spark, folder).collect()) == VECTOR_IDS
+    found = registered.by_vector(spark, folder).collect()
+    assert sorted((r.report_id, r.rank) for r in found) == [(i, k) for i in VECTOR_IDS for k in (1, 2, 3)]
