@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as registered
 from checks import adapters
-from checks.compare import compare
+from checks.compare import compare, database
 
 FOLDER = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
@@ -54,3 +54,11 @@ def test_vector_queries_ask_with_every_row(spark, tmp_path):
     assert sorted(r.kb_id for r in adapters.kb_vectors(spark, folder).collect()) == VECTOR_IDS
     found = registered.by_vector(spark, folder).collect()
     assert sorted((r.report_id, r.rank) for r in found) == [(i, k) for i in VECTOR_IDS for k in (1, 2, 3)]
+
+
+def test_vector_sql_asks_with_every_row(spark, tmp_path):
+    folder = vector_table(tmp_path)
+    rows = database(folder).execute(registered.oracle_sql()["embedding_topk"]).fetchall()
+    assert sorted((report, rank) for report, rank, *_ in rows) == [(i, k) for i in VECTOR_IDS for k in (1, 2, 3)]
+    same, detail = compare(spark, folder, "embedding_topk")
+    assert same, detail
