@@ -274,13 +274,13 @@ def packed_shards(index: CaseIndex, members: DataFrame, frequencies: DataFrame)
     """
     most = ENTRIES * shards.POSTINGS_PER_SHARD
     parts = F.ceil(F.col("entries") / most).cast("int")
-    whole = index.frequencies.agg(F.sum("df").alias("all"))
+    whole = index.frequencies.agg(F.sum("df")).scalar()
     sums = frequencies.groupBy(GROUP).agg(F.sum("df").alias("entries"))
-    sums = sums.crossJoin(F.broadcast(whole)).withColumn("large", F.col("entries") >= F.col("all") * LARGE)  # one row
+    sums = sums.withColumn("all", whole).withColumn("large", F.col("entries") >= F.col("all") * LARGE)
     sums = written(sums, "entries")
-    packs = F.ceil(F.count_if("large") / TOGETHER).alias("packs")
-    pack = F.concat(F.lit("*"), F.pmod(F.xxhash64(GROUP), F.col("packs")))
-    shape = sums.crossJoin(F.broadcast(sums.agg(packs))).select(  # one row
+    packs = sums.agg(F.ceil(F.count_if("large") / TOGETHER)).scalar()
+    pack = F.concat(F.lit("*"), F.pmod(F.xxhash64(GROUP), packs))
+    shape = sums.select(
         GROUP,
         F.when(F.col("large"), pack).otherwise(F.col(GROUP)).alias("pack"),
         F.when(F.col("large"), F.ceil(F.col("all") / most).cast("int")).otherwise(parts).alias("shards"),
