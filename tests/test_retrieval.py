@@ -20,6 +20,7 @@ from caseweave.operators.vectors import (
     BAD_VECTOR,
     NO_CANDIDATE,
     NO_VECTOR,
+    _Search,
     embedding_answers,
     embedding_topk,
     packed_cells,
@@ -210,6 +211,32 @@ def test_cases_are_stored_once_whatever_the_environments(spark, monkeypatch):
     assert stored == {0: 60, 1: 60}
 
 
+@pytest.mark.parametrize("many", [0.0, 1 / 8, 1.0])
+def test_a_floor_keeps_scores_that_single_precision_confuses(monkeypatch, many):
+    """Scores a few billionths apart, and copies, which are told apart by their id."""
+    for name, value in (("MANY", many), ("TILE_BYTES", 8 * 200), ("FOUND", 20)):
+        monkeypatch.setattr(f"caseweave.operators.vectors.{name}", value)
+    rng = np.random.default_rng(5)
+    asked = rng.normal(size=(9, 16))
+    near = (asked[:, None] + 1e-4 * rng.normal(size=(9, 30, 16))).reshape(-1, 16)
+    cases = np.concatenate([near, near[::7], near[::7], rng.normal(size=(80, 16))])
+    asked, cases = (x / np.sqrt((x * x).sum(axis=1))[:, None] for x in (asked, cases))
+    cases = cases[rng.permutation(len(cases))]
+    ids = np.concatenate([np.sort(x) for x in np.array_split(rng.permutation(len(cases)), 7)])
+    scores = np.round(asked @ cases.T, 9)
+    wanted = [np.lexsort((ids, -x))[:3].tolist() for x in scores]
+    floor = np.sort(scores[:, :60], axis=1)[:, -3]
+    floor[0] = -np.inf
+    search = _Search(asked, floor, cases, ids, 3)
+    for cell in np.array_split(np.arange(len(cases)), 7):
+        search.visit(np.arange(9), cell[::2])
+        search.visit(np.arange(9), cell[1::2])
+    row, column, score = search.best()
+    assert row.tolist() == [i for i in range(9) for _ in range(3)]
+    assert column.reshape(9, 3).tolist() == wanted
+    assert score.tolist() == [scores[i, j] for i, j in zip(row, column)]
+
+
 def test_cells_fill_blocks():
     cells = packed_cells(np.zeros((5, 2)), {0: 3, 1: 25, 2: 4, 3: 6, 5: 1}, 10)
     assert cells.first.tolist() == [0, 1, 4, 4, 4, 5] and cells.parts.tolist() == [1, 3, 1, 1, 1, 1]
